@@ -44,3 +44,4 @@ def rnd(df: DataFrame, places: int = 6, overrides: dict[str, int] | None = None)
 # Importing the modules fills QUERIES / SQL.
 from . import q_kpi  # noqa: E402,F401
 from . import q_profile  # noqa: E402,F401
+from . import q_features  # noqa: E402,F401
