@@ -117,6 +117,14 @@ EXPECTED_ARTIFACTS = (
     "metrics.json", "predictions.parquet", "deployment.json",
     "dashboard_data.json", "manifest.json",
 )
+# Text read as missing when a CSV is loaded (the pandas reader's default list).
+CSV_NA_VALUES = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+# Column-name prefix (lower case) of index columns left by spreadsheet exports.
+UNNAMED_PREFIX = "unnamed:"
 # --- end of fixed values ----------------------------------------------------
 
 # Scale knobs (ours, not from the original): sizes above which a side is not

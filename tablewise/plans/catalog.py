@@ -45,3 +45,4 @@ def rnd(df: DataFrame, places: int = 6, overrides: dict[str, int] | None = None)
 from . import q_kpi  # noqa: E402,F401
 from . import q_profile  # noqa: E402,F401
 from . import q_features  # noqa: E402,F401
+from . import q_clean  # noqa: E402,F401
