@@ -47,3 +47,4 @@ from . import q_profile  # noqa: E402,F401
 from . import q_features  # noqa: E402,F401
 from . import q_clean  # noqa: E402,F401
 from . import q_eval  # noqa: E402,F401
+from . import q_model  # noqa: E402,F401
