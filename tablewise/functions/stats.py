@@ -73,7 +73,8 @@ _SELECT_MAX_PASSES = 12
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    max_distinct_in_memory: int = K.EXACT_QUANTILE_MAX_DISTINCT) -> dict[str, list]:
+                    max_distinct_in_memory: int = K.EXACT_QUANTILE_MAX_DISTINCT,
+                    stats: dict | None = None) -> dict[str, list]:
     """Exact quantiles of numeric columns, NULL and NaN ignored.
 
     One pass gathers count / min / max / approximate distinct count. Columns with
@@ -85,14 +86,17 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     if not cols:
         return {}
     clean = {c: _finite(df, c) for c in cols}
-    exprs = {}
-    for c in cols:
-        v = clean[c]
-        exprs[(c, "n")] = F.count(v)
-        exprs[(c, "min")] = F.min(v)
-        exprs[(c, "max")] = F.max(v)
-        exprs[(c, "nd")] = F.approx_count_distinct(v)
-    st = one_row(df, exprs)
+    if stats is not None:
+        st = {(c, k): stats[c][k] for c in cols for k in ("n", "min", "max", "nd")}
+    else:
+        exprs = {}
+        for c in cols:
+            v = clean[c]
+            exprs[(c, "n")] = F.count(v)
+            exprs[(c, "min")] = F.min(v)
+            exprs[(c, "max")] = F.max(v)
+            exprs[(c, "nd")] = F.approx_count_distinct(v)
+        st = one_row(df, exprs)
     out: dict[str, list] = {}
     small = [c for c in cols if (st[(c, "nd")] or 0) <= max_distinct_in_memory]
     large = [c for c in cols if c not in small]

@@ -40,10 +40,11 @@ def _jsonable(v):
 def column_summaries(df: DataFrame) -> list[dict]:
     """A1-A5 merged per column: summary, numeric describe + histogram, or top values."""
     from . import profile as P
-    summ = {r["column_name"]: r for r in _rows(P.column_summary(df))}
-    desc = {r["column_name"]: r for r in _rows(P.numeric_describe(df))}
+    st = P.basic_stats(df)  # one pass shared by the three profiles below
+    summ = {r["column_name"]: r for r in _rows(P.column_summary(df, stats=st))}
+    desc = {r["column_name"]: r for r in _rows(P.numeric_describe(df, stats=st))}
     hist: dict[str, list] = {}
-    for r in _rows(P.histogram(df)):
+    for r in _rows(P.histogram(df, stats=st)):
         hist.setdefault(r["column_name"], []).append(r)
     tops: dict[str, list] = {}
     for r in _rows(P.top_categories(df)):

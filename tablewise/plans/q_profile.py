@@ -197,13 +197,16 @@ def q_correlation_matrix(spark, sf):
 
 
 def _pairs_cte() -> str:
-    cols = _LI_NUM + ["l_shipdate"]
+    li_cols = _LI_NUM + ["l_shipdate"]
+    part_cols = ["p_partkey", "p_size", "p_retailprice"]
     parts = []
-    k = 0
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            parts.append(f"SELECT {k} AS pair, '{a}' AS col_a, '{b}' AS col_b, {_corr_expr(a, b)} AS r FROM enc")
-            k += 1
+    for tname, src, cols in (("lineitem", "enc", li_cols), ("part", "part", part_cols)):
+        k = 0
+        for i, a in enumerate(cols):
+            for b in cols[i + 1:]:
+                parts.append(f"SELECT '{tname}' AS table_name, '{cols[-1]}' AS target, {k} AS pair, '{a}' AS col_a, "
+                             f"'{b}' AS col_b, {_corr_expr(a, b)} AS r FROM {src}")
+                k += 1
     return f"""
 WITH codes AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS BIGINT) AS code
                FROM (SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS v FROM lineitem WHERE l_shipdate IS NOT NULL)),
@@ -214,8 +217,9 @@ pairs AS ({_union(parts)})"""
 
 
 @register("top_correlations", _pairs_cte() + """
-, sel AS (SELECT *, row_number() OVER (ORDER BY abs(round(r, 3)) DESC, pair ASC) AS rank FROM pairs WHERE abs(r) >= 0.3)
-SELECT CAST(rank AS INTEGER) AS rank, col_a, col_b, round(r, 3) AS r,
+, sel AS (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY abs(round(r, 3)) DESC, pair ASC) AS rank
+          FROM pairs WHERE abs(r) >= 0.3)
+SELECT table_name, CAST(rank AS INTEGER) AS rank, col_a, col_b, round(r, 3) AS r,
        CASE WHEN abs(r) >= 0.7 THEN 'strong' WHEN abs(r) >= 0.4 THEN 'moderate' ELSE 'weak' END AS strength,
        CASE WHEN r > 0 THEN 'positively' ELSE 'negatively' END AS direction,
        printf('`%s` and `%s` are %sly %s correlated (r = %+.2f).', col_a, col_b,
@@ -223,15 +227,21 @@ SELECT CAST(rank AS INTEGER) AS rank, col_a, col_b, round(r, 3) AS r,
               CASE WHEN r > 0 THEN 'positively' ELSE 'negatively' END, r) AS text
 FROM sel WHERE rank <= 6""")
 def q_top_correlations(spark, sf):
-    return P.top_correlations(table(spark, sf, "lineitem"), "l_shipdate")
+    from pyspark.sql import functions as F
+    li = P.top_correlations(table(spark, sf, "lineitem"), "l_shipdate").select(F.lit("lineitem").alias("table_name"), "*")
+    pa = P.top_correlations(table(spark, sf, "part"), "p_retailprice").select(F.lit("part").alias("table_name"), "*")
+    return li.unionByName(pa)
 
 
 @register("target_correlations", _pairs_cte() + """
-, t AS (SELECT pair, col_a AS feature, r FROM pairs WHERE col_b = 'l_shipdate' AND abs(r) >= 0.1),
-sel AS (SELECT *, row_number() OVER (ORDER BY abs(r) DESC, pair ASC) AS rank FROM t)
-SELECT CAST(rank AS INTEGER) AS rank, feature, round(r, 3) AS r,
-       printf('As `%s` rises, `%s` tends to %s (r = %+.2f).', feature, 'l_shipdate',
+, t AS (SELECT table_name, target, pair, col_a AS feature, r FROM pairs WHERE col_b = target AND abs(r) >= 0.1),
+sel AS (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY abs(r) DESC, pair ASC) AS rank FROM t)
+SELECT table_name, CAST(rank AS INTEGER) AS rank, feature, round(r, 3) AS r,
+       printf('As `%s` rises, `%s` tends to %s (r = %+.2f).', feature, target,
               CASE WHEN r > 0 THEN 'increase' ELSE 'decrease' END, r) AS text
 FROM sel WHERE rank <= 5""")
 def q_target_correlations(spark, sf):
-    return P.target_correlations(table(spark, sf, "lineitem"), "l_shipdate")
+    from pyspark.sql import functions as F
+    li = P.target_correlations(table(spark, sf, "lineitem"), "l_shipdate").select(F.lit("lineitem").alias("table_name"), "*")
+    pa = P.target_correlations(table(spark, sf, "part"), "p_retailprice").select(F.lit("part").alias("table_name"), "*")
+    return li.unionByName(pa)
