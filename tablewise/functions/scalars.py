@@ -14,21 +14,23 @@ INTEGER_PATTERN = r"^[+-]?\d+$"
 INF_PATTERN = r"^[+-]?(inf|infinity)$"
 
 # Date / time layouts tried in order when text is coerced to a timestamp
-# (explicit list; time-only text is not accepted).
-DATETIME_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/M/d H:mm:ss",
-    "yyyy/M/d",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy",
-    "M-d-yyyy",
+# (explicit list; time-only text is not accepted). Each layout is guarded by a
+# pattern of its shape, so a value costs at most one parse attempt and text
+# that looks like no date costs none.
+DATETIME_LAYOUTS = (
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{6}$", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{3}$", "yyyy-MM-dd HH:mm:ss.SSS"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "yyyy-MM-dd HH:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}$", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+    (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$", "yyyy-MM-dd HH:mm"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
 )
 
 
@@ -58,8 +60,11 @@ def to_number(c: Column) -> Column:
 def parse_datetime(c: Column) -> Column:
     """Text to timestamp (no zone) by the first layout that parses, else NULL."""
     t = F.trim(c)
-    tries = [F.try_to_timestamp(t, F.lit(fmt)) for fmt in DATETIME_FORMATS]
-    return F.coalesce(*tries).cast(T.TimestampNTZType())
+    out = None
+    for pattern, fmt in DATETIME_LAYOUTS:
+        parsed = F.try_to_timestamp(t, F.lit(fmt))
+        out = F.when(t.rlike(pattern), parsed) if out is None else out.when(t.rlike(pattern), parsed)
+    return out.cast(T.TimestampNTZType())
 
 
 def has_date_hint(c: Column) -> Column:

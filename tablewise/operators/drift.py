@@ -67,8 +67,9 @@ def carry_over(spark: SparkSession, history_path: str, current: DataFrame, run_i
     events = drift_check(current, previous) if not first else spark.createDataFrame(
         [], "column_name string, prev_mean double, curr_mean double, prev_std double, shift_stds double, "
             "status string, is_event boolean")
-    events = events.persist()
-    events.count()  # compare before the baseline below is replaced
+    # Fix the comparison before the baseline is appended: a write to the history
+    # path re-caches (recomputes) plans that read it. One row per column.
+    events = spark.createDataFrame(events.collect(), events.schema)
     if current.limit(1).count() > 0:
         (current.withColumn("run_id", F.lit(run_id)).withColumn("ts", F.lit(time.time()))
                 .write.mode("append").parquet(history_path))

@@ -155,13 +155,13 @@ class FittedModel:
         self.assembler.write().overwrite().save(f"{path}/assembler")
         meta = {"task": self.task, "feature_cols": self.feature_cols, "target": self.target,
                 "classes": self.classes, "n_models": len(self.models)}
-        spark = _active()
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+        from ..sources.sinks import write_json
+        write_json(_active(), meta, f"{path}/meta.json")
 
     @staticmethod
     def load(path: str) -> "FittedModel":
-        spark = _active()
-        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        from ..sources.sinks import read_json_doc
+        meta = read_json_doc(_active(), f"{path}/meta.json")
         cls = GBTRegressionModel if meta["task"] == "regression" else GBTClassificationModel
         models = [cls.load(f"{path}/booster_{i}") for i in range(meta["n_models"])]
         assembler = PipelineModel.load(f"{path}/assembler")

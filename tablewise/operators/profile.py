@@ -83,18 +83,20 @@ def _present(df: DataFrame, c: str):
 
 
 def basic_stats(df: DataFrame, approx_distinct: bool = False) -> dict:
-    """ONE aggregation over every column: missing and distinct counts; for numbers
-    count, mean, sample std, min, max; for datetimes min and max (as text).
-
-    Shared by the column summary, describe, histogram and quantile steps so a
-    profile reads the table once for all of them.
+    """Column statistics shared by the column summary, describe, histogram and
+    quantile steps, so a profile reads the table twice for all of them:
+
+    1. one aggregation of plain aggregates: missing counts; count, mean, sample
+       std, min, max for numbers; min / max (as text) for datetimes;
+    2. one aggregation of the distinct counts. Kept apart because Spark expands
+       every input row once per distinct aggregate, and plain aggregates in
+       the same step would be expanded along with them.
     """
+    from ..plans.ordering import spread
     exprs = {("", "rows"): F.count(F.lit(1))}
     for c in df.columns:
         dt = df.schema[c].dataType
         exprs[(c, "missing")] = _missing(df, c)
-        exprs[(c, "unique")] = (F.approx_count_distinct(_present(df, c)) if approx_distinct
-                                else F.count_distinct(_present(df, c)))
         if S.is_datetime(dt):
             exprs[(c, "min_text")] = F.min(col_(c)).cast("string")
             exprs[(c, "max_text")] = F.max(col_(c)).cast("string")
@@ -105,7 +107,14 @@ def basic_stats(df: DataFrame, approx_distinct: bool = False) -> dict:
             exprs[(c, "std")] = F.stddev_samp(v)
             exprs[(c, "min")] = F.min(v)
             exprs[(c, "max")] = F.max(v)
-    return S.one_row(df, exprs)
+    # sums and means read the input as it is (their last bits then do not depend
+    # on the core count); the distinct counts, exact whatever the row order, are spread
+    out = S.one_row(df, exprs)
+    wide = spread(df)
+    distinct = {(c, "unique"): (F.approx_count_distinct(_present(wide, c)) if approx_distinct
+                                else F.count_distinct(_present(wide, c))) for c in df.columns}
+    out.update(S.one_row(wide, distinct))
+    return out
 
 
 def column_summary(df: DataFrame, approx_distinct: bool = False, stats: dict | None = None) -> DataFrame:
@@ -124,11 +133,14 @@ def column_summary(df: DataFrame, approx_distinct: bool = False, stats: dict | N
 # --------------------------------------------------------------------------- #
 def numeric_describe(df: DataFrame, cols: list[str] | None = None, stats: dict | None = None) -> DataFrame:
     """count, mean, sample std, min, q25, median, q75, max per numeric column (exact quantiles)."""
+    from ..plans.ordering import spread
     cols = cols if cols is not None else S.numeric_columns(df)
-    st = stats or basic_stats(df.select(*[col_(c) for c in cols]))
+    df = df.select(*[col_(c) for c in cols])
+    # the distinct count only picks the quantile method, so an estimate will do
+    st = stats or basic_stats(df, approx_distinct=True)
     pre = {c: {"n": st[(c, "n")], "min": st[(c, "min")], "max": st[(c, "max")], "nd": st[(c, "unique")]}
            for c in cols}
-    qs = S.exact_quantiles(df, cols, [0.25, 0.5, 0.75], stats=pre)
+    qs = S.exact_quantiles(spread(df), cols, [0.25, 0.5, 0.75], stats=pre)
     rows = []
     for i, c in enumerate(cols):
         q = qs.get(c, [None, None, None])
@@ -154,7 +166,9 @@ def histogram(df: DataFrame, cols: list[str] | None = None, stats: dict | None =
     schema = "column_name string, bin int, lo double, hi double, cnt bigint"
     if not cols:
         return spark.createDataFrame([], schema)
-    st = stats or basic_stats(df.select(*[col_(c) for c in cols]))
+    from ..plans.ordering import spread
+    df = spread(df.select(*[col_(c) for c in cols]))
+    st = stats or _hist_stats(df, cols)
     spec_rows = []
     for c in cols:
         lo, hi, nd = st[(c, "min")], st[(c, "max")], st[(c, "unique")] or 0
@@ -188,6 +202,17 @@ def histogram(df: DataFrame, cols: list[str] | None = None, stats: dict | None =
                         F.coalesce("cnt", F.lit(0)).cast("bigint").alias("cnt")))
 
 
+def _hist_stats(df: DataFrame, cols: list[str]) -> dict:
+    """Stats with an estimated distinct count, made exact where it decides the
+    bin count (estimate <= 40, i.e. cheap low-cardinality columns only)."""
+    st = basic_stats(df, approx_distinct=True)
+    low = [c for c in cols if (st[(c, "unique")] or 0) <= 2 * K.HIST_MAX_BINS]
+    if low:
+        st.update({(c, "unique"): v for (c, _), v in
+                   S.one_row(df, {(c, "unique"): F.count_distinct(_present(df, c)) for c in low}).items()})
+    return st
+
+
 # --------------------------------------------------------------------------- #
 # A5 top categories
 # --------------------------------------------------------------------------- #
@@ -293,15 +318,29 @@ def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> dict:
     return out
 
 
-def correlation_matrix(df: DataFrame, target: str | None = None, label_map: DataFrame | None = None) -> DataFrame:
+def correlation_pairs(df: DataFrame, target: str | None = None, label_map: DataFrame | None = None):
+    """(numeric columns, r for every pair i <= j) in one computation, shared by
+    the matrix, the interesting pairs and the target correlations."""
+    d = encode_target_for_corr(df, target, label_map)
+    num = S.numeric_columns(d)
+    if len(num) < 2:
+        return num, {}
+    return num, _pair_corr(d, [(a, b) for i, a in enumerate(num) for b in num[i:]])
+
+
+def correlation_matrix(df: DataFrame, target: str | None = None, label_map: DataFrame | None = None,
+                       pre=None) -> DataFrame:
     """Pearson matrix (long form) over at most 15 numeric columns, target last.
 
     Pairwise-complete rows, undefined -> 0, rounded to 4 places.
     """
     spark = df.sparkSession
     schema = "i int, j int, col_a string, col_b string, r double"
-    d = encode_target_for_corr(df, target, label_map)
-    num = S.numeric_columns(d)
+    if pre is None:
+        d = encode_target_for_corr(df, target, label_map)
+        num = S.numeric_columns(d)
+    else:
+        num = pre[0]
     if len(num) < 2:
         return spark.createDataFrame([], schema)
     if target in num:
@@ -309,7 +348,10 @@ def correlation_matrix(df: DataFrame, target: str | None = None, label_map: Data
     else:
         cols = num[: K.MAX_CORR_COLS]
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    r = _pair_corr(d, pairs)
+    r = pre[1] if pre is not None else _pair_corr(d, pairs)
+    if pre is not None:  # precomputed pairs follow the full column order
+        pos = {c: k for k, c in enumerate(num)}
+        r = {(a, b): (r[(a, b)] if pos[a] <= pos[b] else r[(b, a)]) for a, b in pairs}
     rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
@@ -327,11 +369,12 @@ def _all_pairs(df: DataFrame, target: str | None, label_map: DataFrame | None):
     return num, _pair_corr(d, pairs)
 
 
-def top_correlations(df: DataFrame, target: str | None = None, label_map: DataFrame | None = None) -> DataFrame:
+def top_correlations(df: DataFrame, target: str | None = None, label_map: DataFrame | None = None,
+                     pre=None) -> DataFrame:
     """Upper-triangle pairs with |r| >= 0.3, strongest six, with a sentence."""
     spark = df.sparkSession
     schema = ("rank int, col_a string, col_b string, r double, strength string, direction string, text string")
-    num, r = _all_pairs(df, target, label_map)
+    num, r = pre if pre is not None else _all_pairs(df, target, label_map)
     rows = []
     order = 0
     for i, a in enumerate(num):
@@ -354,11 +397,11 @@ def top_correlations(df: DataFrame, target: str | None = None, label_map: DataFr
                         strength(rr), direction, rr).alias("text"))
 
 
-def target_correlations(df: DataFrame, target: str, label_map: DataFrame | None = None) -> DataFrame:
+def target_correlations(df: DataFrame, target: str, label_map: DataFrame | None = None, pre=None) -> DataFrame:
     """Columns correlated with the target at |r| >= 0.1, strongest five."""
     spark = df.sparkSession
     schema = "rank int, feature string, r double, text string"
-    num, r = _all_pairs(df, target, label_map)
+    num, r = pre if pre is not None else _all_pairs(df, target, label_map)
     if target not in num:
         return spark.createDataFrame([], schema)
     rows = []

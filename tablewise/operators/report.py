@@ -96,9 +96,10 @@ def generate(spark: SparkSession, cleaned: DataFrame, features: DataFrame, key:
                 "summary": {k: v for k, v in srow.items() if k not in ("available", "reason", "date_column", "metric_column")}}
     else:
         kpis = {"available": False, "reason": srow.get("reason")}
-    top = _rows(P.top_correlations(data, target, label_map))
-    tgt = _rows(P.target_correlations(data, target, label_map)) if target in data.columns else []
-    corr_rows = _rows(P.correlation_matrix(data, target, label_map))
+    pre = P.correlation_pairs(data, target, label_map)  # one computation for the three views
+    top = _rows(P.top_correlations(data, target, label_map, pre=pre))
+    tgt = _rows(P.target_correlations(data, target, label_map, pre=pre)) if target in data.columns else []
+    corr_rows = _rows(P.correlation_matrix(data, target, label_map, pre=pre))
     if corr_rows:
         cols = [r["col_a"] for r in sorted(corr_rows, key=lambda r: (r["i"], r["j"])) if r["j"] == 0]
         k = len(cols)

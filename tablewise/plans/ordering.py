@@ -72,17 +72,32 @@ def rolling_mean(df: DataFrame, key: str, value: str, window: int, out: str = "r
                  block_rows: int = K.ORDER_BLOCK_ROWS) -> DataFrame:
     """Mean of ``value`` over the last ``window`` rows by ``key`` (partial windows at the start).
 
-    Large inputs: prefix sums by block, then an equi-join at position - window.
+    Always O(n): running sums (an unbounded-preceding frame is updated row by
+    row; a bounded frame would re-aggregate ``window`` rows for every row),
+    then an equi-join at position - window.
     """
     n = df.count() if n is None else n
-    if n <= single_block_rows:
-        w = Window.orderBy(col_(key)).rowsBetween(-(window - 1), Window.currentRow)
-        return df.withColumn(out, F.avg(col_(value)).over(w))
-    idx = ordered_index(df, key, "_pos", n, single_block_rows, block_rows)
-    cum = running_sums(idx.withColumn("_v", col_(value).cast("double")), "_pos", ["_v"], n,
-                       single_block_rows, block_rows)
+    d = df.withColumn("_v", col_(value).cast("double"))
+    if n <= single_block_rows:  # position and running sum from one sort
+        w = Window.orderBy(col_(key))
+        cum = d.select("*", (F.row_number().over(w) - 1).alias("_pos"),
+                       F.sum("_v").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum__v"))
+    else:
+        idx = ordered_index(d, key, "_pos", n, single_block_rows, block_rows)
+        cum = running_sums(idx, "_pos", ["_v"], n, single_block_rows, block_rows)
     back = cum.select((F.col("_pos") + window).alias("_pos"), F.col("cum__v").alias("_back"))
     joined = cum.join(back, "_pos", "left")
     size = F.least(F.col("_pos") + 1, F.lit(window)).cast("double")
     return (joined.withColumn(out, (F.col("cum__v") - F.coalesce(F.col("_back"), F.lit(0.0))) / size)
                   .drop("_pos", "_v", "cum__v", "_back"))
+
+
+def spread(df: DataFrame, min_share: float = 0.5) -> DataFrame:
+    """Round-robin an input that has far fewer partitions than the cluster has
+    cores (a single small file, say), so the aggregations after it run in
+    parallel. Inputs that are already split are returned unchanged.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < max(2, int(target * min_share)):
+        return df.repartition(target)
+    return df

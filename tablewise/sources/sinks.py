@@ -1,13 +1,16 @@
 """Sinks: table output (S5) and metadata documents.
 
-Writes go through Spark's commit protocol (task output is promoted only when
+Tables go through Spark's commit protocol (task output is promoted only when
 the job commits), which gives the all-or-nothing hand-over the original gets
-from a temp file and rename.
+from a temp file and rename. Small JSON documents are written through the
+Hadoop FileSystem of the target path (temp file, then rename), so they cost no
+Spark job and work on any filesystem the cluster can reach.
 """
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,13 +33,42 @@ def write_table(df: DataFrame, path: str) -> str:
     return path
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
 def write_json(spark: SparkSession, obj, path: str) -> str:
-    """One JSON document as a single-line text file (dates ISO, sets as lists)."""
+    """One JSON document (dates ISO, sets as lists), replaced atomically where the FS allows."""
     text = json.dumps(obj, default=_default)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    try:
+        fs, p, jvm = _fs(spark, path)
+        tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+        out = fs.create(tmp, True)
+        out.write(bytearray(text.encode("utf-8")))
+        out.close()
+        if fs.exists(p):
+            fs.delete(p, True)
+        if not fs.rename(tmp, p):
+            raise OSError(f"rename failed for {path}")
+    except Exception:  # no JVM gateway (e.g. a remote client): write through a one-row DataFrame
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path
 
 
 def read_json_doc(spark: SparkSession, path: str):
+    """Read a document written by ``write_json`` (file, or folder of one text part)."""
+    try:
+        fs, p, jvm = _fs(spark, path)
+        if fs.getFileStatus(p).isFile():
+            stream = fs.open(p)
+            try:
+                text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            return json.loads(text)
+    except Exception:
+        pass
     row = spark.read.text(path).first()
     return json.loads(row[0]) if row else None

@@ -240,3 +240,20 @@ def test_quantile_paths_agree(spark):
     for a, b, c in zip(exact, selected, ref):
         assert math.isclose(a, c, rel_tol=1e-12, abs_tol=1e-12)
         assert math.isclose(b, c, rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_drift_carry_over(spark, tmp_out):
+    from tablewise.operators import drift as D
+    hist = f"{tmp_out}/stats"
+    s1 = spark.createDataFrame([("a", 10.0, 1.0, 0.0, 20.0, 0, 5), ("b", 1.0, 0.0, 1.0, 1.0, 0, 5)], D.STATS_SCHEMA)
+    ev, _ = D.carry_over(spark, hist, s1, "r1")
+    assert ev.count() == 0  # first run: nothing to compare
+    s2 = spark.createDataFrame([("a", 13.0, 1.0, 0.0, 20.0, 0, 5), ("c", 1.0, 1.0, 1.0, 1.0, 0, 5)], D.STATS_SCHEMA)
+    ev, _ = D.carry_over(spark, hist, s2, "r2")
+    st = {r["column_name"]: r["status"] for r in ev.collect()}
+    assert st == {"a": "drift", "b": "dropped", "c": "new"}
+    empty = spark.createDataFrame([], D.STATS_SCHEMA)
+    ev, _ = D.carry_over(spark, hist, empty, "r3")  # no features: baseline kept, all dropped
+    assert {r["status"] for r in ev.collect()} == {"dropped"}
+    ev, _ = D.carry_over(spark, hist, s2, "r4")
+    assert {r["status"] for r in ev.collect()} == {"ok"}
