@@ -78,16 +78,19 @@ def rolling_mean(df: DataFrame, key: str, value: str, window: int, out: str = "r
     """
     n = df.count() if n is None else n
     d = df.withColumn("_v", col_(value).cast("double"))
-    if n <= single_block_rows:  # position and running sum from one sort
+    size = F.least(F.col("_pos") + 1, F.lit(window)).cast("double")
+    if n <= single_block_rows:
+        # one sort: position, running sum, and the running sum ``window`` rows back
+        # (an offset frame, O(n))
         w = Window.orderBy(col_(key))
         cum = d.select("*", (F.row_number().over(w) - 1).alias("_pos"),
                        F.sum("_v").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum__v"))
+        joined = cum.withColumn("_back", F.lag("cum__v", window).over(w))
     else:
         idx = ordered_index(d, key, "_pos", n, single_block_rows, block_rows)
         cum = running_sums(idx, "_pos", ["_v"], n, single_block_rows, block_rows)
-    back = cum.select((F.col("_pos") + window).alias("_pos"), F.col("cum__v").alias("_back"))
-    joined = cum.join(back, "_pos", "left")
-    size = F.least(F.col("_pos") + 1, F.lit(window)).cast("double")
+        back = cum.select((F.col("_pos") + window).alias("_pos"), F.col("cum__v").alias("_back"))
+        joined = cum.join(back, "_pos", "left")
     return (joined.withColumn(out, (F.col("cum__v") - F.coalesce(F.col("_back"), F.lit(0.0))) / size)
                   .drop("_pos", "_v", "cum__v", "_back"))
 
