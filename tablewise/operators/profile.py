@@ -82,21 +82,26 @@ def _present(df: DataFrame, c: str):
     return col_(c)
 
 
+SMALL_DISTINCT = 10_000
+
+
 def basic_stats(df: DataFrame, approx_distinct: bool = False) -> dict:
     """Column statistics shared by the column summary, describe, histogram and
-    quantile steps, so a profile reads the table twice for all of them:
-
-    1. one aggregation of plain aggregates: missing counts; count, mean, sample
-       std, min, max for numbers; min / max (as text) for datetimes;
-    2. one aggregation of the distinct counts. Kept apart because Spark expands
-       every input row once per distinct aggregate, and plain aggregates in
-       the same step would be expanded along with them.
+    quantile steps, so a profile reads the table at most twice for all of them:
+
+    1. plain aggregates: missing counts; count, mean, sample std, min, max for
+       numbers; min / max (as text) for datetimes; an estimated distinct count;
+    2. exact distinct counts (skipped when ``approx_distinct``): columns
+       estimated under 10 k values count a bounded ``collect_set``; only the
+       others use ``count_distinct``, which Spark evaluates by expanding every
+       row once per such column.
     """
     from ..plans.ordering import spread
     exprs = {("", "rows"): F.count(F.lit(1))}
     for c in df.columns:
         dt = df.schema[c].dataType
         exprs[(c, "missing")] = _missing(df, c)
+        exprs[(c, "unique")] = F.approx_count_distinct(_present(df, c))
         if S.is_datetime(dt):
             exprs[(c, "min_text")] = F.min(col_(c)).cast("string")
             exprs[(c, "max_text")] = F.max(col_(c)).cast("string")
@@ -108,12 +113,16 @@ def basic_stats(df: DataFrame, approx_distinct: bool = False) -> dict:
             exprs[(c, "min")] = F.min(v)
             exprs[(c, "max")] = F.max(v)
     # sums and means read the input as it is (their last bits then do not depend
-    # on the core count); the distinct counts, exact whatever the row order, are spread
+    # on the core count); the exact distinct counts, order-free, are spread
     out = S.one_row(df, exprs)
-    wide = spread(df)
-    distinct = {(c, "unique"): (F.approx_count_distinct(_present(wide, c)) if approx_distinct
-                                else F.count_distinct(_present(wide, c))) for c in df.columns}
-    out.update(S.one_row(wide, distinct))
+    if not approx_distinct:
+        wide = spread(df)
+        exact = {}
+        for c in df.columns:
+            x = _present(wide, c)
+            exact[(c, "unique")] = (F.size(F.collect_set(x)) if (out[(c, "unique")] or 0) <= SMALL_DISTINCT
+                                    else F.count_distinct(x))
+        out.update(S.one_row(wide, exact))
     return out
 
 
@@ -204,12 +213,12 @@ def histogram(df: DataFrame, cols: list[str] | None = None, stats: dict | None =
 
 def _hist_stats(df: DataFrame, cols: list[str]) -> dict:
     """Stats with an estimated distinct count, made exact where it decides the
-    bin count (estimate <= 40, i.e. cheap low-cardinality columns only)."""
+    bin count (estimate <= 40: small sets, no row expansion)."""
     st = basic_stats(df, approx_distinct=True)
     low = [c for c in cols if (st[(c, "unique")] or 0) <= 2 * K.HIST_MAX_BINS]
     if low:
         st.update({(c, "unique"): v for (c, _), v in
-                   S.one_row(df, {(c, "unique"): F.count_distinct(_present(df, c)) for c in low}).items()})
+                   S.one_row(df, {(c, "unique"): F.size(F.collect_set(_present(df, c))) for c in low}).items()})
     return st
 
 
@@ -255,11 +264,12 @@ def encode_target_for_corr(df: DataFrame, target: str | None, label_map: DataFra
     """Replace a non-numeric target by its label code (text sort order)."""
     if target is None or target not in df.columns or S.is_numeric(df.schema[target].dataType):
         return df
+    from .features import apply_label_mapping, class_names, label_mapping
     if label_map is None:
-        from .features import label_mapping
-        label_map = label_mapping(df, target)
-    from .features import apply_label_mapping
-    return apply_label_mapping(df, target, label_map)
+        names = class_names(label_mapping(df, target))
+        label_map = df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "value string, code bigint")
+        return apply_label_mapping(df, target, label_map, len(names))
+    return apply_label_mapping(df, target, label_map, K.BROADCAST_MAX_ROWS)
 
 
 def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> dict:

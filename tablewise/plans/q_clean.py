@@ -281,3 +281,15 @@ def q_normalize_columns(spark, sf):
 @register("nested_to_text")
 def q_nested_to_text(spark, sf):
     return R.nested_to_text(table(spark, sf, "embeddings"))
+
+
+@register("nested_struct_to_text", """
+SELECT o_orderkey,
+       to_json({'k': o_orderkey, 'status': o_orderstatus, 'parts': [o_custkey, o_orderkey % 7]}) AS nested
+FROM orders""")
+def q_nested_struct_to_text(spark, sf):
+    """A struct holding an array, derived from orders, becomes JSON text."""
+    o = table(spark, sf, "orders")
+    nested = F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"),
+                      F.array(F.col("o_custkey"), F.col("o_orderkey") % 7).alias("parts"))
+    return R.nested_to_text(o.select("o_orderkey", nested.alias("nested")))

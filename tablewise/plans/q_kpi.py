@@ -127,3 +127,15 @@ def q_period_difference(spark, sf):
     m = TS.with_changes(TS.monthly_rollup(table(spark, sf, "orders"), "o_orderdate", "o_totalprice"))
     d = F.when(F.col("change").isNull(), F.lit(None).cast("string")).when(F.col("change") >= 0, "up").otherwise("down")
     return rnd(m.select("period", "value_sum", "change", d.alias("direction")), 6, _MONEY)
+
+
+@register("kpi_unavailable", """
+SELECT count(DISTINCT date_trunc('month', ts)) >= 2 AS available,
+       CASE WHEN count(DISTINCT date_trunc('month', ts)) >= 2 THEN NULL
+            ELSE 'Data spans less than two months — not enough for trends.' END AS reason,
+       'ts' AS date_column, 'value' AS metric_column, CAST(count(DISTINCT date_trunc('month', ts)) AS BIGINT) AS n_months
+FROM events WHERE ts IS NOT NULL AND value IS NOT NULL""")
+def q_kpi_unavailable(spark, sf):
+    """events span one month: the summary must say KPIs are unavailable."""
+    s = TS.kpi_summary(table(spark, sf, "events"))
+    return s.select("available", "reason", "date_column", "metric_column", "n_months")
