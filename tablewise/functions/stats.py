@@ -98,7 +98,15 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             exprs[(c, "nd")] = F.approx_count_distinct(v)
         st = one_row(df, exprs)
     out: dict[str, list] = {}
-    small = [c for c in cols if (st[(c, "nd")] or 0) <= max_distinct_in_memory]
+    # Spark's exact percentile keeps a value->count map per column, and a global
+    # aggregation merges all of them in one final task: admit columns (fewest
+    # distinct values first) while their total stays within the budget.
+    small, used = [], 0
+    for c in sorted(cols, key=lambda c: st[(c, "nd")] or 0):
+        nd = st[(c, "nd")] or 0
+        if used + nd <= max_distinct_in_memory:
+            small.append(c)
+            used += nd
     large = [c for c in cols if c not in small]
     if small:
         res = one_row(df, {c: F.percentile(clean[c], F.array(*[F.lit(float(p)) for p in probs])) for c in small})

@@ -272,6 +272,9 @@ def encode_target_for_corr(df: DataFrame, target: str | None, label_map: DataFra
     return apply_label_mapping(df, target, label_map, K.BROADCAST_MAX_ROWS)
 
 
+_CORR_EXPRS_PER_JOB = 600
+
+
 def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> dict:
     """Pearson r for each pair over rows where both values are present.
 
@@ -306,7 +309,11 @@ def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> dict:
             exprs[("sb", a, b)] = F.sum(F.when(both, z[b]))
             exprs[("qa", a, b)] = F.sum(F.when(both, z[a] * z[a]))
             exprs[("qb", a, b)] = F.sum(F.when(both, z[b] * z[b]))
-    st = S.one_row(df, exprs) if n_all else {}
+    st = {}
+    if n_all:  # bounded generated code: at most _CORR_EXPRS_PER_JOB sums per pass
+        keys = list(exprs)
+        for i in range(0, len(keys), _CORR_EXPRS_PER_JOB):
+            st.update(S.one_row(df, {k: exprs[k] for k in keys[i:i + _CORR_EXPRS_PER_JOB]}))
     out = {}
     for a, b in pairs:
         if not n_all:

@@ -84,3 +84,38 @@ def test_top_k_uses_partial_window_limit(spark):
     df = spark.range(100000).select((F.col("id") % 7).alias("g"), F.col("id").alias("v"))
     plan = S.top_k_per_group(df, ["g"], [F.col("v").desc()], 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_quantile_budget_splits_methods(spark):
+    from tablewise.functions import stats as S
+    rng = np.random.default_rng(5)
+    rows = [(float(rng.normal()), float(rng.integers(0, 5)), float(rng.normal())) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    # budget fits the low-cardinality column only; the others go through selection
+    got = S.exact_quantiles(df, ["a", "b", "c"], [0.1, 0.5, 0.9], max_distinct_in_memory=100)
+    arr = np.array(rows)
+    for i, c in enumerate("abc"):
+        for g, e in zip(got[c], np.quantile(arr[:, i], [0.1, 0.5, 0.9])):
+            assert math.isclose(g, e, rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_wide_correlation_in_chunks(spark):
+    from tablewise.operators import profile as P
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=200)
+    cols = {f"c{i}": base * (i % 3 - 1) + rng.normal(size=200) * 0.1 for i in range(40)}
+    names = list(cols)
+    df = spark.createDataFrame([tuple(float(cols[n][r]) for n in names) for r in range(200)],
+                               ", ".join(f"{n} double" for n in names))
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
+    old = P._CORR_EXPRS_PER_JOB
+    P._CORR_EXPRS_PER_JOB = 50
+    try:
+        r = P._pair_corr(df, pairs)
+    finally:
+        P._CORR_EXPRS_PER_JOB = old
+    m = np.corrcoef(np.array([cols[n] for n in names]))
+    for a, b in pairs:
+        exp = m[names.index(a), names.index(b)]
+        exp = 0.0 if np.isnan(exp) else exp
+        assert math.isclose(r[(a, b)], exp, abs_tol=1e-9)
