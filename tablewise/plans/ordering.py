@@ -100,7 +100,11 @@ def spread(df: DataFrame, min_share: float = 0.5) -> DataFrame:
     cores (a single small file, say), so the aggregations after it run in
     parallel. Inputs that are already split are returned unchanged.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < max(2, int(target * min_share)):
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no local context (remote session): leave the plan as it is
+        return df
+    if current < max(2, int(target * min_share)):
         return df.repartition(target)
     return df
