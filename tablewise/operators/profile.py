@@ -82,26 +82,23 @@ def _present(df: DataFrame, c: str):
     return col_(c)
 
 
-SMALL_DISTINCT = 10_000
-
-
 def basic_stats(df: DataFrame, approx_distinct: bool = False) -> dict:
     """Column statistics shared by the column summary, describe, histogram and
-    quantile steps, so a profile reads the table at most twice for all of them:
-
-    1. plain aggregates: missing counts; count, mean, sample std, min, max for
-       numbers; min / max (as text) for datetimes; an estimated distinct count;
-    2. exact distinct counts (skipped when ``approx_distinct``): columns
-       estimated under 10 k values count a bounded ``collect_set``; only the
-       others use ``count_distinct``, which Spark evaluates by expanding every
-       row once per such column.
+    quantile steps, so a profile reads the table twice for all of them:
+
+    1. plain aggregates on the input as it is (their last bits then do not
+       depend on the core count): missing counts; count, mean, sample std,
+       min, max for numbers; min / max (as text) for datetimes;
+    2. distinct counts (exact, or HyperLogLog estimates on request) over the
+       input spread across the cores; both are independent of row order.
+       Kept apart because Spark expands every row once per distinct aggregate,
+       and plain aggregates in the same step would be expanded with them.
     """
     from ..plans.ordering import spread
     exprs = {("", "rows"): F.count(F.lit(1))}
     for c in df.columns:
         dt = df.schema[c].dataType
         exprs[(c, "missing")] = _missing(df, c)
-        exprs[(c, "unique")] = F.approx_count_distinct(_present(df, c))
         if S.is_datetime(dt):
             exprs[(c, "min_text")] = F.min(col_(c)).cast("string")
             exprs[(c, "max_text")] = F.max(col_(c)).cast("string")
@@ -112,17 +109,10 @@ def basic_stats(df: DataFrame, approx_distinct: bool = False) -> dict:
             exprs[(c, "std")] = F.stddev_samp(v)
             exprs[(c, "min")] = F.min(v)
             exprs[(c, "max")] = F.max(v)
-    # sums and means read the input as it is (their last bits then do not depend
-    # on the core count); the exact distinct counts, order-free, are spread
     out = S.one_row(df, exprs)
-    if not approx_distinct:
-        wide = spread(df)
-        exact = {}
-        for c in df.columns:
-            x = _present(wide, c)
-            exact[(c, "unique")] = (F.size(F.collect_set(x)) if (out[(c, "unique")] or 0) <= SMALL_DISTINCT
-                                    else F.count_distinct(x))
-        out.update(S.one_row(wide, exact))
+    wide = spread(df)
+    count = F.approx_count_distinct if approx_distinct else F.count_distinct
+    out.update(S.one_row(wide, {(c, "unique"): count(_present(wide, c)) for c in df.columns}))
     return out
 
 

@@ -119,3 +119,23 @@ def test_wide_correlation_in_chunks(spark):
         exp = m[names.index(a), names.index(b)]
         exp = 0.0 if np.isnan(exp) else exp
         assert math.isclose(r[(a, b)], exp, abs_tol=1e-9)
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    from tablewise.functions import stats as S
+    from tablewise.operators import clean as C
+    from tablewise.operators import features as FE
+    n = 9000
+    rows = [(i, "hot" if i % 3 == 0 else f"u{i % 500}", 1.0 if i % 3 == 0 else float(i)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, user string, v double").repartition(6)
+    enc = FE.frequency_encode(df, "user", n_rows=n, n_unique=501)
+    got = {r["k"]: r["user"] for r in enc.collect()}
+    assert math.isclose(got[0], 1 / 3) and math.isclose(got[1], (n // 3 * 2 / 500) / n, rel_tol=0.05)
+    plan = enc._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "BroadcastHashJoin" in plan
+    # a third of the rows are copies of one row: de-duplication combines them map-side
+    dup = df.select("user", "v")
+    out = C.drop_duplicates(dup)
+    assert out.where("user = 'hot'").count() == 1
+    assert "HashAggregate" in out._jdf.queryExecution().executedPlan().toString()
+    assert S.modes(df, ["user"]) == {"user": "hot"}
