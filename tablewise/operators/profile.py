@@ -194,7 +194,8 @@ def histogram(df: DataFrame, cols: list[str] | None = None, stats: dict | None =
     grid = spec.select("column_name", "first", "last", "bins",
                        F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"))
     i = F.col("bin")
-    return (grid.join(counts, ["column_name", "bin"], "left")
+    # counts hold at most 20 bins per column: broadcast them onto the grid
+    return (grid.join(F.broadcast(counts), ["column_name", "bin"], "left")
                 .select("column_name", "bin",
                         F.when(i == 0, first).otherwise(first + i * step).alias("lo"),
                         F.when(i + 1 == bins, last).otherwise(first + (i + 1) * step).alias("hi"),
