@@ -262,6 +262,8 @@ def deploy(spark, model: FittedModel, metrics: dict, base: str, source: str | No
     version = now.strftime("%Y%m%dT%H%M%S%f")
     path = f"{base.rstrip('/')}/deployments/{version}"
     model.save(path)
+    from ..sources.sinks import write_json
+    write_json(spark, metrics, f"{path}/metrics.json")  # the version keeps its own metrics copy
     name, value = headline(model.task, metrics)
     ok = value is not None and value >= (K.MIN_ACCURACY if model.task == "classification" else K.MIN_R2)
     label = "accuracy" if model.task == "classification" else "R2"

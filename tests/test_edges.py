@@ -257,3 +257,9 @@ def test_drift_carry_over(spark, tmp_out):
     assert {r["status"] for r in ev.collect()} == {"dropped"}
     ev, _ = D.carry_over(spark, hist, s2, "r4")
     assert {r["status"] for r in ev.collect()} == {"ok"}
+
+
+def test_spark_blank_header_names_are_dropped(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, _c1 int, b int")
+    out, junk = R.normalize_columns(df)
+    assert out.columns == ["a", "b"] and junk == ["_c1"]
