@@ -232,9 +232,13 @@ def importance_summary(imp: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- #
 # M5 scoring
 # --------------------------------------------------------------------------- #
-def score(model: FittedModel, df: DataFrame, key: str, class_names: list[str] | None = None) -> DataFrame:
-    """Predictions table: row, actual, predicted, and confidence + correct, or abs_error."""
-    out = model.transform(df)
+def score(model: FittedModel, df: DataFrame, key: str, class_names: list[str] | None = None,
+          transformed: DataFrame | None = None) -> DataFrame:
+    """Predictions table: row, actual, predicted, and confidence + correct, or abs_error.
+
+    ``transformed`` is ``model.transform(df)`` when the caller already has it.
+    """
+    out = transformed if transformed is not None else model.transform(df)
     y = col_(model.target)
     if model.task == "regression":
         return out.select(col_(key).alias("row"), y.cast("double").alias("actual"),

@@ -107,7 +107,8 @@ def stage_evaluate(r: Run):
     meta, split, info = _split(r)
     model = M.FittedModel.load(r.p("model"))
     test = split if info["train_on_all"] else split.where(F.col("is_test"))
-    preds = M.score(model, test, ROW_KEY, meta["class_names"])
+    scored = model.transform(test).persist()  # read by the predictions table and the AUC below
+    preds = M.score(model, test, ROW_KEY, meta["class_names"], transformed=scored)
     write_table(preds, r.p("predictions.parquet"))
     preds = r.spark.read.parquet(r.p("predictions.parquet"))
     if meta["task_type"] == "classification":
@@ -123,7 +124,7 @@ def stage_evaluate(r: Run):
         else:  # too many classes for a dense matrix: observed cells only
             m.update(confusion_pairs=[(r["actual"], r["predicted"], r["n"]) for r in cm])
         if len(names) <= MAX_AUC_CLASSES:
-            probs = model.transform(test).select(
+            probs = scored.select(
                 F.element_at(F.array(*[F.lit(c) for c in names]), F.col(meta["target_name"]).cast("int") + 1).alias("actual"),
                 *[F.col("probs")[i].alias(f"p{i}") for i in range(len(names))])
             for row in EV.roc_auc(probs, "actual", {c: f"p{i}" for i, c in enumerate(names)}).collect():
@@ -136,6 +137,7 @@ def stage_evaluate(r: Run):
         if m.get("mape") is None:
             m.pop("mape", None)
         m["headline_metric"], m["headline_value"] = "r2", m["r2"]
+    scored.unpersist()
     m.update(task_type=meta["task_type"], target_name=meta["target_name"], n_test=m.pop("n"), evaluated_at=_now())
     write_json(r.spark, m, r.p("metrics.json"))
     return r.p("metrics.json")
