@@ -247,12 +247,10 @@ def recent_tail(df: DataFrame, key: str, value: str, rows: int = K.RECENT_TAIL_R
 
 
 # --------------------------------------------------------------------------- #
-# S: summary helpers shared by the report
+# headline metric of a task
 # --------------------------------------------------------------------------- #
 def headline(task: str, metrics_row: dict) -> tuple[str, float]:
     if task == "classification":
         return "accuracy", metrics_row["accuracy"]
     return "r2", metrics_row["r2"]
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("S", "F", "K", "DataFrame")]

@@ -7,7 +7,6 @@ probabilities are normalised, since Spark's boosted classifier is binary.
 from __future__ import annotations
 
 import datetime as _dt
-import json
 import math
 
 from pyspark.ml import PipelineModel
@@ -334,6 +333,3 @@ def what_if_grid(model: FittedModel, ranges: DataFrame, steps: int = 11,
     return (out.where(F.col("feature") != "__baseline__")
                .withColumn("baseline", F.lit(b)).withColumn("delta", F.col("prediction") - F.lit(b)))
 
-
-__all__ = ["holdout_split", "fit_model", "FittedModel", "feature_importance", "importance_summary", "score",
-           "deploy", "registry", "feature_ranges", "what_if_grid", "class_quotas"]

@@ -10,7 +10,6 @@ import datetime as _dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.scalars import col_
@@ -141,5 +140,3 @@ def bundle_frame(spark: SparkSession, bundle: dict) -> DataFrame:
     return spark.createDataFrame([row], "dataset string, task_type string, target string, kpis_available boolean, "
                                         "n_columns int, bundle string")
 
-
-__all__ = ["preview", "generate", "bundle_frame", "column_summaries", "F"]
