@@ -133,3 +133,5 @@ BROADCAST_MAX_ROWS = 2_000_000
 SINGLE_BLOCK_ROWS = 2_000_000
 ORDER_BLOCK_ROWS = 1_000_000
 EXACT_QUANTILE_MAX_DISTINCT = 5_000_000
+# above this many distinct values a column's quantiles come from the seeded selection
+EXACT_QUANTILE_MAP_MAX_DISTINCT = 1_000_000

@@ -80,8 +80,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     One pass gathers count / min / max / approximate distinct count. Columns with
     few distinct values use Spark's exact ``percentile`` (its value->count map is
     bounded by the distinct count). Columns with more distinct values use a
-    distributed selection: histogram counts over (column, bucket) narrow the
-    range around each wanted rank until one value or a small slice remains.
+    distributed selection seeded by approximate quantiles (``select_ranks``).
     """
     if not cols:
         return {}
@@ -100,11 +99,12 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     out: dict[str, list] = {}
     # Spark's exact percentile keeps a value->count map per column, and a global
     # aggregation merges all of them in one final task: admit columns (fewest
-    # distinct values first) while their total stays within the budget.
+    # distinct values first) while each stays small and their total stays
+    # within the budget.
     small, used = [], 0
     for c in sorted(cols, key=lambda c: st[(c, "nd")] or 0):
         nd = st[(c, "nd")] or 0
-        if used + nd <= max_distinct_in_memory:
+        if nd <= K.EXACT_QUANTILE_MAP_MAX_DISTINCT and used + nd <= max_distinct_in_memory:
             small.append(c)
             used += nd
     large = [c for c in cols if c not in small]
@@ -112,20 +112,86 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
         res = one_row(df, {c: F.percentile(clean[c], F.array(*[F.lit(float(p)) for p in probs])) for c in small})
         for c in small:
             out[c] = list(res[c]) if res[c] is not None else [None] * len(probs)
-    for c in large:
-        n = st[(c, "n")]
-        ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
-        vals = kth_smallest(df.select(clean[c].alias("_x")).where(F.col("_x").isNotNull()), "_x", ranks,
-                            float(st[(c, "min")]), float(st[(c, "max")]))
-        q = []
-        for p in probs:
-            pos = p * (n - 1)
-            lo, hi = vals[math.floor(pos)], vals[math.ceil(pos)]
-            q.append(lo + (hi - lo) * (pos - math.floor(pos)))
-        out[c] = q
+    if large:
+        ranks = {c: sorted({r for p in probs for r in (math.floor(p * (st[(c, "n")] - 1)),
+                                                         math.ceil(p * (st[(c, "n")] - 1)))}) for c in large}
+        vals = select_ranks(df, large, ranks, st)
+        for c in large:
+            n = st[(c, "n")]
+            q = []
+            for p in probs:
+                pos = p * (n - 1)
+                lo, hi = vals[c][math.floor(pos)], vals[c][math.ceil(pos)]
+                q.append(lo + (hi - lo) * (pos - math.floor(pos)))
+            out[c] = q
     return out
 
 
+_APPROX_ACCURACY = 10_000
+
+
+def select_ranks(df: DataFrame, cols: list[str], ranks: dict[str, list[int]], st: dict) -> dict[str, dict[int, float]]:
+    """Exact k-th smallest values (0-based ranks) of several columns.
+
+    1. one pass of ``percentile_approx`` (rank error at most n / accuracy)
+       brackets each wanted rank by two values;
+    2. one counting pass gives, per bracket, the rows below it and inside it,
+       which proves (or refutes) that the rank lies inside;
+    3. brackets small enough are read in one filtered pass and sorted on the
+       driver (at most ``_SELECT_COLLECT_ROWS`` values each); larger ones, and
+       any bracket the count refutes, are narrowed by ``kth_smallest``.
+    Every step is a distributed aggregation or a filter; the answer is exact.
+    """
+    clean = {c: _finite(df, c) for c in cols}
+    probes = {}
+    for c in cols:
+        n = int(st[(c, "n")])
+        margin = 2 * math.ceil(n / _APPROX_ACCURACY) + 2
+        ps = []
+        for k in ranks[c]:
+            ps += [max(0, k - margin) / max(n - 1, 1), min(n - 1, k + margin) / max(n - 1, 1)]
+        probes[c] = F.percentile_approx(clean[c], F.array(*[F.lit(float(p)) for p in ps]), _APPROX_ACCURACY)
+    approx = one_row(df, probes)
+    brackets = {}
+    for c in cols:
+        a = approx[c] or []
+        for j, k in enumerate(ranks[c]):
+            if len(a) > 2 * j + 1 and a[2 * j] is not None:
+                brackets[(c, k)] = (float(a[2 * j]), float(a[2 * j + 1]))
+    counts = one_row(df, {**{(c, k, "below"): F.count(F.when(clean[c] < F.lit(lo), 1))
+                             for (c, k), (lo, hi) in brackets.items()},
+                          **{(c, k, "in"): F.count(F.when(clean[c].between(F.lit(lo), F.lit(hi)), 1))
+                             for (c, k), (lo, hi) in brackets.items()}})
+    done: dict[str, dict[int, float]] = {c: {} for c in cols}
+    read, narrow = [], []
+    for (c, k), (lo, hi) in brackets.items():
+        below, inside = counts[(c, k, "below")], counts[(c, k, "in")]
+        if below <= k < below + inside:
+            (read if inside <= _SELECT_COLLECT_ROWS else narrow).append((c, k, lo, hi, below))
+    if read:
+        hit = [clean[c].between(F.lit(lo), F.lit(hi)) for c, k, lo, hi, _b in read]
+        items = F.array(*[F.when(h, F.struct(F.lit(i).alias("t"), clean[c].alias("x")))
+                          for i, (h, (c, *_rest)) in enumerate(zip(hit, read))])
+        any_hit = hit[0]
+        for h in hit[1:]:
+            any_hit = any_hit | h
+        got: dict[int, list] = {}
+        for r in (df.where(any_hit).select(F.explode(items).alias("r")).where(F.col("r").isNotNull())
+                    .select("r.t", "r.x").collect()):
+            got.setdefault(r["t"], []).append(r["x"])
+        for i, (c, k, lo, hi, below) in enumerate(read):
+            done[c][k] = sorted(got[i])[k - below]
+    for c, k, lo, hi, below in narrow:
+        done[c][k] = kth_smallest(df.select(clean[c].alias("_x")).where(F.col("_x").isNotNull()), "_x", [k],
+                                  lo, hi, below)[k]
+    for c in cols:  # brackets the count refuted: search the whole range
+        missing = [k for k in ranks[c] if k not in done[c]]
+        if missing:
+            done[c].update(kth_smallest(df.select(clean[c].alias("_x")).where(F.col("_x").isNotNull()), "_x",
+                                        missing, float(st[(c, "min")]), float(st[(c, "max")])))
+    return done
+
+
 def _finite(df: DataFrame, c: str) -> Column:
     dt = df.schema[c].dataType
     v = col_(c).cast("double")
@@ -134,9 +200,10 @@ def _finite(df: DataFrame, c: str) -> Column:
     return v
 
 
-def kth_smallest(df: DataFrame, x: str, ranks: list[int], lo: float, hi: float) -> dict[int, float]:
-    """Exact k-th smallest values (0-based ranks) of column ``x`` by distributed selection."""
-    state = {k: {"lo": lo, "hi": hi, "below": 0} for k in ranks}
+def kth_smallest(df: DataFrame, x: str, ranks: list[int], lo: float, hi: float, below: int = 0) -> dict[int, float]:
+    """Exact k-th smallest values (0-based ranks) of column ``x`` by distributed selection
+    within [lo, hi], ``below`` being the number of values under ``lo``."""
+    state = {k: {"lo": lo, "hi": hi, "below": below} for k in ranks}
     done: dict[int, float] = {}
     for _ in range(_SELECT_MAX_PASSES):
         active = {k: s for k, s in state.items() if k not in done}

@@ -139,3 +139,21 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     assert out.where("user = 'hot'").count() == 1
     assert "HashAggregate" in out._jdf.queryExecution().executedPlan().toString()
     assert S.modes(df, ["user"]) == {"user": "hot"}
+
+
+def test_seeded_selection_hot_value_and_narrowing(spark, monkeypatch):
+    """A value holding a third of the rows, NaN and NULL mixed in; brackets read
+    directly, then narrowed by histogram passes when too large to read."""
+    from tablewise.functions import stats as S
+    rng = np.random.default_rng(11)
+    vals = [7.0 if i % 3 == 0 else float(rng.normal() * 100) for i in range(6000)]
+    rows = [(None if i % 50 == 1 else (float("nan") if i % 70 == 2 else v),) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "x double").repartition(4)
+    arr = np.array([r[0] for r in rows if r[0] is not None and not math.isnan(r[0])])
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
+    expected = np.quantile(arr, probs)
+    for collect_rows in (50_000, 5):
+        monkeypatch.setattr(S, "_SELECT_COLLECT_ROWS", collect_rows)
+        got = S.exact_quantiles(df, ["x"], probs, max_distinct_in_memory=0)["x"]
+        for g, e in zip(got, expected):
+            assert math.isclose(g, e, rel_tol=1e-12, abs_tol=1e-12)
