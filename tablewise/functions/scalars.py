@@ -45,10 +45,18 @@ def null_token(c: Column) -> Column:
     return F.when(F.lower(t).isin(*K.NULL_TOKENS), F.lit(None).cast("string")).otherwise(t)
 
 
+# First characters a number or infinity spelling can start with, and the length
+# range of the datetime layouts above: cheap checks that spare free text the
+# regular expressions.
+NUMBER_FIRST_CHARS = ("0", "1", "2", "3", "4", "5", "6", "7", "8", "9", "+", "-", ".", "i", "I")
+DATETIME_MIN_LENGTH = 8
+DATETIME_MAX_LENGTH = 26
+
+
 def parses_as_number(c: Column) -> Column:
     """True where text (already trimmed) is a plain or scientific number or +-inf."""
     t = F.trim(c)
-    return t.rlike(NUMBER_PATTERN) | F.lower(t).rlike(INF_PATTERN)
+    return F.substring(t, 1, 1).isin(*NUMBER_FIRST_CHARS) & (t.rlike(NUMBER_PATTERN) | F.lower(t).rlike(INF_PATTERN))
 
 
 def to_number(c: Column) -> Column:
@@ -62,9 +70,12 @@ def parse_datetime(c: Column) -> Column:
     t = F.trim(c)
     out = None
     for pattern, fmt in DATETIME_LAYOUTS:
-        parsed = F.try_to_timestamp(t, F.lit(fmt))
+        # ISO shapes (year first, dashes): a plain cast parses exactly these and
+        # rejects the same invalid dates, at a fraction of a formatted parse's cost
+        parsed = t.try_cast("timestamp_ntz") if fmt.startswith("yyyy-") else F.try_to_timestamp(t, F.lit(fmt))
         out = F.when(t.rlike(pattern), parsed) if out is None else out.when(t.rlike(pattern), parsed)
-    return out.cast(T.TimestampNTZType())
+    shaped = F.length(t).between(DATETIME_MIN_LENGTH, DATETIME_MAX_LENGTH) & F.substring(t, 1, 1).between("0", "9")
+    return F.when(shaped, out).cast(T.TimestampNTZType())
 
 
 def has_date_hint(c: Column) -> Column:

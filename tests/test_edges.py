@@ -263,3 +263,27 @@ def test_spark_blank_header_names_are_dropped(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, _c1 int, b int")
     out, junk = R.normalize_columns(df)
     assert out.columns == ["a", "b"] and junk == ["_c1"]
+
+
+def test_datetime_layouts_cast_equals_formatted_parse(spark):
+    """Under each layout's shape guard, the parse used equals a formatted parse
+    with that layout, valid and invalid dates and times alike; free text and
+    time-only text give NULL."""
+    import itertools
+    from tablewise.functions.scalars import DATETIME_LAYOUTS, parse_datetime
+    vals = []
+    for y, m, d in itertools.product(["2020", "0001", "9999"], ["1", "02", "12", "13", "00"], ["1", "29", "30", "31", "00"]):
+        vals.append(f"{y}-{m}-{d}")
+        for tm in ["00:00:00", "23:59:59", "24:00:00", "12:60:00", "09:05:07"]:
+            vals += [f"{y}-{m}-{d} {tm}", f"{y}-{m}-{d}T{tm}", f"{y}-{m}-{d} {tm}.123456", f"{y}-{m}-{d} {tm}.123",
+                     f"{y}-{m}-{d} {tm[:5]}", f"{m}/{d}/{y} {tm}", f"{y}/{m}/{d}"]
+    vals += ["12:30", "a 2020-01-01", "2020-01-01 is a date", "", " 1/2/2020 ", "x" * 40]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    expect = None
+    t = F.trim(F.col("s"))
+    for pattern, fmt in DATETIME_LAYOUTS:
+        parsed = F.try_to_timestamp(t, F.lit(fmt))
+        expect = F.when(t.rlike(pattern), parsed) if expect is None else expect.when(t.rlike(pattern), parsed)
+    bad = df.where(~F.equal_null(parse_datetime(F.col("s")), expect.cast("timestamp_ntz")))
+    assert bad.count() == 0
+    assert df.where(parse_datetime(F.col("s")).isNotNull()).count() > 100
