@@ -149,8 +149,10 @@ class FittedModel:
         return sorted(pairs, key=lambda kv: kv[1], reverse=True)
 
     def save(self, path: str) -> None:
-        for i, m in enumerate(self.models):
-            m.write().overwrite().save(f"{path}/booster_{i}")
+        # each booster is written by its own small jobs; the writes are independent
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=min(len(self.models), 8)) as pool:
+            list(pool.map(lambda im: im[1].write().overwrite().save(f"{path}/booster_{im[0]}"), enumerate(self.models)))
         self.assembler.write().overwrite().save(f"{path}/assembler")
         meta = {"task": self.task, "feature_cols": self.feature_cols, "target": self.target,
                 "classes": self.classes, "n_models": len(self.models)}
@@ -162,7 +164,9 @@ class FittedModel:
         from ..sources.sinks import read_json_doc
         meta = read_json_doc(_active(), f"{path}/meta.json")
         cls = GBTRegressionModel if meta["task"] == "regression" else GBTClassificationModel
-        models = [cls.load(f"{path}/booster_{i}") for i in range(meta["n_models"])]
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=min(meta["n_models"], 8)) as pool:
+            models = list(pool.map(lambda i: cls.load(f"{path}/booster_{i}"), range(meta["n_models"])))
         assembler = PipelineModel.load(f"{path}/assembler")
         return FittedModel(meta["task"], meta["feature_cols"], meta["target"], meta["classes"], models, assembler)
 
