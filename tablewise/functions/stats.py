@@ -69,6 +69,7 @@ def long_form(df: DataFrame, cols: list[str], value_type: str = "double",
 # --------------------------------------------------------------------------- #
 _SELECT_BUCKETS = 4096
 _SELECT_COLLECT_ROWS = 50_000
+_SELECT_COLLECT_TOTAL = 2_000_000  # values read to the driver by one selection, all brackets together
 _SELECT_MAX_PASSES = 12
 
 
@@ -163,11 +164,16 @@ def select_ranks(df: DataFrame, cols: list[str], ranks: dict[str, list[int]], st
                           **{(c, k, "in"): F.count(F.when(clean[c].between(F.lit(lo), F.lit(hi)), 1))
                              for (c, k), (lo, hi) in brackets.items()}})
     done: dict[str, dict[int, float]] = {c: {} for c in cols}
-    read, narrow = [], []
-    for (c, k), (lo, hi) in brackets.items():
-        below, inside = counts[(c, k, "below")], counts[(c, k, "in")]
-        if below <= k < below + inside:
-            (read if inside <= _SELECT_COLLECT_ROWS else narrow).append((c, k, lo, hi, below))
+    read, narrow, total = [], [], 0
+    proven = [(counts[(c, k, "in")], c, k, lo, hi, counts[(c, k, "below")]) for (c, k), (lo, hi) in brackets.items()]
+    for inside, c, k, lo, hi, below in sorted(proven, key=lambda t: t[0]):
+        if not below <= k < below + inside:
+            continue
+        if inside <= _SELECT_COLLECT_ROWS and total + inside <= _SELECT_COLLECT_TOTAL:
+            read.append((c, k, lo, hi, below))
+            total += inside
+        else:
+            narrow.append((c, k, lo, hi, below))
     if read:
         hit = [clean[c].between(F.lit(lo), F.lit(hi)) for c, k, lo, hi, _b in read]
         items = F.array(*[F.when(h, F.struct(F.lit(i).alias("t"), clean[c].alias("x")))
@@ -181,9 +187,16 @@ def select_ranks(df: DataFrame, cols: list[str], ranks: dict[str, list[int]], st
             got.setdefault(r["t"], []).append(r["x"])
         for i, (c, k, lo, hi, below) in enumerate(read):
             done[c][k] = sorted(got[i])[k - below]
-    for c, k, lo, hi, below in narrow:
-        done[c][k] = kth_smallest(df.select(clean[c].alias("_x")).where(F.col("_x").isNotNull()), "_x", [k],
-                                  lo, hi, below)[k]
+    if narrow:  # independent chains of small aggregations: run them side by side
+        from concurrent.futures import ThreadPoolExecutor
+
+        def narrow_one(item):
+            c, k, lo, hi, below = item
+            return kth_smallest(df.select(clean[c].alias("_x")).where(F.col("_x").isNotNull()), "_x", [k],
+                                lo, hi, below)[k]
+        with ThreadPoolExecutor(max_workers=min(len(narrow), 8)) as pool:
+            for (c, k, *_rest), v in zip(narrow, pool.map(narrow_one, narrow)):
+                done[c][k] = v
     for c in cols:  # brackets the count refuted: search the whole range
         missing = [k for k in ranks[c] if k not in done[c]]
         if missing:

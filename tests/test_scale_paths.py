@@ -148,12 +148,18 @@ def test_seeded_selection_hot_value_and_narrowing(spark, monkeypatch):
     rng = np.random.default_rng(11)
     vals = [7.0 if i % 3 == 0 else float(rng.normal() * 100) for i in range(6000)]
     rows = [(None if i % 50 == 1 else (float("nan") if i % 70 == 2 else v),) for i, v in enumerate(vals)]
-    df = spark.createDataFrame(rows, "x double").repartition(4)
-    arr = np.array([r[0] for r in rows if r[0] is not None and not math.isnan(r[0])])
+    rows = [(x, float(rng.exponential() * 10)) for (x,) in rows]
+    df = spark.createDataFrame(rows, "x double, y double").repartition(4)
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
-    expected = np.quantile(arr, probs)
-    for collect_rows in (50_000, 5):
+    expected = {}
+    for i, c in enumerate("xy"):
+        arr = np.array([r[i] for r in rows if r[i] is not None and not math.isnan(r[i])])
+        expected[c] = np.quantile(arr, probs)
+    # brackets read whole; too large to read (narrowed); over the total read budget (narrowed)
+    for collect_rows, collect_total in ((50_000, 2_000_000), (5, 2_000_000), (50_000, 10)):
         monkeypatch.setattr(S, "_SELECT_COLLECT_ROWS", collect_rows)
-        got = S.exact_quantiles(df, ["x"], probs, max_distinct_in_memory=0)["x"]
-        for g, e in zip(got, expected):
-            assert math.isclose(g, e, rel_tol=1e-12, abs_tol=1e-12)
+        monkeypatch.setattr(S, "_SELECT_COLLECT_TOTAL", collect_total)
+        got = S.exact_quantiles(df, ["x", "y"], probs, max_distinct_in_memory=0)
+        for c in "xy":
+            for g, e in zip(got[c], expected[c]):
+                assert math.isclose(g, e, rel_tol=1e-12, abs_tol=1e-12)
