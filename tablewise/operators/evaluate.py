@@ -109,7 +109,8 @@ def roc_auc(df: DataFrame, actual: str, prob_cols: dict[str, str]) -> DataFrame:
     """
     spark = df.sparkSession
     y = col_(actual).cast("string")
-    sup = {r["c"]: r["n"] for r in df.groupBy(y.alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sup = {r["c"]: r["n"] for r in df.groupBy(y.alias("c")).agg(F.count(F.lit(1)).alias("n"))
+           .limit(len(prob_cols) + 1).collect()}  # at most one row per known class, plus one to notice more
     present = [c for c in prob_cols if c in sup]
     labels = list(prob_cols)
     if len(sup) == 2 and len(labels) >= 2:
