@@ -74,7 +74,10 @@ def parse_datetime(c: Column) -> Column:
         # rejects the same invalid dates, at a fraction of a formatted parse's cost
         parsed = t.try_cast("timestamp_ntz") if fmt.startswith("yyyy-") else F.try_to_timestamp(t, F.lit(fmt))
         out = F.when(t.rlike(pattern), parsed) if out is None else out.when(t.rlike(pattern), parsed)
-    shaped = F.length(t).between(DATETIME_MIN_LENGTH, DATETIME_MAX_LENGTH) & F.substring(t, 1, 1).between("0", "9")
+    # every layout starts with a digit and has its first separator as the 2nd, 3rd or 5th character
+    sep = F.lit("-"), F.lit("/")
+    shaped = (F.length(t).between(DATETIME_MIN_LENGTH, DATETIME_MAX_LENGTH) & F.substring(t, 1, 1).between("0", "9")
+              & (F.substring(t, 5, 1).isin(*sep) | F.substring(t, 2, 1).isin(*sep) | F.substring(t, 3, 1).isin(*sep)))
     return F.when(shaped, out).cast(T.TimestampNTZType())
 
 
