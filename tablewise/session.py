@@ -52,8 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:  # only when the cluster names none (tests, local runs)
-        configured = tempfile.mkdtemp(prefix="tablewise-ckpt-")
+    if not configured:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="tablewise-ckpt-")  # one machine: tests, local runs
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
