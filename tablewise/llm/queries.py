@@ -4,15 +4,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, langid, packing, sharding
+from . import decontaminate, exact_dedup, langid, near_dedup, packing, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-
 def register(name: str, sql: str | None = None):
     def keep(fn):
         QUERIES[name] = fn
@@ -21,23 +19,19 @@ def register(name: str, sql: str | None = None):
         return fn
     return keep
 
-
 # A-Z lowered and nothing else, in DuckDB
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-
 @register("op3_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens along a Hilbert curve."""
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
-
 @register("op5_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt over 40 shards of near equal bytes."""
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), carry=False)
 
-
 @register("op7_decontamination")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words found in every document."""
@@ -45,7 +39,6 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              carry=False)
     return found.drop("hit_items", "hit_spans")
 
-
 @register("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the folds that are not held out."""
@@ -54,7 +47,6 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, carry=["doc_id"]).select(
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
-
 @register("op9_exact_dedup", f"""
 WITH t AS (SELECT doc_id, sha256({_LOWER.format('text')}) AS text_sha256 FROM documents),
      g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
@@ -63,3 +55,8 @@ FROM t JOIN g USING (text_sha256)""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical documents by content sort."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), carry=False)
+
+@register("op10_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents on sets of four-word shingles."""
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), width=4, carry=False)
