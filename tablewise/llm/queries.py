@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, langid, near_dedup, packing, sharding
+from . import decontaminate, exact_dedup, langid, near_dedup, packing, pii, secrets, sharding
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,11 +22,23 @@ def register(name: str, sql: str | None = None):
 # A-Z lowered and nothing else, in DuckDB
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+@register("op1_pii")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.digests(pii.find_pii(table(spark, sf_dir, "documents"), carry=["doc_id"]))
+
+
 @register("op3_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens along a Hilbert curve."""
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
+@register("op4_secrets")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.digests(secrets.find_secrets(table(spark, sf_dir, "documents"), carry=["doc_id"]))
+
+
 @register("op5_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt over 40 shards of near equal bytes."""
