@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bundle, col, others, small_batches, unbundle, written
+from .common import bundle, col, others, small_batches, travels, unbundle, written
+
+travels(__name__)
 
 WINDOW = 10
 # Benchmark words whose windows one broadcast holds (about 200 bytes a word in a worker).

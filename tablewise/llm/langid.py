@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bundle, col, others, small_batches, unbundle
+from .common import bundle, col, others, small_batches, travels, unbundle
+
+travels(__name__)
 
 # Training reads about this many rows of each language at most (a hash of the id picks them).
 TRAIN_ROWS = 2500

@@ -29,7 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bundle, col, others, small_batches, unbundle, written
+from .common import bundle, col, others, small_batches, travels, unbundle, written
+
+travels(__name__)
 
 SHINGLE = 5
 SIMILARITY = 80  # percent

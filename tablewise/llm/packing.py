@@ -17,7 +17,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, small_batches
+from .common import col, small_batches, travels
+
+travels(__name__)
 
 SEQUENCE = 2048
 END_ID = 1

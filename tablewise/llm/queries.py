@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, langid, near_dedup, packing, pii, secrets, sharding
+from . import decontaminate, exact_dedup, langid, licenses, near_dedup, packing, pii, secrets, sharding, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_pii(table(spark, sf_dir, "documents"), carry=["doc_id"]))
 
 
+@register("op2_license")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences and licence notices in every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 @register("op3_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens along a Hilbert curve."""
@@ -44,6 +50,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt over 40 shards of near equal bytes."""
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), carry=False)
 
+@register("op6_warc")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives, normalised and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @register("op7_decontamination")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words found in every document."""
