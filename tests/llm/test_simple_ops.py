@@ -1,13 +1,12 @@
 """Exact dedup, sharding, decontamination, language ID and packing against brute force."""
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
-
 from tablewise.llm import decontaminate, exact_dedup, langid, packing, queries, sharding
 from tablewise.llm.common import UPPER
 
@@ -262,11 +261,29 @@ def test_packing_awkward(spark, awkward):
     assert packing.pack(make_docs(spark, [])).collect() == []
 
 
-def test_chunks_encode_like_whole_texts():
+def test_ids_equal_the_tokenizer_library():
     enc = packing.Encoder(packing.default_tokenizer())
-    for text in ["", " ", "a  b", "a \n b", "\n\n a", "x  y", "tab\t z", "end  ", "é ñ  1 2", "a\x1c b \x85 c", "''s 's"]:
-        whole = enc.tok.encode(text, add_special_tokens=False).ids
-        assert enc.ids(text).tolist() == whole, repr(text)
+    assert enc.fast is not None
+    rng = random.Random(2)
+    texts = ["", " ", "a  b", "a \n b", "\n\n a", "x  y", "tab\t z", "end  ", "é ñ  1 2", "a\x1c b \x85 c", "''s 's",
+             "a" * 20_000, " " * 5000 + "x", " " * 2_000_000 + "x", "日本語 テキスト", "<|endoftext|> x", "\u200b\u3000 \ufeff", "it'S IT'll"]
+    alphabet = ["a", "B", " ", "  ", "\n", "\t", "'", "s", "ll", "1", "²", "é", "ß", ".", ",", "!!", "\u2028", "\xa0", "\x0b",
+                "\x1f", "\x85", "日", "😀", "\u0301", "_", "-"]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    for text in texts:
+        assert enc.ids(text).tolist() == enc.tok.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_packing_many_ranges(spark, monkeypatch):
+    """Ranges of few bytes, a third of the rows copies of one text: each range is a stream of its own."""
+    monkeypatch.setattr(packing, "RANGE_BYTES", 20_000)
+    rows = [(i, "copy of a text " * 20) for i in range(300)] + [(1000 + i, f"text {i} " * (i % 90)) for i in range(600)]
+    got = packing.pack(make_docs(spark, rows)).collect()
+    check_packing(rows, got, 0.6)
+    by = defaultdict(int)
+    for r in got:
+        by[r.sequence_id >> packing.RANGE_SHIFT] += r.length
+    assert len(by) > 5 and max(by.values()) < 4 * sum(by.values()) / len(by)
 
 
 def test_hilbert_neighbours():
@@ -283,8 +300,3 @@ def test_cuts_fill_sequences():
     assert packing.cuts(2000, 100, 2048) == [(0, 48, 0, 2000), (48, 100, 1, 0)]
     assert packing.cuts(0, 2048, 2048) == [(0, 2048, 0, 0)]
     assert packing.cuts(5, 0, 2048) == []
-
-
-def test_sources_unused_columns(spark):
-    assert "doc_id" in exact_dedup.exact_dedup(make_docs(spark, [(1, "a")]), carry=False).columns
-    assert F is not None
