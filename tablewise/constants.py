@@ -123,15 +123,20 @@ CSV_NA_VALUES = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Characters stripped from both ends of text: all Unicode white space and the four separators.
+WHITE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+               "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+# Month names in dates: the first three letters, and all accepted spellings.
+MONTH_LETTERS = "janfebmaraprmayjunjulaugsepoctnovdec"
+MONTH_NAMES = ("jan", "january", "feb", "february", "mar", "march", "apr", "april", "may", "jun", "june", "jul", "july",
+               "aug", "august", "sep", "sept", "september", "oct", "october", "nov", "november", "dec", "december")
+
+# Why time-based KPIs are missing.
+REASON_NO_DATE = "No datetime column detected — time-based KPIs need a date field."
+REASON_NO_ROWS = "No usable date/metric rows."
+REASON_ONE_MONTH = "Data spans less than two months — not enough for trends."
+
 # Column-name prefix (lower case) of index columns left by spreadsheet exports.
 UNNAMED_PREFIX = "unnamed:"
 # --- end of fixed values ----------------------------------------------------
-
-# Scale knobs (ours, not from the original): sizes above which a side is not
-# broadcast, and the row count below which ordered work runs as one block.
-BROADCAST_MAX_ROWS = 2_000_000
-SINGLE_BLOCK_ROWS = 2_000_000
-ORDER_BLOCK_ROWS = 1_000_000
-EXACT_QUANTILE_MAX_DISTINCT = 5_000_000
-# above this many distinct values a column's quantiles come from the seeded selection
-EXACT_QUANTILE_MAP_MAX_DISTINCT = 1_000_000

@@ -39,9 +39,14 @@ def col_(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def strip(c: Column) -> Column:
+    """Text without white space (any Unicode white space) at either end."""
+    return F.btrim(c, F.lit(K.WHITE_SPACE))
+
+
 def null_token(c: Column) -> Column:
-    """Trim text; trimmed values equal (any case) to a null token become NULL."""
-    t = F.trim(c)
+    """Strip text; stripped values equal (any case) to a null token become NULL."""
+    t = strip(c)
     return F.when(F.lower(t).isin(*K.NULL_TOKENS), F.lit(None).cast("string")).otherwise(t)
 
 
@@ -55,19 +60,22 @@ DATETIME_MAX_LENGTH = 26
 
 def parses_as_number(c: Column) -> Column:
     """True where text (already trimmed) is a plain or scientific number or +-inf."""
-    t = F.trim(c)
+    t = strip(c)
     return F.substring(t, 1, 1).isin(*NUMBER_FIRST_CHARS) & (t.rlike(NUMBER_PATTERN) | F.lower(t).rlike(INF_PATTERN))
 
 
 def to_number(c: Column) -> Column:
     """Text to double, NULL where it does not parse."""
-    t = F.trim(c)
+    t = strip(c)
     return F.when(parses_as_number(t), t.try_cast("double"))
 
 
 def parse_datetime(c: Column) -> Column:
-    """Text to timestamp (no zone) by the first layout that parses, else NULL."""
-    t = F.trim(c)
+    """Text to timestamp (no zone) by the first layout that parses, else NULL.
+
+    Text with a zone or offset becomes UTC. Fractions keep six digits.
+    """
+    t = strip(c)
     out = None
     for pattern, fmt in DATETIME_LAYOUTS:
         # ISO shapes (year first, dashes): a plain cast parses exactly these and
@@ -78,11 +86,71 @@ def parse_datetime(c: Column) -> Column:
     sep = F.lit("-"), F.lit("/")
     shaped = (F.length(t).between(DATETIME_MIN_LENGTH, DATETIME_MAX_LENGTH) & F.substring(t, 1, 1).between("0", "9")
               & (F.substring(t, 5, 1).isin(*sep) | F.substring(t, 2, 1).isin(*sep) | F.substring(t, 3, 1).isin(*sep)))
-    return F.when(shaped, out).cast(T.TimestampNTZType())
+    return F.coalesce(F.when(shaped, out).cast(T.TimestampNTZType()), _other_datetime(t))
+
+
+# Further shapes: a date (ISO, month first, or with a month's name) and an optional time
+# with a fraction, AM / PM, and a zone.
+_DATE = r"^(\d{4}|\d{2})-(\d{1,2})-(\d{1,2})"
+_CLOCK = (r"(?:[T ]\s*(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?\s*(?:([AaPp])\.?[Mm]\.?)?"
+          r"\s*([Zz]|UTC|GMT|[+-]\d{2}:?\d{2})?)?$")
+# what each date becomes: year-month-day, the month's name still to be replaced
+_TO_YMD = (
+    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4}|\d{2})(?!\d)", "$3-$1-$2"),
+    (r"^(\d{1,2})[ -]([A-Za-z]{3,9})\.?,?[ -](\d{4}|\d{2})(?!\d)", "$3-$2-$1"),
+    (r"^([A-Za-z]{3,9})\.? (\d{1,2}),? (\d{4}|\d{2})(?!\d)", "$3-$1-$2"),
+)
+_NAMED = r"^(?:\d{4}|\d{2})-([A-Za-z]+)-"
+OTHER_DATETIME_LENGTH = (6, 45)
+
+
+def _with(value: Column, use) -> Column:
+    """``use(value)``, the value being computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _other_datetime(t: Column) -> Column:
+    """Layouts outside the list: offsets, long fractions, AM / PM, two-digit years, month names."""
+    def numbered(u: Column) -> Column:
+        name = F.lower(F.regexp_extract(u, _NAMED, 1))
+        at = F.instr(F.lit(K.MONTH_LETTERS), F.substring(name, 1, 3))
+        number = F.concat(F.lit("-"), ((at + 2) / 3).cast("int").cast("string"), F.lit("-"))
+        return (F.when(name == "", u)
+                .when(name.isin(*K.MONTH_NAMES), F.regexp_replace(u, F.lit("-[A-Za-z]+-"), number)))
+
+    def moment(u: Column) -> Column:
+        names = ("y", "m", "d", "hour", "minute", "second", "fraction", "half", "zone")
+        parts = F.struct(*[F.regexp_extract(u, _DATE + _CLOCK, k + 1).alias(n) for k, n in enumerate(names)])
+        return F.when(u.rlike(_DATE + _CLOCK), _with(parts, assembled))
+
+    def assembled(g: Column) -> Column:
+        # two digits: 69 to 99 are the last century
+        year = F.when(F.length(g["y"]) == 4, g["y"]).otherwise(
+            F.concat(F.when(g["y"].cast("int") >= 69, "19").otherwise("20"), g["y"]))
+        hour = g["hour"].cast("int")
+        hour = (F.when(g["half"] == "", hour).when(~hour.between(1, 12), F.lit(None))
+                .otherwise(hour % 12 + F.when(F.lower(g["half"]) == "p", 12).otherwise(0)))
+        offset = F.when(g["zone"].rlike("^[A-Za-z]"), "Z").otherwise(
+            F.regexp_replace(g["zone"], "^(.\\d\\d)(\\d\\d)$", "$1:$2"))
+        day = F.concat_ws("-", year, F.lpad(g["m"], 2, "0"), F.lpad(g["d"], 2, "0"))
+        clock = F.concat(F.lpad(hour.cast("string"), 2, "0"), F.lit(":"), g["minute"], F.lit(":"),
+                         F.rpad(g["second"], 2, "0"), F.lit("."), F.rpad(F.left(g["fraction"], F.lit(6)), 6, "0"))
+        text = F.when(g["hour"] == "", day).otherwise(F.concat(day, F.lit(" "), clock))
+        utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                 F.concat(text, offset).try_cast("timestamp").cast("timestamp_ntz"))
+        return F.when((g["hour"] != "") & (g["zone"] != ""), utc).otherwise(text.try_cast("timestamp_ntz"))
+
+    ymd = t
+    for pattern, order in _TO_YMD:
+        ymd = F.regexp_replace(ymd, pattern, order)
+    # an ISO date with a time has two-digit months and days
+    likely = (F.length(t).between(*OTHER_DATETIME_LENGTH)
+              & t.rlike(r"^(?:\d{1,2}[-/ ]|\d{4}-\d{2}-\d{2}[T ]|[A-Za-z]{3,9}\.? \d)"))
+    return F.when(likely, _with(_with(ymd, numbered), moment))
 
 
 def has_date_hint(c: Column) -> Column:
-    return F.coalesce(F.trim(c).rlike("[-/:]"), F.lit(False))
+    return F.coalesce(c.rlike("[-/:]"), F.lit(False))
 
 
 def is_finite(c: Column) -> Column:

@@ -67,144 +67,33 @@ def long_form(df: DataFrame, cols: list[str], value_type: str = "double",
 # --------------------------------------------------------------------------- #
 # Exact quantiles (linear interpolation between closest ranks)
 # --------------------------------------------------------------------------- #
-_SELECT_BUCKETS = 4096
-_SELECT_COLLECT_ROWS = 50_000
-_SELECT_COLLECT_TOTAL = 2_000_000  # values read to the driver by one selection, all brackets together
-_SELECT_MAX_PASSES = 12
+_SELECT_BUCKETS = 2048
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    max_distinct_in_memory: int = K.EXACT_QUANTILE_MAX_DISTINCT,
-                    stats: dict | None = None) -> dict[str, list]:
-    """Exact quantiles of numeric columns, NULL and NaN ignored.
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], stats: dict | None = None) -> dict[str, list]:
+    """Exact quantiles of numeric columns, NULL and NaN ignored; one method at every size.
 
-    One pass gathers count / min / max / approximate distinct count. Columns with
-    few distinct values use Spark's exact ``percentile`` (its value->count map is
-    bounded by the distinct count). Columns with more distinct values use a
-    distributed selection seeded by approximate quantiles (``select_ranks``).
+    ``stats`` may hold n, min and max of each column, else one pass gathers them. The two
+    ranks around each quantile are then found by ``select_ranks``.
     """
     if not cols:
         return {}
     clean = {c: _finite(df, c) for c in cols}
     if stats is not None:
-        st = {(c, k): stats[c][k] for c in cols for k in ("n", "min", "max", "nd")}
+        st = {(c, k): stats[c][k] for c in cols for k in ("n", "min", "max")}
     else:
-        exprs = {}
-        for c in cols:
-            v = clean[c]
-            exprs[(c, "n")] = F.count(v)
-            exprs[(c, "min")] = F.min(v)
-            exprs[(c, "max")] = F.max(v)
-            exprs[(c, "nd")] = F.approx_count_distinct(v)
-        st = one_row(df, exprs)
-    out: dict[str, list] = {}
-    # Spark's exact percentile keeps a value->count map per column, and a global
-    # aggregation merges all of them in one final task: admit columns (fewest
-    # distinct values first) while each stays small and their total stays
-    # within the budget.
-    small, used = [], 0
-    for c in sorted(cols, key=lambda c: st[(c, "nd")] or 0):
-        nd = st[(c, "nd")] or 0
-        if nd <= K.EXACT_QUANTILE_MAP_MAX_DISTINCT and used + nd <= max_distinct_in_memory:
-            small.append(c)
-            used += nd
-    large = [c for c in cols if c not in small]
-    if small:
-        res = one_row(df, {c: F.percentile(clean[c], F.array(*[F.lit(float(p)) for p in probs])) for c in small})
-        for c in small:
-            out[c] = list(res[c]) if res[c] is not None else [None] * len(probs)
-    if large:
-        ranks = {c: sorted({r for p in probs for r in (math.floor(p * (st[(c, "n")] - 1)),
-                                                         math.ceil(p * (st[(c, "n")] - 1)))}) for c in large}
-        vals = select_ranks(df, large, ranks, st)
-        for c in large:
-            n = st[(c, "n")]
-            q = []
-            for p in probs:
-                pos = p * (n - 1)
-                lo, hi = vals[c][math.floor(pos)], vals[c][math.ceil(pos)]
-                q.append(lo + (hi - lo) * (pos - math.floor(pos)))
-            out[c] = q
+        st = one_row(df, {(c, k): f(clean[c]) for c in cols
+                          for k, f in (("n", F.count), ("min", F.min), ("max", F.max))})
+    place = {c: [p * (st[(c, "n")] - 1) for p in probs] for c in cols if st[(c, "n")]}
+    found = select_ranks(df, {c: sorted({r for x in at for r in (math.floor(x), math.ceil(x))})
+                              for c, at in place.items()}, st)
+    out: dict[str, list] = {c: [None] * len(probs) for c in cols}
+    for c, at in place.items():
+        low = [(found[c][math.floor(x)], found[c][math.ceil(x)], x - math.floor(x)) for x in at]
+        out[c] = [lo + (hi - lo) * part for lo, hi, part in low]
     return out
 
 
-_APPROX_ACCURACY = 10_000
-
-
-def select_ranks(df: DataFrame, cols: list[str], ranks: dict[str, list[int]], st: dict) -> dict[str, dict[int, float]]:
-    """Exact k-th smallest values (0-based ranks) of several columns.
-
-    1. one pass of ``percentile_approx`` (rank error at most n / accuracy)
-       brackets each wanted rank by two values;
-    2. one counting pass gives, per bracket, the rows below it and inside it,
-       which proves (or refutes) that the rank lies inside;
-    3. brackets small enough are read in one filtered pass and sorted on the
-       driver (at most ``_SELECT_COLLECT_ROWS`` values each); larger ones, and
-       any bracket the count refutes, are narrowed by ``kth_smallest``.
-    Every step is a distributed aggregation or a filter; the answer is exact.
-    """
-    clean = {c: _finite(df, c) for c in cols}
-    probes = {}
-    for c in cols:
-        n = int(st[(c, "n")])
-        margin = 2 * math.ceil(n / _APPROX_ACCURACY) + 2
-        ps = []
-        for k in ranks[c]:
-            ps += [max(0, k - margin) / max(n - 1, 1), min(n - 1, k + margin) / max(n - 1, 1)]
-        probes[c] = F.percentile_approx(clean[c], F.array(*[F.lit(float(p)) for p in ps]), _APPROX_ACCURACY)
-    approx = one_row(df, probes)
-    brackets = {}
-    for c in cols:
-        a = approx[c] or []
-        for j, k in enumerate(ranks[c]):
-            if len(a) > 2 * j + 1 and a[2 * j] is not None:
-                brackets[(c, k)] = (float(a[2 * j]), float(a[2 * j + 1]))
-    counts = one_row(df, {**{(c, k, "below"): F.count(F.when(clean[c] < F.lit(lo), 1))
-                             for (c, k), (lo, hi) in brackets.items()},
-                          **{(c, k, "in"): F.count(F.when(clean[c].between(F.lit(lo), F.lit(hi)), 1))
-                             for (c, k), (lo, hi) in brackets.items()}})
-    done: dict[str, dict[int, float]] = {c: {} for c in cols}
-    read, narrow, total = [], [], 0
-    proven = [(counts[(c, k, "in")], c, k, lo, hi, counts[(c, k, "below")]) for (c, k), (lo, hi) in brackets.items()]
-    for inside, c, k, lo, hi, below in sorted(proven, key=lambda t: t[0]):
-        if not below <= k < below + inside:
-            continue
-        if inside <= _SELECT_COLLECT_ROWS and total + inside <= _SELECT_COLLECT_TOTAL:
-            read.append((c, k, lo, hi, below))
-            total += inside
-        else:
-            narrow.append((c, k, lo, hi, below))
-    if read:
-        hit = [clean[c].between(F.lit(lo), F.lit(hi)) for c, k, lo, hi, _b in read]
-        items = F.array(*[F.when(h, F.struct(F.lit(i).alias("t"), clean[c].alias("x")))
-                          for i, (h, (c, *_rest)) in enumerate(zip(hit, read))])
-        any_hit = hit[0]
-        for h in hit[1:]:
-            any_hit = any_hit | h
-        got: dict[int, list] = {}
-        for r in (df.where(any_hit).select(F.explode(items).alias("r")).where(F.col("r").isNotNull())
-                    .select("r.t", "r.x").collect()):
-            got.setdefault(r["t"], []).append(r["x"])
-        for i, (c, k, lo, hi, below) in enumerate(read):
-            done[c][k] = sorted(got[i])[k - below]
-    if narrow:  # independent chains of small aggregations: run them side by side
-        from concurrent.futures import ThreadPoolExecutor
-
-        def narrow_one(item):
-            c, k, lo, hi, below = item
-            return kth_smallest(df.select(clean[c].alias("_x")).where(F.col("_x").isNotNull()), "_x", [k],
-                                lo, hi, below)[k]
-        with ThreadPoolExecutor(max_workers=min(len(narrow), 8)) as pool:
-            for (c, k, *_rest), v in zip(narrow, pool.map(narrow_one, narrow)):
-                done[c][k] = v
-    for c in cols:  # brackets the count refuted: search the whole range
-        missing = [k for k in ranks[c] if k not in done[c]]
-        if missing:
-            done[c].update(kth_smallest(df.select(clean[c].alias("_x")).where(F.col("_x").isNotNull()), "_x",
-                                        missing, float(st[(c, "min")]), float(st[(c, "max")])))
-    return done
-
-
 def _finite(df: DataFrame, c: str) -> Column:
     dt = df.schema[c].dataType
     v = col_(c).cast("double")
@@ -213,55 +102,50 @@ def _finite(df: DataFrame, c: str) -> Column:
     return v
 
 
-def kth_smallest(df: DataFrame, x: str, ranks: list[int], lo: float, hi: float, below: int = 0) -> dict[int, float]:
-    """Exact k-th smallest values (0-based ranks) of column ``x`` by distributed selection
-    within [lo, hi], ``below`` being the number of values under ``lo``."""
-    state = {k: {"lo": lo, "hi": hi, "below": below} for k in ranks}
-    done: dict[int, float] = {}
-    for _ in range(_SELECT_MAX_PASSES):
-        active = {k: s for k, s in state.items() if k not in done}
-        for k, s in list(active.items()):
-            if s["lo"] == s["hi"]:
-                done[k] = s["lo"]
-                del active[k]
-        if not active:
+def select_ranks(df: DataFrame, ranks: dict[str, list[int]], st: dict) -> dict[str, dict[int, float]]:
+    """Exact k-th smallest values (0-based ranks) of several columns by histogram refinement.
+
+    Each pass counts, for every interval that still holds a wanted rank, the values in equal
+    parts of it (all columns in one aggregation, combined map-side) and keeps the part
+    that holds the rank, cut to its least and largest value. A part of one value is the
+    answer. At most _SELECT_BUCKETS numbers an interval are read here.
+    """
+    done: dict[str, dict[int, float]] = {c: {} for c in ranks}
+    state = {(c, k): (float(st[(c, "min")]), float(st[(c, "max")]), 0) for c, ks in ranks.items() for k in ks}
+    while state:
+        for (c, k), (lo, hi, _) in list(state.items()):
+            if lo == hi:
+                done[c][k] = lo
+                del state[(c, k)]
+        spans = list(dict.fromkeys((c, *s) for (c, _), s in state.items()))
+        if not spans:
             break
-        ranges = {}
-        for k, s in active.items():
-            ranges.setdefault((s["lo"], s["hi"], s["below"]), []).append(k)
-        keys = list(ranges)
-        spec = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(lo_).alias("lo"), F.lit(hi_).alias("hi"))
-                         for i, (lo_, hi_, _b) in enumerate(keys)])
-        xc = F.col(x)
-        hits = (df.select(xc, F.explode(spec).alias("_r"))
-                  .where((xc >= F.col("_r.lo")) & (xc <= F.col("_r.hi")))
-                  .select(F.col("_r.t").alias("t"),
-                          F.least(F.floor((xc - F.col("_r.lo")) / (F.col("_r.hi") - F.col("_r.lo")) * _SELECT_BUCKETS),
-                                  F.lit(_SELECT_BUCKETS - 1)).cast("int").alias("b"), xc.alias("x")))
-        hist = hits.groupBy("t", "b").agg(F.count("*").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect()
-        by_t: dict[int, list] = {}
-        for r in hist:
-            by_t.setdefault(r["t"], []).append(r)
-        for i, key in enumerate(keys):
-            _lo, _hi, below = key
-            rows = sorted(by_t.get(i, []), key=lambda r: r["b"])
-            for k in ranges[key]:
-                acc = below
-                for r in rows:
-                    if acc + r["n"] > k:
-                        if r["mn"] == r["mx"]:
-                            done[k] = r["mn"]
-                        elif r["n"] <= _SELECT_COLLECT_ROWS:
-                            vals = [v[0] for v in df.where((xc >= r["mn"]) & (xc <= r["mx"])).select(xc)
-                                    .orderBy(xc).collect()]
-                            done[k] = vals[k - acc]
-                        else:
-                            state[k] = {"lo": r["mn"], "hi": r["mx"], "below": acc}
+        pieces = []
+        for i, (c, lo, hi, _) in enumerate(spans):
+            v = _finite(df, c)
+            # halves first: hi - lo may exceed the largest double
+            part = (v / 2 - lo / 2) / (hi / 2 - lo / 2) * _SELECT_BUCKETS
+            cell = F.least(F.floor(part), F.lit(_SELECT_BUCKETS - 1)).cast("int")
+            # infinities have cells of their own; beside one of them all finite values share a cell
+            cell = F.when(v == F.lit(float("inf")), _SELECT_BUCKETS).when(v == F.lit(float("-inf")), -1).otherwise(
+                F.when(F.isnan(part), 0).otherwise(cell))
+            pieces.append(F.when(v.between(F.lit(lo), F.lit(hi)), F.struct(F.lit(i).alias("t"), cell.alias("b"), v.alias("x"))))
+        cells = (df.select(F.explode(F.array(*pieces)).alias("r")).where(F.col("r").isNotNull()).select("r.*")
+                 .groupBy("t", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+        by: dict[int, list] = {}
+        for r in cells.collect():
+            by.setdefault(r["t"], []).append(r)
+        for i, span in enumerate(spans):
+            parts = sorted(by[i], key=lambda r: r["lo"])
+            for (c, k), s in list(state.items()):
+                if (c, *s) != span:
+                    continue
+                below = s[2]
+                for r in parts:
+                    if k < below + r["n"]:
+                        state[(c, k)] = (r["lo"], r["hi"], below)
                         break
-                    acc += r["n"]
-    missing = [k for k in ranks if k not in done]
-    if missing:
-        raise RuntimeError(f"selection did not converge for ranks {missing}")
+                    below += r["n"]
     return done
 
 

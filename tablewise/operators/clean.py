@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import stats as S
-from ..functions.scalars import INTEGER_PATTERN, col_, has_date_hint, null_token, parse_datetime, to_number
+from ..functions.scalars import INTEGER_PATTERN, col_, has_date_hint, null_token, parse_datetime, strip, to_number
 
 
 def _cols(df: DataFrame, key: str | None) -> list[str]:
@@ -94,7 +94,7 @@ def coercion_stats(df: DataFrame, key: str | None = None) -> dict:
         if isinstance(f.dataType, T.StringType):
             exprs[("nn", f.name)] = F.count(c)
             exprs[("num", f.name)] = F.count(to_number(c))
-            exprs[("int", f.name)] = F.count(F.when(F.trim(c).rlike(INTEGER_PATTERN), F.trim(c).try_cast("bigint")))
+            exprs[("int", f.name)] = F.count(F.when(strip(c).rlike(INTEGER_PATTERN), strip(c).try_cast("bigint")))
             exprs[("hint", f.name)] = F.max(has_date_hint(c).cast("int"))
             exprs[("dt", f.name)] = F.count(parse_datetime(c))
     return S.one_row(df, exprs)
@@ -132,7 +132,7 @@ def apply_coercion(df: DataFrame, plan: dict) -> DataFrame:
         if c in plan["sparse"]:
             continue
         if c in plan["integer"]:
-            out.append(F.trim(col_(c)).try_cast("bigint").alias(c))
+            out.append(strip(col_(c)).try_cast("bigint").alias(c))
         elif c in plan["numeric"]:
             out.append(to_number(col_(c)).alias(c))
         elif c in plan["datetime"]:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..sources.sinks import path_exists
 
 STATS_SCHEMA = "column_name string, mean double, std double, min double, max double, nulls bigint, rows bigint"
 RUN_SCHEMA = ("run_id string, timestamp string, source string, status string, duration_seconds double, "
@@ -57,13 +58,12 @@ def carry_over(spark: SparkSession, history_path: str, current: DataFrame, run_i
     An empty ``current`` (no numeric features) leaves the stored baseline as it is,
     so every previous column reads as dropped.
     """
-    try:
+    first = not path_exists(spark, history_path)  # any other trouble with the baseline is an error
+    if first:
+        previous = spark.createDataFrame([], STATS_SCHEMA)
+    else:
         hist = spark.read.parquet(history_path)
         previous = latest_snapshot(hist).select(*[c.split()[0] for c in STATS_SCHEMA.split(", ")])
-        first = False
-    except Exception:  # no baseline yet
-        previous = spark.createDataFrame([], STATS_SCHEMA)
-        first = True
     events = drift_check(current, previous) if not first else spark.createDataFrame(
         [], "column_name string, prev_mean double, curr_mean double, prev_std double, shift_stds double, "
             "status string, is_event boolean")
@@ -87,15 +87,14 @@ def artifact_health(spark: SparkSession, run_dir: str, expected=K.EXPECTED_ARTIF
     """
     base = run_dir.rstrip("/")
     exp = spark.createDataFrame([(a,) for a in expected], "artifact string")
-    try:
+    found = spark.createDataFrame([], "artifact string, bytes bigint, mtime timestamp")
+    if path_exists(spark, base):
         files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
                  .select("path", "length", "modificationTime"))
         rel = F.regexp_replace(F.col("path"), r"^.*?" + _re_escape(base.split("://")[-1]) + "/", "")
         found = (files.withColumn("artifact", F.split(rel, "/").getItem(0))
                       .groupBy("artifact").agg(F.sum("length").alias("bytes"),
                                                F.max("modificationTime").alias("mtime")))
-    except Exception:  # empty or missing folder
-        found = spark.createDataFrame([], "artifact string, bytes bigint, mtime timestamp")
     now = F.current_timestamp()
     return (exp.join(found, "artifact", "left")
                .select("artifact", F.col("bytes").isNotNull().alias("present"),
@@ -117,8 +116,7 @@ def run_history(runs: DataFrame, keep: int = K.MAX_HISTORY) -> DataFrame:
     ``failed_count`` counts status = 'failed'; ``not_success`` is total - success
     (the two differ when a run is still 'running').
     """
-    w = Window.orderBy(F.col("timestamp").desc(), F.col("run_id").desc())
-    last = runs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= keep)
+    last = runs.orderBy(F.col("timestamp").desc(), F.col("run_id").desc()).limit(keep)
     return last.agg(F.count(F.lit(1)).alias("total_runs"),
                     F.sum((F.col("status") == "success").cast("long")).alias("success_count"),
                     F.sum((F.col("status") == "failed").cast("long")).alias("failed_count"),
@@ -128,10 +126,12 @@ def run_history(runs: DataFrame, keep: int = K.MAX_HISTORY) -> DataFrame:
 
 def recent_runs(runs: DataFrame, n: int = K.RECENT_RUNS) -> DataFrame:
     """The last ``n`` runs with the change of the headline metric from the run before."""
+    newest = (F.col("timestamp").desc(), F.col("run_id").desc())
     w = Window.orderBy("timestamp", "run_id")
-    d = runs.withColumn("prev_headline", F.lag("headline_value").over(w)) \
+    # one run more than shown, for the change of the oldest
+    d = runs.orderBy(*newest).limit(n + 1).withColumn("prev_headline", F.lag("headline_value").over(w)) \
             .withColumn("headline_change", F.col("headline_value") - F.col("prev_headline"))
-    return d.orderBy(F.col("timestamp").desc(), F.col("run_id").desc()).limit(n)
+    return d.orderBy(*newest).limit(n)
 
 
 # --------------------------------------------------------------------------- #

@@ -1,19 +1,19 @@
 """Evaluation on scored rows (M6-M11) and holdout diagnostics.
 
 Metrics are one aggregation over the scored rows (or over the small
-(actual, predicted) count table). ROC-AUC uses Spark ML's exact evaluator
-(``numBins=0``: distributed sort of distinct scores, ties averaged).
+(actual, predicted) count table). ROC-AUC is exact, ties averaged, all classes
+in one grouped pass.
 """
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import stats as S
 from ..functions.scalars import col_, grade
 from ..plans.ordering import rolling_mean
+from ..session import scratch_path
 
 
 # --------------------------------------------------------------------------- #
@@ -47,12 +47,13 @@ def pair_counts(df: DataFrame, actual: str = "actual", predicted: str = "predict
 def classification_metrics(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """One row: n, accuracy, support-weighted precision / recall / F1 (0 where 0/0)."""
     pc = pair_counts(df, actual, predicted)
-    tp = pc.where(F.col("actual") == F.col("predicted")).select(F.col("actual").alias("cls"), F.col("n").alias("tp"))
-    sup = pc.groupBy(F.col("actual").alias("cls")).agg(F.sum("n").alias("support"))
-    prd = pc.groupBy(F.col("predicted").alias("cls")).agg(F.sum("n").alias("npred"))
-    per = (sup.join(prd, "cls", "full").join(tp, "cls", "left")
-              .select("cls", F.coalesce("support", F.lit(0)).alias("support"),
-                      F.coalesce("npred", F.lit(0)).alias("npred"), F.coalesce("tp", F.lit(0)).alias("tp")))
+    # each (actual, predicted) count speaks for two classes: one scan, one grouping by class
+    sides = F.array(F.struct(F.col("actual").alias("cls"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("npred"),
+                             F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).alias("tp")),
+                    F.struct(F.col("predicted").alias("cls"), F.lit(0).cast("bigint").alias("support"),
+                             F.col("n").alias("npred"), F.lit(0).cast("bigint").alias("tp")))
+    per = (pc.select(F.explode(sides).alias("s")).groupBy("s.cls")
+             .agg(*[F.sum(f"s.{c}").alias(c) for c in ("support", "npred", "tp")]))
     prec = F.when(F.col("npred") > 0, F.col("tp") / F.col("npred")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
@@ -65,29 +66,27 @@ def classification_metrics(df: DataFrame, actual: str = "actual", predicted: str
                    (F.sum(F.col("f1") * F.col("support")) / total).alias("f1_weighted"))
 
 
-MAX_GRID_CLASSES = 2_000
-
-
 def confusion_matrix(df: DataFrame, actual: str = "actual", predicted: str = "predicted",
-                     classes: list[str] | None = None) -> DataFrame:
-    """(actual, predicted, n) for every pair of classes, zeros included.
+                     classes: list[str] | DataFrame | None = None) -> DataFrame:
+    """(actual, predicted, n) for every pair of classes, zeros included, at any number of classes.
 
-    Above 2,000 classes the zero cells are left out (the grid would grow with
-    the square of the class count); observed pairs are always complete.
+    ``classes`` may be a list or a one-column frame of labels; without it the
+    labels that occur are used. The result has classes x classes rows because
+    that is what a confusion matrix holds; rows are made in the executors, one
+    class a row, and the class list is never read here.
     """
     pc = pair_counts(df, actual, predicted)
     spark = df.sparkSession
-    if classes is not None and len(classes) > MAX_GRID_CLASSES:
-        return pc.select("actual", "predicted", F.col("n").cast("bigint"))
     if classes is None:
-        seen = pc.select(F.col("actual").alias("c")).union(pc.select(F.col("predicted").alias("c"))).distinct()
-        got = seen.limit(MAX_GRID_CLASSES + 1).collect()
-        if len(got) > MAX_GRID_CLASSES:
-            return pc.select("actual", "predicted", F.col("n").cast("bigint"))
-        classes = sorted(r["c"] for r in got if r["c"] is not None)
-    # the class grid is classes x classes rows, built from the (bounded) class list
-    grid = (spark.createDataFrame([(c,) for c in classes], "actual string")
-                 .select("actual", F.explode(F.array(*[F.lit(c) for c in classes])).alias("predicted")))
+        names = pc.select(F.explode(F.array("actual", "predicted")).alias("c")).where(F.col("c").isNotNull()).distinct()
+    elif isinstance(classes, DataFrame):
+        names = classes.toDF("c").distinct()
+    else:
+        names = spark.createDataFrame([(c,) for c in classes], "c string")
+    # the label list rides along as one array a row: the matrix is its rows exploded
+    every = names.agg(F.array_sort(F.collect_set("c")).alias("all")).withColumn("_k", F.lit(1))
+    grid = (names.withColumn("_k", F.lit(1)).join(F.broadcast(every), "_k")
+            .select(F.col("c").alias("actual"), F.explode("all").alias("predicted")))
     return (grid.join(pc, ["actual", "predicted"], "left")
                 .select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
@@ -95,10 +94,28 @@ def confusion_matrix(df: DataFrame, actual: str = "actual", predicted: str = "pr
 # --------------------------------------------------------------------------- #
 # M9 ROC-AUC
 # --------------------------------------------------------------------------- #
-def _auc(df: DataFrame, label: F.Column, score: F.Column) -> float | None:
-    d = df.select(label.cast("double").alias("_y"), score.cast("double").alias("_s"))
-    ev = BinaryClassificationEvaluator(rawPredictionCol="_s", labelCol="_y", metricName="areaUnderROC", numBins=0)
-    return float(ev.evaluate(d))
+def class_aucs(scores: DataFrame) -> DataFrame:
+    """(cls, auc, support) from rows (cls, hit, score): hit is 1 where the row is of the class.
+
+    Rank-sum form, ties averaged: the rows of each class and score are counted first, then
+    running totals over the distinct scores of each class (cut into ranges, so that no
+    class is one task's work) give every positive the negatives it outranks.
+    """
+    spark = scores.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tally = scores.groupBy("cls", "score").agg(F.sum("hit").alias("pos"), (F.count(F.lit(1)) - F.sum("hit")).alias("neg"))
+    path = scratch_path(spark, "auc")
+    (tally.repartitionByRange(parts, "cls", "score").withColumn("_part", F.spark_partition_id()).write.parquet(path))
+    tally = spark.read.parquet(path)
+    runs = tally.groupBy("cls", "_part").agg(F.sum("neg").alias("_neg"))
+    before = Window.partitionBy("cls").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("cls", "_part", F.coalesce(F.sum("_neg").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("cls", "_part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_base") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
+    won = (tally.join(runs, ["cls", "_part"])
+           .withColumn("won", F.col("pos").cast("double") * (below + F.col("neg") / 2.0)))
+    total = won.groupBy("cls").agg(F.sum("won").alias("won"), F.sum("pos").alias("support"), F.sum("neg").alias("neg"))
+    return total.select("cls", (F.col("won") / (F.col("support") * F.col("neg").cast("double"))).alias("auc"), "support")
 
 
 def roc_auc(df: DataFrame, actual: str, prob_cols: dict[str, str]) -> DataFrame:
@@ -106,28 +123,28 @@ def roc_auc(df: DataFrame, actual: str, prob_cols: dict[str, str]) -> DataFrame:
     or one-vs-rest AUC weighted by support over the classes present.
 
     ``prob_cols`` maps class label (as text) -> probability column, in class order.
+    All classes are evaluated by one grouped pass, whatever their number.
     """
     spark = df.sparkSession
     y = col_(actual).cast("string")
-    sup = {r["c"]: r["n"] for r in df.groupBy(y.alias("c")).agg(F.count(F.lit(1)).alias("n"))
-           .limit(len(prob_cols) + 1).collect()}  # at most one row per known class, plus one to notice more
-    present = [c for c in prob_cols if c in sup]
     labels = list(prob_cols)
-    if len(sup) == 2 and len(labels) >= 2:
-        pos = max(sup)  # the larger label is the positive class
-        v = _auc(df, (y == F.lit(pos)).cast("int"), col_(prob_cols[labels[1]]))
-        return spark.createDataFrame([("roc_auc", v)], "metric string, value double")
-    if len(sup) > 2 and len(present) == len(sup):
-        total = sum(sup.values())
-        # one exact evaluation (a distributed sort) per class: independent jobs, submitted side by side
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=min(len(present), 8)) as pool:
-            aucs = list(pool.map(lambda c: _auc(df, (y == F.lit(c)).cast("int"), col_(prob_cols[c])), present))
-        acc = 0.0
-        for c, v in zip(present, aucs):  # summed in class order, as before
-            acc += sup[c] / total * v
-        return spark.createDataFrame([("roc_auc_ovr_weighted", acc)], "metric string, value double")
-    return spark.createDataFrame([], "metric string, value double")
+    seen = (df.groupBy(y.alias("c")).agg(F.count(F.lit(1)).alias("n"))
+            .limit(len(labels) + 1).collect())  # a row a known class at most, and one to notice a foreign one
+    present = {r["c"] for r in seen}
+    empty = spark.createDataFrame([], "metric string, value double")
+    if len(present) == 2 and len(labels) >= 2:
+        score = col_(prob_cols[labels[1]]).cast("double")
+        rows = df.select(F.lit("positive").alias("cls"), (y == F.lit(max(present))).cast("bigint").alias("hit"),
+                         score.alias("score"))
+        return class_aucs(rows).select(F.lit("roc_auc").alias("metric"), F.col("auc").alias("value"))
+    if len(present) > 2 and present <= set(labels):
+        pairs = F.array(*[F.struct(F.lit(c).alias("cls"), col_(prob_cols[c]).cast("double").alias("score"))
+                          for c in labels if c in present])
+        rows = df.select(y.alias("_y"), F.explode(pairs).alias("p")).select(
+            "p.cls", (F.col("_y") == F.col("p.cls")).cast("bigint").alias("hit"), "p.score")
+        return class_aucs(rows).agg((F.sum(F.col("auc") * F.col("support")) / F.sum("support")).alias("value")).select(
+            F.lit("roc_auc_ovr_weighted").alias("metric"), "value")
+    return empty
 
 
 # --------------------------------------------------------------------------- #
@@ -158,7 +175,7 @@ def rolling_rmse(df: DataFrame, key: str, actual: str = "actual", predicted: str
     """sqrt(mean squared error) over the last max(5, n // 10) rows in ``key`` order."""
     n = df.count()
     e = df.withColumn("_se", (col_(actual).cast("double") - col_(predicted).cast("double")) ** 2)
-    r = rolling_mean(e, key, "_se", rolling_window(n), "_rm", n)
+    r = rolling_mean(e, key, "_se", rolling_window(n), "_rm")
     return r.withColumn("rolling_rmse", F.sqrt("_rm")).withColumn("window", F.lit(rolling_window(n))).drop("_se", "_rm")
 
 
@@ -166,7 +183,7 @@ def rolling_accuracy(df: DataFrame, key: str, correct: str = "correct") -> DataF
     """Share correct over the last max(5, n // 10) rows in ``key`` order."""
     n = df.count()
     e = df.withColumn("_c", col_(correct).cast("double"))
-    r = rolling_mean(e, key, "_c", rolling_window(n), "rolling_accuracy", n)
+    r = rolling_mean(e, key, "_c", rolling_window(n), "rolling_accuracy")
     return r.withColumn("window", F.lit(rolling_window(n))).drop("_c")
 
 
@@ -214,7 +231,7 @@ def linear_fit(df: DataFrame, key: str, value: str) -> dict:
     n = d.count()
     if n < K.FORECAST_MIN_ROWS:
         return {"n": n, "slope": None, "intercept": None, "last": None}
-    x = ordered_index(d, key, "_x", n)
+    x = ordered_index(d, key, "_x")
     st = x.agg(F.regr_slope("_y", F.col("_x").cast("double")).alias("slope"),
                F.regr_intercept("_y", F.col("_x").cast("double")).alias("intercept")).first()
     last = d.orderBy(col_(key).desc()).limit(1).first()["_y"]

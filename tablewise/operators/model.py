@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import stats as S
@@ -27,15 +28,18 @@ _BLOCK_BITS = 20  # hash order is cut into 2^20 blocks per stratum
 # --------------------------------------------------------------------------- #
 # M1 holdout split
 # --------------------------------------------------------------------------- #
-def class_quotas(counts: dict, n_test: int) -> dict:
-    """Largest-remainder allocation of ``n_test`` rows over strata (ties by label)."""
-    n = sum(counts.values())
-    base = {c: (n_test * k) // n for c, k in counts.items()}
-    rem = {c: (n_test * k) % n for c, k in counts.items()}
-    extra = n_test - sum(base.values())
-    for c in sorted(counts, key=lambda c: (-rem[c], str(c)))[:extra]:
-        base[c] += 1
-    return base
+def stratum_quotas(strata: DataFrame, n: int, n_test: int) -> DataFrame:
+    """Largest-remainder allocation of ``n_test`` of ``n`` rows over strata (s, n): adds ``quota``.
+
+    Ties go by label. A row a stratum, ranked by a distributed sort, so the number of
+    strata is not limited.
+    """
+    from ..plans.ordering import ordered_index
+    share = strata.withColumn("base", F.expr(f"({n_test} * n) div {n}")).withColumn(
+        "order", F.struct((-F.expr(f"({n_test} * n) % {n}")).alias("rest"), F.col("s").alias("label")))
+    ranked = ordered_index(share, "order", "place")
+    extra = n_test - (ranked.agg(F.sum("base")).first()[0] or 0)
+    return ranked.select("s", "n", (F.col("base") + (F.col("place") < extra).cast("bigint")).alias("quota"))
 
 
 def holdout_split(df: DataFrame, key: str, target: str | None = None, task: str = "regression",
@@ -46,58 +50,52 @@ def holdout_split(df: DataFrame, key: str, target: str | None = None, task: str
     Rows are ordered by xxhash64(key, seed), so the split is fixed for a table
     whatever its partitioning. Per-stratum quotas are met without sorting a
     stratum in one task: counts per (stratum, hash block) locate the block
-    holding each quota boundary, and only that block's rows are ranked.
-    Under 10 rows every row is both train and test.
+    holding each quota boundary, and only that block's rows are ranked. Quotas and
+    boundaries stay tables (a row a stratum) that are joined to the rows.
+    Under 10 rows every row is both train and test. ``info["strata"]`` holds (s, n, quota).
     """
+    from ..session import scratch_path
     strat = F.lit("_all")
     info = {"stratified": False, "train_on_all": False}
+    whole = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     if task == "classification" and target is not None:
-        counts = {r["s"]: r["n"] for r in df.groupBy(col_(target).cast("string").alias("s"))
-                  .agg(F.count(F.lit(1)).alias("n")).collect()}
-        n = sum(counts.values())
-        if len(counts) > 1 and min(counts.values()) >= 2:
-            strat = col_(target).cast("string")
-            info["stratified"] = True
-        else:
-            counts = {"_all": n}
-    else:
-        n = df.count()
-        counts = {"_all": n}
-    if n < K.MIN_ROWS_FOR_HOLDOUT:
-        info.update(train_on_all=True, n_test=n, n_train=n)
+        label = F.coalesce(col_(target).cast("string"), F.lit(""))
+        sizes = df.groupBy(label.alias("s")).agg(F.count(F.lit(1)).alias("n"))
+        seen = sizes.agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).first()
+        if seen["k"] > 1 and seen["least"] >= 2:
+            strat, info["stratified"] = label, True
+    if whole < K.MIN_ROWS_FOR_HOLDOUT:
+        info.update(train_on_all=True, n_test=whole, n_train=whole)
         return df.withColumn("is_test", F.lit(True)), info
-    n_test = math.ceil(test_size * n)
-    quotas = class_quotas(counts, n_test)
+    n_test = math.ceil(test_size * whole)
     h = F.xxhash64(col_(key), F.lit(seed))
     blk = (F.shiftright(h, 64 - _BLOCK_BITS) + F.lit(1 << (_BLOCK_BITS - 1))).cast("int")
     d = df.withColumn("_s", strat).withColumn("_h", h).withColumn("_b", blk)
-    qmap = F.create_map(*[x for s, q in quotas.items() for x in (F.lit(s), F.lit(q))])
-    bc = d.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    spark = df.sparkSession
+
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        frame.write.parquet(path)
+        return spark.read.parquet(path)
+
+    blocks = kept(d.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_n")), "split-blocks")
+    strata = stratum_quotas(blocks.groupBy(F.col("_s").alias("s")).agg(F.sum("_n").alias("n")), whole, n_test)
     w = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = bc.withColumn("_cum", F.sum("_n").over(w)).withColumn("_q", qmap[F.col("_s")])
-    edge = (cum.where((F.col("_cum") >= F.col("_q")) & (F.col("_q") > 0))
-               .groupBy("_s").agg(F.min(F.struct("_b", "_cum", "_n")).alias("e"))
-               .select("_s", F.col("e._b").alias("tb"), (F.col("e._cum") - F.col("e._n")).alias("before"))
-               .collect())
-    tb = {r["_s"]: r["tb"] for r in edge}
-    need = {r["_s"]: quotas[r["_s"]] - r["before"] for r in edge}
-    tbmap = F.create_map(*[x for s, b in tb.items() for x in (F.lit(s), F.lit(b))]) if tb else None
-    if tbmap is None:
-        info.update(n_test=0, n_train=n)
-        return df.withColumn("is_test", F.lit(False)), info
+    edges = (blocks.withColumn("_cum", F.sum("_n").over(w)).join(strata.select(F.col("s").alias("_s"), "quota"), "_s")
+             .where((F.col("_cum") >= F.col("quota")) & (F.col("quota") > 0))
+             .groupBy("_s").agg(F.min(F.struct("_b", "_cum", "_n", "quota")).alias("e"))
+             .select("_s", F.col("e._b").alias("_eb"), (F.col("e.quota") - F.col("e._cum") + F.col("e._n")).alias("_need")))
+    edges = kept(edges, "split-edges")
     # rank inside the boundary blocks only (about n / 2^20 rows per stratum)
-    edge_rows = d.where(F.col("_b") == tbmap[F.col("_s")])
-    rw = Window.partitionBy("_s").orderBy("_h", col_(key))
-    needmap = F.create_map(*[x for s, k in need.items() for x in (F.lit(s), F.lit(k))])
-    cut = (edge_rows.withColumn("_r", F.row_number().over(rw)).where(F.col("_r") == needmap[F.col("_s")])
-                    .select("_s", "_h", col_(key).alias("_k")).collect())
-    last_h = F.create_map(*[x for r in cut for x in (F.lit(r["_s"]), F.lit(r["_h"]))])
-    last_k = F.create_map(*[x for r in cut for x in (F.lit(r["_s"]), F.lit(r["_k"]))])
-    b, s = F.col("_b"), F.col("_s")
-    in_test = (F.coalesce(b < tbmap[s], F.lit(False))
-               | ((b == tbmap[s]) & ((F.col("_h") < last_h[s]) | ((F.col("_h") == last_h[s]) & (col_(key) <= last_k[s])))))
-    out = d.withColumn("is_test", F.coalesce(in_test, F.lit(False))).drop("_s", "_h", "_b")
-    info.update(n_test=n_test, n_train=n - n_test, quotas=quotas)
+    rank = Window.partitionBy("_s").orderBy("_h", col_(key))
+    last = (d.join(edges, "_s").where(F.col("_b") == F.col("_eb")).withColumn("_r", F.row_number().over(rank))
+            .where(F.col("_r") == F.col("_need")).select("_s", "_eb", F.col("_h").alias("_lh"), col_(key).alias("_lk")))
+    last = kept(last, "split-last")
+    in_test = ((F.col("_b") < F.col("_eb")) | ((F.col("_b") == F.col("_eb")) & (
+        (F.col("_h") < F.col("_lh")) | ((F.col("_h") == F.col("_lh")) & (col_(key) <= F.col("_lk"))))))
+    out = (d.join(last, "_s", "left").withColumn("is_test", F.coalesce(in_test, F.lit(False)))
+           .select(*[col_(c) for c in df.columns], "is_test"))
+    info.update(n_test=n_test, n_train=whole - n_test, strata=strata)
     return out, info
 
 
@@ -238,12 +236,12 @@ def importance_summary(imp: DataFrame) -> DataFrame:
 # M5 scoring
 # --------------------------------------------------------------------------- #
 def score(model: FittedModel, df: DataFrame, key: str, class_names: list[str] | None = None,
-          transformed: DataFrame | None = None) -> DataFrame:
+          probs: bool = False) -> DataFrame:
     """Predictions table: row, actual, predicted, and confidence + correct, or abs_error.
 
-    ``transformed`` is ``model.transform(df)`` when the caller already has it.
+    With ``probs`` the probabilities of all classes are kept (column ``probs``).
     """
-    out = transformed if transformed is not None else model.transform(df)
+    out = model.transform(df)
     y = col_(model.target)
     if model.task == "regression":
         return out.select(col_(key).alias("row"), y.cast("double").alias("actual"),
@@ -256,7 +254,7 @@ def score(model: FittedModel, df: DataFrame, key: str, class_names: list[str] |
     else:
         act, prd = y.cast("string"), F.col("prediction").cast("int").cast("string")
     return (out.select(col_(key).alias("row"), act.alias("actual"), prd.alias("predicted"),
-                       F.array_max("probs").alias("confidence"))
+                       F.array_max("probs").alias("confidence"), *(["probs"] if probs else []))
                .withColumn("correct", F.col("actual") == F.col("predicted")))
 
 
@@ -293,8 +291,8 @@ def deploy(spark, model: FittedModel, metrics: dict, base: str, source: str | No
 def registry(spark, base: str) -> DataFrame:
     """All promotions with ``live`` marking the latest one."""
     reg = spark.read.parquet(f"{base.rstrip('/')}/registry")
-    w = Window.orderBy(F.col("deployed_at").desc(), F.col("version").desc())
-    return reg.withColumn("live", F.row_number().over(w) == 1)
+    last = reg.agg(F.max(F.struct("deployed_at", "version")).alias("m")).first()["m"]
+    return reg.withColumn("live", (F.col("deployed_at") == last["deployed_at"]) & (F.col("version") == last["version"]))
 
 
 # --------------------------------------------------------------------------- #
@@ -312,30 +310,56 @@ def feature_ranges(features: DataFrame, ordered: list[str]) -> DataFrame:
     return features.sparkSession.createDataFrame(rows, "position int, feature string, min double, max double, mean double")
 
 
+def what_if(model: FittedModel, scenarios: DataFrame, features: str = "features",
+            class_names: list[str] | None = None) -> DataFrame:
+    """Predictions for scenarios; ``features`` is a struct of feature values, so any number of them
+    may be moved at once and no feature's name can clash with a scenario column.
+
+    Regression adds ``prediction``; classes add ``predicted_class``, ``confidence`` and
+    ``class_probs`` (one probability a class).
+    """
+    keep = [c for c in scenarios.columns if c != features]
+    rows = scenarios.select(F.struct(*[col_(c) for c in keep]).alias("_scenario"),
+                            *[col_(features).getField(f).cast("double").alias(f) for f in model.feature_cols])
+    if "_scenario" in model.feature_cols:
+        raise ValueError("a feature is called _scenario")
+    pred = model.transform(rows)
+    back = [F.col("_scenario").getField(c).alias(c) for c in keep]
+    if model.task == "regression":
+        return pred.select(*back, F.col("prediction"))
+    code = F.col("prediction").cast("int")
+    label = F.element_at(F.array(*[F.lit(c) for c in class_names]), code + 1) if class_names else code.cast("string")
+    return pred.select(*back, label.alias("predicted_class"), F.array_max("probs").alias("confidence"),
+                       F.col("probs").alias("class_probs"))
+
+
 def what_if_grid(model: FittedModel, ranges: DataFrame, steps: int = 11,
-                 max_features: int = K.MAX_WHATIF_FEATURES) -> DataFrame:
+                 max_features: int = K.MAX_WHATIF_FEATURES, class_names: list[str] | None = None) -> DataFrame:
     """Predictions when one influential feature moves across its range, the rest at their means.
 
-    Constant features are skipped; at most 12 features; ``delta`` is the change
-    from the all-means baseline prediction. Scenario rows: features x steps.
+    Constant features are skipped; at most 12 features; scenario rows: features x steps.
+    Regression: ``baseline`` is the all-means prediction, ``delta`` the change from it. Classes:
+    ``baseline_class``, and ``class_changed`` tells whether the predicted class is another one.
     """
     spark = ranges.sparkSession
     rg = {r["feature"]: r for r in ranges.collect()}
     base = {f: float(rg[f]["mean"]) if f in rg and rg[f]["mean"] is not None else 0.0 for f in model.feature_cols}
     movable = [r["feature"] for r in sorted(rg.values(), key=lambda r: r["position"])
                if r["max"] is not None and r["max"] > r["min"]][:max_features]
-    rows = [("__baseline__", 0, None, *[base[f] for f in model.feature_cols])]
+    rows = [(None, 0, None, tuple(base.values()))]
     for f in movable:
         lo, hi = float(rg[f]["min"]), float(rg[f]["max"])
         for i in range(steps):
             v = lo + (hi - lo) * i / (steps - 1)
-            rows.append((f, i, v, *[v if g == f else base[g] for g in model.feature_cols]))
-    schema = "feature string, step int, value double, " + ", ".join(f"`{c}` double" for c in model.feature_cols)
-    scen = spark.createDataFrame(rows, schema)
-    pred = model.transform(scen)
-    out = pred.select("feature", "step", "value", F.col("prediction").alias("prediction"),
-                      *([F.array_max("probs").alias("confidence")] if model.task == "classification" else []))
-    b = out.where(F.col("feature") == "__baseline__").select(F.col("prediction").alias("_base")).first()["_base"]
-    return (out.where(F.col("feature") != "__baseline__")
-               .withColumn("baseline", F.lit(b)).withColumn("delta", F.col("prediction") - F.lit(b)))
-
+            rows.append((f, i, v, tuple(v if g == f else base[g] for g in model.feature_cols)))
+    fields = T.StructType([T.StructField(c, T.DoubleType()) for c in model.feature_cols])
+    schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("step", T.IntegerType()),
+                           T.StructField("value", T.DoubleType()), T.StructField("features", fields)])
+    out = what_if(model, spark.createDataFrame(rows, schema), class_names=class_names)
+    rest = out.where(F.col("feature").isNull()).first()
+    moved = out.where(F.col("feature").isNotNull())
+    if model.task == "regression":
+        b = F.lit(rest["prediction"])
+        return moved.withColumn("baseline", b).withColumn("delta", F.col("prediction") - b)
+    b = F.lit(rest["predicted_class"])
+    return moved.withColumn("baseline_class", b).withColumn("class_changed", F.col("predicted_class") != b)

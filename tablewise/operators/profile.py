@@ -36,24 +36,20 @@ def detect_date_column(df: DataFrame) -> str | None:
 
 
 def detect_metric_column(df: DataFrame, date_col: str | None, target: str | None) -> str | None:
-    """Metric column: name hint, else a numeric target, else highest std/|mean|."""
-    numeric = [c for c in S.numeric_columns(df)
-               if c != date_col and not any(h in c.lower() for h in K.ID_HINTS)]
-    if not numeric:
-        return None
-    for c in numeric:
-        if any(h in c.lower() for h in K.METRIC_HINTS):
-            return c
-    if target in numeric:
-        return target
-    st = S.one_row(df, {c: F.when(F.avg(col_(c)) != 0, F.stddev_samp(col_(c)) / F.abs(F.avg(col_(c))))
-                        .otherwise(F.lit(0.0)) for c in numeric})
-    best, best_v = numeric[0], None
-    for c in numeric:
-        v = st[c]
-        if v is not None and (best_v is None or v > best_v):
-            best, best_v = c, v
-    return best
+    """The best-ranked numeric column that is no id: a metric's name first, then the target, then
+    the largest spread relative to the mean; position decides ties."""
+    def named(c: str, words: tuple[str, ...]) -> bool:
+        return any(w in c.lower() for w in words)
+
+    candidates = [c for c in S.numeric_columns(df) if c != date_col and not named(c, K.ID_HINTS)]
+    rank = {c: 0 if named(c, K.METRIC_HINTS) else 1 if c == target else 2 for c in candidates}
+    best = min(rank.values(), default=None)
+    top = [c for c in candidates if rank[c] == best]
+    if best != 2:
+        return top[0] if top else None
+    mean = {c: F.avg(col_(c)) for c in top}
+    spread = S.one_row(df, {c: F.when(mean[c] != 0, F.stddev_samp(col_(c)) / F.abs(mean[c])).otherwise(0.0) for c in top})
+    return max(top, key=lambda c: (spread[c] is not None, spread[c] or 0.0, -top.index(c)))
 
 
 # --------------------------------------------------------------------------- #
@@ -89,12 +85,10 @@ def basic_stats(df: DataFrame, approx_distinct: bool = False) -> dict:
     1. plain aggregates on the input as it is (their last bits then do not
        depend on the core count): missing counts; count, mean, sample std,
        min, max for numbers; min / max (as text) for datetimes;
-    2. distinct counts (exact, or HyperLogLog estimates on request) over the
-       input spread across the cores; both are independent of row order.
+    2. distinct counts (exact, or HyperLogLog estimates on request).
        Kept apart because Spark expands every row once per distinct aggregate,
        and plain aggregates in the same step would be expanded with them.
     """
-    from ..plans.ordering import spread
     exprs = {("", "rows"): F.count(F.lit(1))}
     for c in df.columns:
         dt = df.schema[c].dataType
@@ -110,12 +104,29 @@ def basic_stats(df: DataFrame, approx_distinct: bool = False) -> dict:
             exprs[(c, "min")] = F.min(v)
             exprs[(c, "max")] = F.max(v)
     out = S.one_row(df, exprs)
-    wide = spread(df)
-    count = F.approx_count_distinct if approx_distinct else F.count_distinct
-    out.update(S.one_row(wide, {(c, "unique"): count(_present(wide, c)) for c in df.columns}))
+    if approx_distinct:
+        out.update(S.one_row(df, {(c, "unique"): F.approx_count_distinct(_present(df, c)) for c in df.columns}))
+    else:
+        out.update({(c, "unique"): n for c, n in exact_distinct(df, df.columns).items()})
     return out
 
 
+def exact_distinct(df: DataFrame, cols: list[str]) -> dict[str, int]:
+    """Exact distinct values of each column.
+
+    Two 64-bit hashes stand for a value, so long texts are not moved; equal ones of one
+    column are combined before the shuffle, and no column is one task's work.
+    """
+    if not cols:
+        return {}
+    pairs = F.array(*[F.when(_present(df, c).isNotNull(), F.struct(
+        F.lit(i).alias("c"), F.xxhash64(_present(df, c)).alias("h"), F.xxhash64(_present(df, c), F.lit(1)).alias("g")))
+        for i, c in enumerate(cols)])
+    seen = df.select(F.explode(pairs).alias("p")).where(F.col("p").isNotNull()).select("p.*").distinct()
+    n = {r["c"]: r["n"] for r in seen.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {c: n.get(i, 0) for i, c in enumerate(cols)}
+
+
 def column_summary(df: DataFrame, approx_distinct: bool = False, stats: dict | None = None) -> DataFrame:
     """Per column: position, dtype, kind, missing, n_unique, min/max text for datetimes."""
     st = stats or basic_stats(df, approx_distinct)
@@ -132,14 +143,11 @@ def column_summary(df: DataFrame, approx_distinct: bool = False, stats: dict | N
 # --------------------------------------------------------------------------- #
 def numeric_describe(df: DataFrame, cols: list[str] | None = None, stats: dict | None = None) -> DataFrame:
     """count, mean, sample std, min, q25, median, q75, max per numeric column (exact quantiles)."""
-    from ..plans.ordering import spread
     cols = cols if cols is not None else S.numeric_columns(df)
     df = df.select(*[col_(c) for c in cols])
-    # the distinct count only picks the quantile method, so an estimate will do
     st = stats or basic_stats(df, approx_distinct=True)
-    pre = {c: {"n": st[(c, "n")], "min": st[(c, "min")], "max": st[(c, "max")], "nd": st[(c, "unique")]}
-           for c in cols}
-    qs = S.exact_quantiles(spread(df), cols, [0.25, 0.5, 0.75], stats=pre)
+    pre = {c: {"n": st[(c, "n")], "min": st[(c, "min")], "max": st[(c, "max")]} for c in cols}
+    qs = S.exact_quantiles(df, cols, [0.25, 0.5, 0.75], stats=pre)
     rows = []
     for i, c in enumerate(cols):
         q = qs.get(c, [None, None, None])
@@ -165,8 +173,7 @@ def histogram(df: DataFrame, cols: list[str] | None = None, stats: dict | None =
     schema = "column_name string, bin int, lo double, hi double, cnt bigint"
     if not cols:
         return spark.createDataFrame([], schema)
-    from ..plans.ordering import spread
-    df = spread(df.select(*[col_(c) for c in cols]))
+    df = df.select(*[col_(c) for c in cols])
     st = stats or _hist_stats(df, cols)
     spec_rows = []
     for c in cols:
@@ -179,27 +186,24 @@ def histogram(df: DataFrame, cols: list[str] | None = None, stats: dict | None =
         spec_rows.append((c, float(lo), float(hi), bins))
     if not spec_rows:
         return spark.createDataFrame([], schema)
-    spec = spark.createDataFrame(spec_rows, "column_name string, first double, last double, bins int")
-    vals = S.long_form(df, [r[0] for r in spec_rows], "double").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    x, first, last, bins = F.col("value"), F.col("first"), F.col("last"), F.col("bins")
-    step = (last - first) / bins
-    raw = F.least(F.floor((x - first) * (bins / (last - first))).cast("int"), bins - 1)
-    edge = lambda i: F.when(i == bins, last).otherwise(first + i * step)
-    fixed = (F.when(x < edge(F.col("_b")), F.col("_b") - 1)
-              .when((x >= edge(F.col("_b") + 1)) & (F.col("_b") != bins - 1), F.col("_b") + 1)
-              .otherwise(F.col("_b")))
-    counts = (vals.join(F.broadcast(spec), "column_name")
-                  .withColumn("_b", raw).withColumn("bin", fixed)
-                  .groupBy("column_name", "bin").agg(F.count("*").alias("cnt")))
-    grid = spec.select("column_name", "first", "last", "bins",
-                       F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"))
-    i = F.col("bin")
-    # counts hold at most 20 bins per column: broadcast them onto the grid
-    return (grid.join(F.broadcast(counts), ["column_name", "bin"], "left")
-                .select("column_name", "bin",
-                        F.when(i == 0, first).otherwise(first + i * step).alias("lo"),
-                        F.when(i + 1 == bins, last).otherwise(first + (i + 1) * step).alias("hi"),
-                        F.coalesce("cnt", F.lit(0)).cast("bigint").alias("cnt")))
+    # bin edges are literals: values below each inner edge are counted, neighbours subtracted
+    edges = {c: [first + i * (last - first) / bins for i in range(bins)] + [last] for c, first, last, bins in spec_rows}
+    counts: dict = {}
+    for k in range(0, len(spec_rows), HIST_COLUMNS_PER_JOB):
+        part = spec_rows[k:k + HIST_COLUMNS_PER_JOB]
+        below = {}
+        for c, _, _, bins in part:
+            v = _present(df, c).cast("double")
+            below |= {(c, i): F.count(F.when(v < F.lit(edges[c][i]), 1)) for i in range(1, bins)}
+            below[(c, bins)] = F.count(v)
+        counts |= S.one_row(df, below)
+    rows = [(c, i, edges[c][i], edges[c][i + 1], int(counts[(c, i + 1)] - counts.get((c, i), 0)))
+            for c, _, _, bins in spec_rows for i in range(bins)]
+    return spark.createDataFrame(rows, schema)
+
+
+# Columns counted by one job: the aggregate buffer holds at most 20 numbers a column.
+HIST_COLUMNS_PER_JOB = 25
 
 
 def _hist_stats(df: DataFrame, cols: list[str]) -> dict:
@@ -255,12 +259,8 @@ def encode_target_for_corr(df: DataFrame, target: str | None, label_map: DataFra
     """Replace a non-numeric target by its label code (text sort order)."""
     if target is None or target not in df.columns or S.is_numeric(df.schema[target].dataType):
         return df
-    from .features import apply_label_mapping, class_names, label_mapping
-    if label_map is None:
-        names = class_names(label_mapping(df, target))
-        label_map = df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "value string, code bigint")
-        return apply_label_mapping(df, target, label_map, len(names))
-    return apply_label_mapping(df, target, label_map, K.BROADCAST_MAX_ROWS)
+    from .features import apply_label_mapping, label_mapping
+    return apply_label_mapping(df, target, label_mapping(df, target) if label_map is None else label_map)
 
 
 _CORR_EXPRS_PER_JOB = 600

@@ -26,16 +26,20 @@ def monthly_rollup(df: DataFrame, date_col: str, metric_col: str) -> DataFrame:
               .where(F.col("month_start").isNotNull() & F.col("v").isNotNull() & ~F.isnan("v")))
     agg = base.groupBy("month_start").agg(F.sum("v").alias("value_sum"), F.avg("v").alias("value_mean"),
                                           F.count("v").alias("value_count"))
-    bounds = agg.agg(F.min("month_start").alias("m0"), F.max("month_start").alias("m1"))
-    spine = bounds.select(F.col("m0"), F.explode(F.sequence("m0", "m1", F.expr("interval 1 month"))).alias("month_start"))
-    out = (spine.join(agg, "month_start", "left")
-                .select("month_start",
-                        F.date_format("month_start", "yyyy-MM").alias("period"),
-                        ((F.year("month_start") - F.year("m0")) * 12 + F.month("month_start") - F.month("m0")).alias("month_idx"),
-                        F.coalesce("value_sum", F.lit(0.0)).alias("value_sum"),
-                        F.col("value_mean"),
-                        F.coalesce("value_count", F.lit(0)).cast("bigint").alias("value_count")))
-    return out
+    # gaps are filled from each month to the next one: windows over one row a month, one scan of the table
+    by_month = Window.orderBy("month_start")
+    following = F.lead("month_start").over(by_month)
+    filled = (agg.withColumn("m0", F.min("month_start").over(Window.partitionBy()))
+              .withColumn("months", F.sequence(F.col("month_start"), F.coalesce(F.add_months(following, -1), F.col("month_start")),
+                                               F.expr("interval 1 month")))
+              .select("m0", "value_sum", "value_mean", "value_count", F.posexplode("months").alias("gap", "month_start")))
+    real = F.col("gap") == 0
+    return filled.select(
+        "month_start", F.date_format("month_start", "yyyy-MM").alias("period"),
+        ((F.year("month_start") - F.year("m0")) * 12 + F.month("month_start") - F.month("m0")).alias("month_idx"),
+        F.when(real, F.col("value_sum")).otherwise(F.lit(0.0)).alias("value_sum"),
+        F.when(real, F.col("value_mean")).alias("value_mean"),
+        F.when(real, F.col("value_count")).otherwise(F.lit(0)).cast("bigint").alias("value_count"))
 
 
 def with_changes(monthly: DataFrame, value_col: str = "value_sum") -> DataFrame:
@@ -86,7 +90,7 @@ def kpi_summary_from_monthly(monthly: DataFrame, date_col: str | None = None,
                         .when(rel < -K.TREND_REL_THRESHOLD, "down").otherwise("flat"))
             .withColumn("available", available)
             .withColumn("reason", F.when(available, F.lit(None).cast("string"))
-                        .otherwise(F.lit("Data spans less than two months — not enough for trends.")))
+                        .when(F.col("n_months") == 0, K.REASON_NO_ROWS).otherwise(K.REASON_ONE_MONTH))
             .withColumn("date_column", F.lit(date_col).cast("string"))
             .withColumn("metric_column", F.lit(metric_col).cast("string"))
             .drop("_rel"))
@@ -108,8 +112,7 @@ def time_kpis(df: DataFrame, date_col: str | None = None, metric_col: str | None
     metric_col = metric_col or profile.detect_metric_column(df, date_col, target)
     spark = df.sparkSession
     if not date_col or not metric_col:
-        reason = "No datetime column detected — time-based KPIs need a date field."
-        return None, spark.createDataFrame([(False, reason, date_col, metric_col)],
+        return None, spark.createDataFrame([(False, K.REASON_NO_DATE, date_col, metric_col)],
                                            "available boolean, reason string, date_column string, metric_column string")
     monthly = monthly_rollup(df, date_col, metric_col)
     return with_changes(monthly), kpi_summary_from_monthly(monthly, date_col, metric_col)

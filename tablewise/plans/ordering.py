@@ -1,110 +1,83 @@
 """Row-order work without a single-task global window.
 
-A plain ``Window.orderBy(k)`` moves the whole table into one task. Here the
-key range is cut into blocks of about ``ORDER_BLOCK_ROWS`` rows using
-approximate quantiles (a small list on the driver), rows are assigned to
-blocks by a JVM-side binary search (``Bucketizer``), and ordered work runs
-per block; per-block totals (one row per block) carry the offsets. Below
-``SINGLE_BLOCK_ROWS`` rows the plain window is used, since one task then
-holds a bounded amount of data.
+Rows are range-partitioned by (key, hash of the row), so one key value that
+holds very many rows is split too, sorted inside each partition and written. A
+row's place inside its partition is known from the sort; the rows of the
+partitions before it (one number a partition) are added. The same path runs at
+every size and for every key type; NULL keys come first.
 """
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import constants as K
 from ..functions.scalars import col_
+from ..session import scratch_path
 
+# Rows of a rolling window's block that one task sums; blocks hold any number of these.
+SUB_BLOCK_ROWS = 100_000
 
-def _blocks(df: DataFrame, key: str, n: int, block_rows: int) -> DataFrame:
-    """Add ``_blk`` (0..B-1, increasing with ``key``)."""
-    nb = max(2, math.ceil(n / block_rows))
-    probs = [i / nb for i in range(1, nb)]
-    accuracy = max(10_000, 10 * nb)
-    qs = df.agg(F.percentile_approx(col_(key).cast("double"), probs, accuracy)).first()[0] or []
-    splits = sorted(set(float(q) for q in qs if q is not None))
-    splits = [float("-inf")] + splits + [float("inf")]
-    keyed = df.withColumn("_kd", col_(key).cast("double"))
-    b = Bucketizer(splits=splits, inputCol="_kd", outputCol="_bd", handleInvalid="keep")
-    return b.transform(keyed).withColumn("_blk", F.col("_bd").cast("int")).drop("_kd", "_bd")
-
-
-def ordered_index(df: DataFrame, key: str, name: str = "idx", n: int | None = None,
-                  single_block_rows: int = K.SINGLE_BLOCK_ROWS, block_rows: int = K.ORDER_BLOCK_ROWS) -> DataFrame:
-    """Add a contiguous 0-based position ``name`` in ``key`` order (``key`` unique)."""
-    n = df.count() if n is None else n
-    if n <= single_block_rows:
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(col_(key))) - 1).cast("bigint"))
-    blk = _blocks(df, key, n, block_rows)
-    counts = blk.groupBy("_blk").agg(F.count(F.lit(1)).alias("_bn"))
-    offs = counts.select("_blk", (F.sum("_bn").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)))
-                         .alias("_off"))
-    w = Window.partitionBy("_blk").orderBy(col_(key))
-    return (blk.join(F.broadcast(offs), "_blk")
-               .withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.row_number().over(w) - 1).cast("bigint"))
-               .drop("_blk", "_off"))
 
+def ordered_index(df: DataFrame, key: str, name: str = "idx") -> DataFrame:
+    """Add a contiguous 0-based position ``name`` in ``key`` order.
 
-def running_sums(df: DataFrame, key: str, cols: list[str], n: int | None = None,
-                 single_block_rows: int = K.SINGLE_BLOCK_ROWS, block_rows: int = K.ORDER_BLOCK_ROWS) -> DataFrame:
-    """Add ``cum_<c>`` = sum of ``c`` over rows with key <= this key (``key`` unique)."""
-    n = df.count() if n is None else n
-    if n <= single_block_rows:
-        w = Window.orderBy(col_(key)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(col_(c)).over(w).alias(f"cum_{c}") for c in cols])
-    blk = _blocks(df, key, n, block_rows)
-    tot = blk.groupBy("_blk").agg(*[F.sum(col_(c)).alias(f"_t_{c}") for c in cols])
-    prev = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("_blk", *[F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_o_{c}") for c in cols])
-    w = Window.partitionBy("_blk").orderBy(col_(key)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = blk.join(F.broadcast(offs), "_blk")
-    for c in cols:
-        out = out.withColumn(f"cum_{c}", F.col(f"_o_{c}") + F.sum(col_(c)).over(w))
-    return out.drop("_blk", *[f"_o_{c}" for c in cols])
+    Rows with equal keys follow each other in an order that depends on their content only.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tie = F.xxhash64(*[col_(c) for c in df.columns])
+    path = scratch_path(spark, "ordered")
+    (df.withColumn("_tie", tie).repartitionByRange(parts, col_(key).asc_nulls_first(), F.col("_tie"))
+       .sortWithinPartitions(col_(key).asc_nulls_first(), F.col("_tie"))
+       .withColumn("_n", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id())
+       .drop("_tie").write.parquet(path))
+    rows = spark.read.parquet(path)
+    # one row a partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (rows.groupBy("_part").agg(F.min("_n").alias("_from"), F.count(F.lit(1)).alias("_rows"))
+              .select("_part", "_from", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base")))
+    return (rows.join(F.broadcast(starts), "_part")
+            .withColumn(name, (F.col("_n") - F.col("_from") + F.col("_base")).cast("bigint"))
+            .select(*[col_(c) for c in df.columns if c != name], name))
 
 
 def rolling_mean(df: DataFrame, key: str, value: str, window: int, out: str = "rolling_mean",
-                 n: int | None = None, single_block_rows: int = K.SINGLE_BLOCK_ROWS,
-                 block_rows: int = K.ORDER_BLOCK_ROWS) -> DataFrame:
-    """Mean of ``value`` over the last ``window`` rows by ``key`` (partial windows at the start).
+                 sub_rows: int = SUB_BLOCK_ROWS) -> DataFrame:
+    """Mean of the non-null ``value`` over the last ``window`` rows by ``key`` (partial windows at the start).
 
-    Always O(n): running sums (an unbounded-preceding frame is updated row by
-    row; a bounded frame would re-aggregate ``window`` rows for every row),
-    then an equi-join at position - window.
+    Positions are cut into blocks of ``window``. A window is the end of one block
+    and the beginning of the next, so it is one running sum from the block's end plus
+    one from the next block's start: every row is added once each way and
+    nothing is ever subtracted. A spike or NaN therefore leaves the windows that do
+    not hold it untouched. Blocks are summed in pieces of ``sub_rows`` rows.
     """
-    n = df.count() if n is None else n
-    d = df.withColumn("_v", col_(value).cast("double"))
-    size = F.least(F.col("_pos") + 1, F.lit(window)).cast("double")
-    if n <= single_block_rows:
-        # one sort: position, running sum, and the running sum ``window`` rows back
-        # (an offset frame, O(n))
-        w = Window.orderBy(col_(key))
-        cum = d.select("*", (F.row_number().over(w) - 1).alias("_pos"),
-                       F.sum("_v").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum__v"))
-        joined = cum.withColumn("_back", F.lag("cum__v", window).over(w))
-    else:
-        idx = ordered_index(d, key, "_pos", n, single_block_rows, block_rows)
-        cum = running_sums(idx, "_pos", ["_v"], n, single_block_rows, block_rows)
-        back = cum.select((F.col("_pos") + window).alias("_pos"), F.col("cum__v").alias("_back"))
-        joined = cum.join(back, "_pos", "left")
-    return (joined.withColumn(out, (F.col("cum__v") - F.coalesce(F.col("_back"), F.lit(0.0))) / size)
-                  .drop("_pos", "_v", "cum__v", "_back"))
+    v = col_(value).cast("double")
+    rows = (ordered_index(df.withColumn("_v", v), key, "_pos")
+            .withColumn("_c", F.col("_v").isNotNull().cast("bigint"))
+            .withColumn("_block", F.floor(F.col("_pos") / window).cast("bigint"))
+            .withColumn("_sub", F.floor(F.pmod(F.col("_pos"), F.lit(window)) / sub_rows).cast("bigint")))
+    piece = ["_block", "_sub"]
+    totals = rows.groupBy(*piece).agg(F.sum("_v").alias("_tv"), F.sum("_c").alias("_tc"))
+    order = Window.partitionBy("_block").orderBy("_sub")
+    ahead = order.rowsBetween(Window.unboundedPreceding, -1)
+    behind = order.rowsBetween(1, Window.unboundedFollowing)
+    totals = totals.select(*piece, *[F.sum(t).over(w).alias(a) for a, t, w in (
+        ("_av", "_tv", ahead), ("_ac", "_tc", ahead), ("_bv", "_tv", behind), ("_bc", "_tc", behind))])
+    up = Window.partitionBy(*piece).orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*piece).orderBy(F.desc("_pos")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    def plus(a, b):
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
 
-def spread(df: DataFrame, min_share: float = 0.5) -> DataFrame:
-    """Round-robin an input that has far fewer partitions than the cluster has
-    cores (a single small file, say), so the aggregations after it run in
-    parallel. Inputs that are already split are returned unchanged.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no local context (remote session): leave the plan as it is
-        return df
-    if current < max(2, int(target * min_share)):
-        return df.repartition(target)
-    return df
+    sums = rows.join(totals, piece).select(
+        *[col_(c) for c in df.columns], "_pos",
+        plus(F.col("_av"), F.sum("_v").over(up)).alias("_pv"), plus(F.col("_ac"), F.sum("_c").over(up)).alias("_pc"),
+        plus(F.col("_bv"), F.sum("_v").over(down)).alias("_sv"), plus(F.col("_bc"), F.sum("_c").over(down)).alias("_sc"))
+    # the window that ends at p starts at p - window + 1: in the block before, unless p ends its block
+    tails = (sums.where(F.pmod(F.col("_pos"), F.lit(window)) != 0)
+             .select((F.col("_pos") + window - 1).alias("_pos"), F.col("_sv").alias("_wv"), F.col("_sc").alias("_wc")))
+    total = plus(F.col("_pv"), F.col("_wv"))
+    count = F.col("_pc") + F.coalesce("_wc", F.lit(0))
+    return (sums.join(tails, "_pos", "left")
+            .withColumn(out, F.when(count > 0, total / count))
+            .select(*[col_(c) for c in df.columns if c != out], out))

@@ -89,7 +89,7 @@ def q_frequency_encode(spark, sf):
 SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS BIGINT) AS c_mktsegment FROM customer""")
 def q_label_encode(spark, sf):
     cu = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    return FE.apply_label_mapping(cu, "c_mktsegment", FE.label_mapping(cu, "c_mktsegment"), 5)
+    return FE.apply_label_mapping(cu, "c_mktsegment", FE.label_mapping(cu, "c_mktsegment"))
 
 
 @register("engineer_features", """

@@ -27,7 +27,6 @@ from ..sources import readers as RD
 from ..sources.sinks import read_json_doc, write_json, write_table
 
 ROW_KEY = "_row_id"
-MAX_AUC_CLASSES = 100  # one-vs-rest AUC costs one distributed sort per class
 
 
 def _now() -> str:
@@ -52,13 +51,25 @@ def stage_ingest(r: Run):
     df, meta = RD.ingest(r.spark, r.source)
     if ROW_KEY in df.columns:
         raise ValueError(f"column name {ROW_KEY} is reserved")
-    # position key: partition index and row in partition of the scan, in file order
-    df = df.withColumn(ROW_KEY, F.monotonically_increasing_id())
+    df = in_file_order(df)
     write_table(df, r.p("raw.parquet"))
     write_json(r.spark, meta, r.p("ingest_meta.json"))
     return r.p("raw.parquet")
 
 
+def in_file_order(df):
+    """Add the row key: position by (file, place of its block in the file, place in the block).
+
+    Spark packs files into tasks by size, so a task's number says nothing about order.
+    """
+    from .ordering import ordered_index
+    block = F.input_file_block_start()
+    # rows of one block are read by one task, in order; a whole-file reader gives block 0
+    keyed = df.withColumn(ROW_KEY, F.struct(F.input_file_name().alias("file"), block.alias("block"),
+                                            F.monotonically_increasing_id().alias("row")))
+    return ordered_index(keyed, ROW_KEY, ROW_KEY)
+
+
 def stage_clean(r: Run):
     raw = r.spark.read.parquet(r.p("raw.parquet"))
     cleaned, report = C.clean(raw, key=ROW_KEY)
@@ -78,15 +89,12 @@ def stage_features(r: Run):
     return r.p("features.parquet")
 
 
-def _split(r: Run):
+def stage_train(r: Run):
     meta = read_json_doc(r.spark, r.p("feature_meta.json"))
     feats = r.spark.read.parquet(r.p("features.parquet"))
     split, info = M.holdout_split(feats, ROW_KEY, meta["target_name"], meta["task_type"])
-    return meta, split, info
-
-
-def stage_train(r: Run):
-    meta, split, info = _split(r)
+    write_table(split, r.p("split.parquet"))  # decided once: scoring uses the same rows
+    split = r.spark.read.parquet(r.p("split.parquet"))
     train = split if info["train_on_all"] else split.where(~F.col("is_test"))
     model = M.fit_model(train, meta["feature_columns"], meta["target_name"], meta["task_type"],
                         meta["n_classes"], trees=r.trees)
@@ -104,40 +112,30 @@ def stage_train(r: Run):
 
 
 def stage_evaluate(r: Run):
-    meta, split, info = _split(r)
+    meta = read_json_doc(r.spark, r.p("feature_meta.json"))
     model = M.FittedModel.load(r.p("model"))
-    test = split if info["train_on_all"] else split.where(F.col("is_test"))
-    scored = model.transform(test).persist()  # read by the predictions table and the AUC below
-    preds = M.score(model, test, ROW_KEY, meta["class_names"], transformed=scored)
-    write_table(preds, r.p("predictions.parquet"))
+    # every test row is marked; where all rows train, all are marked too
+    test = r.spark.read.parquet(r.p("split.parquet")).where(F.col("is_test"))
+    classes = meta["task_type"] == "classification"
+    # class probabilities travel with the predictions, so the model is applied once
+    preds = M.score(model, test, ROW_KEY, meta["class_names"], probs=classes)
+    preds.write.mode("overwrite").parquet(r.p("predictions.parquet"))
     preds = r.spark.read.parquet(r.p("predictions.parquet"))
-    if meta["task_type"] == "classification":
+    if classes:
         m = EV.classification_metrics(preds).first().asDict()
         names = meta["class_names"]
-        cm = EV.confusion_matrix(preds, classes=names).collect()
-        if len(names) <= EV.MAX_GRID_CLASSES:
-            idx = {c: i for i, c in enumerate(names)}
-            mat = [[0] * len(names) for _ in names]
-            for row in cm:
-                mat[idx[row["actual"]]][idx[row["predicted"]]] = row["n"]
-            m.update(confusion_matrix=mat, labels=list(range(len(names))))
-        else:  # too many classes for a dense matrix: observed cells only
-            m.update(confusion_pairs=[(r["actual"], r["predicted"], r["n"]) for r in cm])
-        if len(names) <= MAX_AUC_CLASSES:
-            probs = scored.select(
-                F.element_at(F.array(*[F.lit(c) for c in names]), F.col(meta["target_name"]).cast("int") + 1).alias("actual"),
-                *[F.col("probs")[i].alias(f"p{i}") for i in range(len(names))])
-            for row in EV.roc_auc(probs, "actual", {c: f"p{i}" for i, c in enumerate(names)}).collect():
-                m[row["metric"]] = row["value"]
-        else:  # one exact AUC job per class; skipped above the cap
-            m["roc_auc_skipped"] = f"more than {MAX_AUC_CLASSES} classes"
+        # the same form at any number of classes: the class list, and the cells that occur (as a table)
+        EV.pair_counts(preds).write.mode("overwrite").parquet(r.p("confusion.parquet"))
+        m.update(labels=list(range(len(names))), class_names=names, confusion_cells=r.p("confusion.parquet"))
+        aucs = preds.select("actual", *[F.col("probs")[i].alias(f"p{i}") for i in range(len(names))])
+        for row in EV.roc_auc(aucs, "actual", {c: f"p{i}" for i, c in enumerate(names)}).collect():
+            m[row["metric"]] = row["value"]
         m["headline_metric"], m["headline_value"] = "accuracy", m["accuracy"]
     else:
         m = EV.regression_metrics(preds).first().asDict()
         if m.get("mape") is None:
             m.pop("mape", None)
         m["headline_metric"], m["headline_value"] = "r2", m["r2"]
-    scored.unpersist()
     m.update(task_type=meta["task_type"], target_name=meta["target_name"], n_test=m.pop("n"), evaluated_at=_now())
     write_json(r.spark, m, r.p("metrics.json"))
     return r.p("metrics.json")
@@ -173,57 +171,86 @@ STAGE_FUNCS = (("ingestor", stage_ingest), ("cleaner", stage_clean), ("feature_e
 # --------------------------------------------------------------------------- #
 # run + monitor
 # --------------------------------------------------------------------------- #
+STAGE_SCHEMA = ("run_id string, position int, name string, status string, duration_seconds double, "
+                "output string, error string, traceback string, at string")
+
+
+class StageLog:
+    """Results of stages as rows of a table (one appended row an event); the manifest is read off them."""
+
+    def __init__(self, spark: SparkSession, path: str, run_id: str):
+        self.spark, self.path, self.run_id = spark, path, run_id
+        self.events: list[tuple] = []
+
+    def note(self, position: int, name: str, status: str, seconds: float | None = None, output: str | None = None,
+             failure: BaseException | None = None) -> None:
+        error = f"{type(failure).__name__}: {failure}" if failure else None
+        trace = "".join(traceback.format_exception(failure)) if failure else None
+        event = (self.run_id, position, name, status, seconds, output, error, trace, _now())
+        self.events.append(event)
+        self.spark.createDataFrame([event], STAGE_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def stages(self) -> list[dict]:
+        """The latest event of each stage, in order of position."""
+        names = [f.split()[0] for f in STAGE_SCHEMA.split(", ")]
+        latest = {e[1]: dict(zip(names, e, strict=True)) for e in self.events}
+        keep = ("name", "status", "duration_seconds", "output", "error", "traceback")
+        return [{k: latest[p][k] for k in keep if k not in ("output", "traceback") or latest[p][k] is not None}
+                for p in sorted(latest)]
+
+
 def run_dataset(spark: SparkSession, source: str, out: str, logs: str | None = None,
                 trees: int = K.GBT_TREES, target: str | None = None, monitor: bool = True) -> dict:
-    """Run every stage in order, stop at the first failure, record a manifest."""
-    logs = logs or f"{out.rstrip('/').rsplit('/', 1)[0]}/logs"  # sibling of the run folder
-    r = Run(spark, source, out, logs, trees, target)
-    manifest = {"run_id": _now(), "source_csv": source, "source_name": os.path.basename(source.rstrip("/")),
-                "status": "running", "started_at": _now(), "finished_at": None, "duration_seconds": None,
-                "stages": []}
-    t0 = time.perf_counter()
-    failed = False
-    write_json(spark, manifest, r.p("manifest.json"))
-    for name, fn in STAGE_FUNCS:
-        st = {"name": name, "status": "running", "duration_seconds": None, "error": None}
-        manifest["stages"].append(st)
-        write_json(spark, manifest, r.p("manifest.json"))  # progress is visible while a stage runs
-        s0 = time.perf_counter()
-        try:
-            out_path = fn(r)
-            st["status"], st["output"] = "success", out_path
-        except Exception as exc:  # record and stop
-            st["status"], st["error"] = "failed", f"{type(exc).__name__}: {exc}"
-            st["traceback"] = traceback.format_exc()
-            failed = True
-        finally:
-            st["duration_seconds"] = round(time.perf_counter() - s0, 3)
-            write_json(spark, manifest, r.p("manifest.json"))
-        if failed:
+    """Run the stages over one dataset; the first that fails ends the run.
+
+    Writes ``stages`` (a row an event, while the run goes on) and ``manifest.json``. A
+    failing monitor is reported in the manifest and does not fail the run.
+    """
+    home = out.rstrip("/")
+    run = Run(spark, source, home, logs or f"{os.path.dirname(home)}/logs", trees, target)
+    head = {"run_id": _now(), "source_csv": source, "source_name": os.path.basename(source.rstrip("/"))}
+    log = StageLog(spark, run.p("stages"), head["run_id"])
+    begun, clock = _now(), time.perf_counter()
+
+    def manifest(status: str) -> dict:
+        over = status != "running"
+        doc = head | {"status": status, "started_at": begun, "finished_at": _now() if over else None,
+                      "duration_seconds": round(time.perf_counter() - clock, 3) if over else None, "stages": log.stages()}
+        write_json(spark, doc, run.p("manifest.json"))
+        return doc
+
+    manifest("running")
+    failure = None
+    for position, (name, work) in enumerate(STAGE_FUNCS):
+        log.note(position, name, "running")
+        at = time.perf_counter()
+        output, failure = _attempt(work, run)
+        log.note(position, name, "failed" if failure else "success", round(time.perf_counter() - at, 3), output, failure)
+        if failure:
             break
-    manifest["status"] = "failed" if failed else "success"
-    manifest["finished_at"] = _now()
-    manifest["duration_seconds"] = round(time.perf_counter() - t0, 3)
-    write_json(spark, manifest, r.p("manifest.json"))
+    doc = manifest("failed" if failure else "success")
     if monitor:
-        try:
-            manifest["monitor"] = observe(spark, manifest, r)
-        except Exception as exc:  # monitoring never fails the run
-            manifest["monitor_error"] = f"{type(exc).__name__}: {exc}"
-    return manifest
+        seen, trouble = _attempt(lambda r: observe(spark, doc, r), run)
+        doc |= {"monitor_error": f"{type(trouble).__name__}: {trouble}"} if trouble else {"monitor": seen}
+    return doc
+
+
+def _attempt(work, run: Run) -> tuple:
+    """(result, None) or (None, the exception)."""
+    try:
+        return work(run), None
+    except Exception as failure:
+        return None, failure
 
 
 def observe(spark: SparkSession, manifest: dict, r: Run) -> dict:
     """Artifact health, metrics, drift against the previous run, run log and history."""
     health = [row.asDict() for row in D.artifact_health(spark, r.out).collect()]
-    try:
-        metrics = read_json_doc(spark, r.p("metrics.json")) or {}
-    except Exception:
-        metrics = {}
-    try:
-        feats = spark.read.parquet(r.p("features.parquet")).drop(ROW_KEY)
-        current = P.column_stats(feats)
-    except Exception:
+    present = {a["artifact"] for a in health if a["present"]}
+    metrics = read_json_doc(spark, r.p("metrics.json")) or {} if "metrics.json" in present else {}
+    if "features.parquet" in present:
+        current = P.column_stats(spark.read.parquet(r.p("features.parquet")).drop(ROW_KEY))
+    else:  # the run ended before its features
         current = spark.createDataFrame([], D.STATS_SCHEMA)
     events, _prev = D.carry_over(spark, f"{r.logs}/column_stats", current, manifest["run_id"])
     drift = [row.asDict() for row in events.where("is_event").collect()]
@@ -233,8 +260,9 @@ def observe(spark: SparkSession, manifest: dict, r: Run) -> dict:
     spark.createDataFrame([rec], D.RUN_SCHEMA).write.mode("append").parquet(f"{r.logs}/runs")
     runs = spark.read.parquet(f"{r.logs}/runs")
     hist = D.run_history(runs).first().asDict()
+    last = [row.asDict() for row in D.recent_runs(runs).limit(K.RECENT_RUNS).collect()]
     summary = {"generated_at": _now(), "run": {k: manifest[k] for k in ("run_id", "status", "duration_seconds")},
                "stages": [{k: s.get(k) for k in ("name", "status", "duration_seconds", "error")} for s in manifest["stages"]],
-               "artifact_health": health, "model_metrics": metrics, "drift_events": drift, "history": hist}
+               "artifact_health": health, "model_metrics": metrics, "drift_events": drift, "history": hist, "recent_runs": last}
     write_json(spark, summary, f"{r.logs}/monitor.json")
     return summary

@@ -39,6 +39,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def write_json(spark: SparkSession, obj, path: str) -> str:
     """One JSON document (dates ISO, sets as lists), replaced atomically where the FS allows."""
     text = json.dumps(obj, default=_default)

@@ -12,16 +12,18 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import constants as K
+from ..session import travels
+from ..sources.sinks import path_exists
 
-BINARY_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+travels(__name__)
 
 RUNLOG_SCHEMA = "dataset string, md5 string, run_id string, status string, processed_at string, out string"
 
+# Bytes of a file read at once for its hash.
+CHUNK_BYTES = 1 << 22
+
 _SUFFIX_RE = r"\.(csv|json|parquet)$"
 
 
@@ -38,46 +40,70 @@ def _escape(s: str) -> str:
     return re.escape(s)
 
 
-def _listing(spark: SparkSession, inbox: str, with_content: bool) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = reader.load(inbox)
-    cols = ["path", "modificationTime", "length"] + (["content"] if with_content else [])
-    return files.select(*cols)
-
-
-def _entries(files: DataFrame, inbox: str, with_hash: bool) -> DataFrame:
-    d = files.withColumn("dataset", _dataset_of(inbox))
+def _files(spark: SparkSession, inbox: str) -> DataFrame:
+    """(path, modificationTime, length, dataset) of the files of supported datasets; no body is read."""
+    if not path_exists(spark, inbox):
+        return spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, dataset string")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inbox)
+             .select("path", "modificationTime", "length").withColumn("dataset", _dataset_of(inbox)))
     name = F.element_at(F.split("dataset", "/"), -1)
-    d = d.where(F.lower(name).rlike(_SUFFIX_RE) & ~name.startswith("."))
-    aggs = [F.max("modificationTime").alias("modified"), F.sum("length").alias("bytes"),
-            F.count(F.lit(1)).alias("n_files")]
-    if with_hash:
-        # md5 per file in the executors, then one digest per dataset over the sorted file digests
-        d = d.withColumn("_md5", F.md5("content"))
-        aggs.append(F.md5(F.concat_ws(",", F.sort_array(F.collect_list(F.concat_ws(":", "path", "_md5"))))).alias("md5"))
-    return d.groupBy("dataset").agg(*aggs)
+    return files.where(F.lower(name).rlike(_SUFFIX_RE) & ~name.startswith("."))
 
 
 def list_inbox(spark: SparkSession, inbox: str) -> DataFrame:
     """Supported datasets at the top of the inbox, oldest first (no file bodies read)."""
-    try:
-        files = _listing(spark, inbox, with_content=False)
-    except Exception:  # empty / missing inbox
-        return spark.createDataFrame([], "dataset string, modified timestamp, bytes bigint, n_files bigint")
-    return _entries(files, inbox, with_hash=False).orderBy("modified", "dataset")
+    return (_files(spark, inbox).groupBy("dataset")
+            .agg(F.max("modificationTime").alias("modified"), F.sum("length").alias("bytes"),
+                 F.count(F.lit(1)).alias("n_files")).orderBy("modified", "dataset"))
+
+
+def _hash_files(batches):
+    """(path, length) to (path, digest): files are streamed, so their size does not matter."""
+    import hashlib
+
+    import pyarrow as pa
+    from pyarrow import fs
+
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            if path.startswith("file:"):
+                source, name = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+            elif "://" in path:
+                source, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+            else:
+                source, name = fs.LocalFileSystem(), path
+            digest = hashlib.md5()
+            with source.open_input_stream(name, compression=None) as f:
+                while piece := f.read(CHUNK_BYTES):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "digest"])
 
 
 def dataset_hashes(spark: SparkSession, inbox: str) -> DataFrame:
-    """(dataset, md5, modified, bytes) for every dataset in the inbox; hashing runs in executors."""
-    files = _listing(spark, inbox, with_content=True)
-    return _entries(files, inbox, with_hash=True)
+    """(dataset, md5, modified, bytes, n_files) for every dataset in the inbox.
+
+    Executors hash the files in pieces, any size; file digests of a dataset are combined
+    pairwise by an order-free sum, so no list of a dataset's files is gathered.
+    """
+    files = _files(spark, inbox)
+    digests = files.select("path").repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "path").mapInArrow(_hash_files, "path string, digest string")
+    within = F.md5(F.concat_ws(":", F.substring_index("path", "/", -1), "digest"))
+    parts = [F.conv(F.substring(within, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)") for i in range(4)]
+    return (files.join(digests, "path").withColumns({f"_p{i}": p for i, p in enumerate(parts)}).groupBy("dataset")
+            .agg(F.max("modificationTime").alias("modified"), F.sum("length").alias("bytes"),
+                 F.count(F.lit(1)).alias("n_files"),
+                 F.md5(F.concat_ws(",", F.count(F.lit(1)).cast("string"),
+                                   *[F.sum(f"_p{i}").cast("string") for i in range(4)])).alias("md5")))
 
 
 def read_runlog(spark: SparkSession, runlog: str) -> DataFrame:
-    try:
-        return spark.read.parquet(runlog)
-    except Exception:
+    """The log of processed datasets; empty before the first run. An unreadable log raises."""
+    if not path_exists(spark, runlog):
         return spark.createDataFrame([], RUNLOG_SCHEMA)
+    return spark.read.parquet(runlog)
 
 
 def pending(spark: SparkSession, inbox: str, runlog: str) -> DataFrame:
@@ -105,27 +131,26 @@ def process_pending(spark: SparkSession, inbox: str, runlog: str, out_root: str,
 
 
 def stream_inbox(spark: SparkSession, inbox: str, work: str, trees: int = K.GBT_TREES,
-                 available_now: bool = True, checkpoint: str | None = None):
-    """Structured Streaming over the inbox: each micro-batch of newly listed files
-    triggers ``process_pending`` (which also picks up rewritten files the file
-    source does not list again). Existing files are processed first.
+                 available_now: bool = True, checkpoint: str | None = None, interval: str = "5 seconds"):
+    """Process new and rewritten datasets of the inbox, oldest first.
+
+    The file source only lists paths it has never seen, so a file rewritten in place
+    would be missed. The stream is therefore a clock: at every start and at every trigger the inbox is
+    listed and anti-joined, by content, with the log of finished runs.
 
     Returns the started query (already finished when ``available_now``).
     """
     work = work.rstrip("/")
     runlog, out_root, logs = f"{work}/runlog", f"{work}/runs", f"{work}/logs"
     checkpoint = checkpoint or f"{work}/_checkpoint"
-    src = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
-           .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1000)
-           .load(inbox).select("path", "modificationTime", "length"))
+    process_pending(spark, inbox, runlog, out_root, logs, trees)
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
-    def on_batch(batch: DataFrame, epoch_id: int):
-        if batch.limit(1).count() == 0:
-            return
+    def on_tick(batch: DataFrame, epoch_id: int):
         process_pending(spark, inbox, runlog, out_root, logs, trees)
 
-    w = src.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
+    w = ticks.writeStream.foreachBatch(on_tick).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     q = w.start()
     if available_now:
         q.awaitTermination()

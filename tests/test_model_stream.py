@@ -68,5 +68,47 @@ def test_inbox_runs_new_and_changed_files_once(spark, tmp_out):
     spark.read.parquet(f"{SF_SMALL}/part.parquet").withColumn("p_size", F.col("p_size") + 1) \
         .write.mode("overwrite").parquet(f"{inbox}/part.parquet")
     assert IB.pending(spark, inbox, f"{work}/runlog").count() == 1
+    IB.stream_inbox(spark, inbox, work, trees=3)
+    assert len(IB.read_runlog(spark, f"{work}/runlog").collect()) == 2
+    assert IB.pending(spark, inbox, f"{work}/runlog").count() == 0
     listed = IB.list_inbox(spark, inbox).collect()
     assert [r["dataset"].rsplit("/", 1)[-1] for r in listed] == ["part.parquet"]
+
+
+def test_file_rewritten_in_place_runs_again(spark, tmp_out):
+    """One file, same path, new content: the next start of the stream runs it, and only then."""
+    import os
+    inbox, work = f"{tmp_out}/inbox", f"{tmp_out}/work"
+    os.mkdir(inbox)
+
+    def put(shift):
+        with open(f"{inbox}/a.csv", "w", encoding="utf-8") as f:
+            f.write("x,y\n" + "".join(f"{i},{i * 2 + shift}\n" for i in range(40)))
+
+    runs = lambda: [(r["dataset"].rsplit("/", 1)[-1], r["status"])
+                    for r in IB.read_runlog(spark, f"{work}/runlog").collect()]
+    put(0)
+    IB.stream_inbox(spark, inbox, work, trees=2)
+    IB.stream_inbox(spark, inbox, work, trees=2)
+    assert runs() == [("a.csv", "success")]
+    put(7)
+    IB.stream_inbox(spark, inbox, work, trees=2)
+    assert runs() == [("a.csv", "success")] * 2
+    assert IB.list_inbox(spark, f"{tmp_out}/nothing").count() == 0
+
+
+def test_what_if_with_clashing_names_and_classes(spark):
+    """Features called value, feature and step; classes tell the class, its change and all probabilities."""
+    rows = [(i, float(i % 7), float(i % 5), float(i % 3), i % 3) for i in range(120)]
+    df = spark.createDataFrame(rows, "k long, value double, feature double, step double, y long")
+    cols = ["value", "feature", "step"]
+    model = M.fit_model(df, cols, "y", "classification", 3, trees=3, max_depth=3)
+    grid = M.what_if_grid(model, M.feature_ranges(df, cols), steps=5, class_names=["a", "b", "c"])
+    got = grid.collect()
+    assert {r["feature"] for r in got} == set(cols) and len(got) == 15
+    assert all(abs(sum(r["class_probs"]) - 1) < 1e-9 and r["predicted_class"] in "abc" for r in got)
+    assert all(r["class_changed"] == (r["predicted_class"] != r["baseline_class"]) for r in got)
+    both = spark.createDataFrame([("s", (6.0, 4.0, 2.0))], "name string, features struct<value:double,feature:double,step:double>")
+    assert M.what_if(model, both, class_names=["a", "b", "c"]).first()["predicted_class"] == "c"
+    reg = M.fit_model(df, cols, "y", "regression", trees=3, max_depth=3)
+    assert {"baseline", "delta", "prediction"} <= set(M.what_if_grid(reg, M.feature_ranges(df, cols), steps=3).columns)
