@@ -2,14 +2,14 @@
 from __future__ import annotations
 
 import math
-import sys
 import uuid
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewise.session import ensure_checkpoint_dir
+from tablewise.session import ensure_checkpoint_dir, travels
+
+__all__ = ["travels"]  # used by the modules whose code runs in Python workers
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Rows handed to Python at once. Whole texts travel in these batches, so the
@@ -17,11 +17,6 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ARROW_ROWS = 500
 
 
-def travels(module: str) -> None:
-    """Send the code of a module to Python workers with each task: they need not have this package installed."""
-    cloudpickle.register_pickle_by_value(sys.modules[module])
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

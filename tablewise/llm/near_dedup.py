@@ -9,17 +9,20 @@ one class from here on, so copies cost nothing further.
    deviations); so, ordered by rarity, their first ``SKETCH - SHARED + 1`` values
    share one, and only those enter the lists. Passages that many
    documents share are frequent values and stay out of the lists.
-2. Pairs from a list: first each member with one pivot, never all pairs. The
-   merged sketch of a pair estimates its similarity and drops hopeless pairs.
+2. Short lists give their pairs; the merged sketch of a pair estimates its
+   similarity and drops hopeless ones. Long lists never do: their members are
+   compared with one centre only (the member with the most widely shared values).
 3. Exact Jaccard on the full shingle sets confirms a link.
-4. Linked classes become components; only lists that still hold several
-   components are looked at again, and there every pair across components
-   is tested. So no link between components is lost, and a list whose members are linked costs
-   one pair a member.
+4. The comparisons with a centre tell how each member differs from what most members
+   hold. Members that differ little are one component. Any other link needs a number
+   of shared elements in the two differences, which follows from their sizes (see
+   ``_settle``). So members that share one of the rarest elements of their
+   differences are looked at again, by the same rule, in ever smaller groups.
+
+No link between components is lost, and no list gives more than a few pairs a member.
 """
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 import numpy as np
@@ -37,10 +40,10 @@ SHINGLE = 5
 SIMILARITY = 80  # percent
 SKETCH = 40
 SHARED = 17
-# Pivot rounds before the pairs that are left across components are all tested.
-MAX_ROUNDS = 6
-# Pairs left over, as a multiple of the list entries, that end the pivot rounds.
-FEW_PAIRS = 2
+# Lists of at most this many members give all their pairs; longer ones are compared with a centre.
+SHORT_LIST = 6
+# Groups of at most this many members are tested pair by pair inside a join; larger ones are split again.
+SMALL_GROUP = 128
 # Bits of the filter that tells which texts need their full sets (sent to every task: 1 MB).
 FILTER_BITS = 1 << 23
 # Word hashes a worker remembers.
@@ -144,8 +147,8 @@ def _bit_filter(keys: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough."""
+def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Pairs (a, b, ...) with the full shingle sets of both: columns na, fa, nb, fb."""
     spark = pairs.sparkSession
     ends = pairs.select("a").union(pairs.select("b")).toDF("node").distinct()
     wanted = written(classes.select("node", "n", "d1", "d2", "tkey").join(ends, "node"), "near-wanted")
@@ -154,9 +157,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int
             .groupBy("d1", "d2").agg(F.first("full").alias("full")))
     sets = written(wanted.select("node", "n", "d1", "d2").join(sets, ["d1", "d2"]).select("node", "n", "full"),
                    "near-sets")
-    met = (pairs.join(sets.toDF("b", "nb", "fb"), "b").join(sets.toDF("a", "na", "fa"), "a")
-           .where(_similar(F.size(F.array_intersect("fa", "fb")), F.col("na"), F.col("nb"), percent)))
-    return written(met.select("a", "b"), "near-links")
+    return pairs.join(sets.toDF("b", "nb", "fb"), "b").join(sets.toDF("a", "na", "fa"), "a")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -180,50 +181,128 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """(v, node) for the rarest retained values of each class, of values that several classes retain."""
-    entry = classes.select("node", F.size("sketch").alias("m"), F.explode("sketch").alias("v"))
-    often = entry.groupBy("v").agg(F.count("*").alias("c")).where(F.col("c") > 1)
-    shared = entry.join(often, "v")
+    """(g, node, weight): lists of the rarest retained values of each class.
+
+    ``weight`` is large for a class most of whose retained values are widely shared.
+    """
+    entry = classes.select("node", F.size("sketch").alias("m"), F.explode("sketch").alias("g"))
+    often = entry.groupBy("g").agg(F.count("*").alias("c")).where(F.col("c") > 1)
     mine = Window.partitionBy("node")
-    # values of one class alone are rarer than any of these
-    rank = F.row_number().over(mine.orderBy("c", "v")) + F.col("m") - F.count("*").over(mine)
+    rank = F.row_number().over(mine.orderBy("c", "g")) + F.col("m") - F.count("*").over(mine)
     need = F.ceil(F.col("m") * SHARED / SKETCH)
-    return shared.withColumn("r", rank).where(F.col("r") <= F.col("m") - need + 1).select("v", "node")
+    shared = entry.join(often, "g").select("g", "node", "m", rank.alias("r"), F.sum(F.log2("c")).over(mine).alias("weight"))
+    return shared.where(F.col("r") <= F.col("m") - need + 1).select("g", "node", "weight")
 
 
-def _star(entries: DataFrame, seed: int) -> DataFrame:
-    """Each member of a list with the list's pivot, across components; entries are (v, node, comp)."""
-    at = F.col("node") if seed == 0 else F.xxhash64("node", F.lit(seed))
-    pivot = entries.groupBy("v").agg(F.min_by(F.struct("node", "comp"), at).alias("p"))
-    return (entries.join(pivot, "v").where(F.col("comp") != F.col("p.comp"))
-            .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")))
+def _all_pairs(entries: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a list's members; for lists that hold few."""
+    x, y = entries.select("g", F.col("node").alias("a")), entries.select("g", F.col("node").alias("b"))
+    return x.join(y, "g").where(F.col("a") < F.col("b")).select("a", "b").distinct()
 
 
-def _open_lists(lists: DataFrame, label: DataFrame | None) -> DataFrame:
-    """Entries (v, node, comp) of lists that hold several components."""
-    if label is None:
-        entries = lists.withColumn("comp", F.col("node"))
-    else:
-        entries = (lists.join(label, "node", "left")
-                   .select("v", "node", F.coalesce("label", "node").alias("comp")))
-    many = (entries.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .where(F.col("lo") != F.col("hi")).select("v"))
-    return entries.join(many, "v")
-
+def _star(entries: DataFrame) -> DataFrame:
+    """Each member of a list (b) with the list's centre (a)."""
+    centre = entries.groupBy("g").agg(F.max_by("node", F.struct("weight", "node")).alias("a"))
+    return entries.join(centre, "g").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
 
-def _apart(entries: DataFrame) -> DataFrame:
-    """Entries with their list's largest component and whether they are outside it."""
-    sizes = entries.groupBy("v", "comp").agg(F.count("*").alias("c"))
-    top = sizes.groupBy("v").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"))
-    return entries.join(top, "v").withColumn("out", F.col("comp") != F.col("top"))
 
+def _consensus(groups: DataFrame, percent: int) -> DataFrame:
+    """Measure the members (g, b, c_size, lost, new) of each group against their consensus.
 
-def _across(apart: DataFrame) -> DataFrame:
-    """All pairs of a list's members in different components, each with one end outside the largest."""
-    left = apart.where("out").select("v", F.col("node").alias("x"), F.col("comp").alias("cx"))
-    right = apart.select("v", F.col("node").alias("y"), F.col("comp").alias("cy"), "out")
-    return (left.join(right, "v").where((F.col("cx") != F.col("cy")) & (~F.col("out") | (F.col("x") < F.col("y"))))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    On entry ``lost`` and ``new`` tell what b lacks of, and holds beyond, some set of ``c_size``
+    elements that all members of g are measured against. On return that set is the group's
+    consensus: the elements that most of its members hold. Adds ``w``, ``room``, the least ``w``
+    of the group ``wz`` and its member ``z``, and whether b is ``free`` (see ``_settle``).
+    """
+    changed = F.concat(F.transform("lost", lambda e: F.struct(e.alias("e"), F.lit(True).alias("held"))),
+                       F.transform("new", lambda e: F.struct(e.alias("e"), F.lit(False).alias("held"))))
+    members = groups.groupBy("g").agg(F.count("*").alias("members"))
+    # an element that most members changed; all of them are no more than twice a mean difference
+    turned = (groups.select("g", F.explode(changed).alias("x")).groupBy("g", "x").agg(F.count("*").alias("c"))
+              .join(members, "g").where(F.col("c") * 2 > F.col("members"))
+              .groupBy("g").agg(F.collect_list(F.when(F.col("x.held"), F.col("x.e"))).alias("out"),
+                                F.collect_list(F.when(~F.col("x.held"), F.col("x.e"))).alias("in")))
+    none = F.array().cast("array<long>")
+    d = groups.join(turned, "g", "left").withColumns({"out": F.coalesce("out", none), "in": F.coalesce("in", none)})
+    d = d.select("g", "b", (F.col("c_size") - F.size("out") + F.size("in")).alias("c_size"),
+                 F.concat(F.array_except("lost", "out"), F.array_except("in", "new")).alias("lost"),
+                 F.concat(F.array_except("new", "in"), F.array_except("out", "lost")).alias("new"))
+    d = written(d.withColumns({"room": F.col("c_size") * (100 - percent),
+                               "w": F.size("lost") * 100 + F.size("new") * percent}), "near-diff")
+    nearest = d.groupBy("g").agg(F.min(F.struct("w", "b")).alias("z")).select(
+        "g", F.col("z.w").alias("wz"), F.col("z.b").alias("z"))
+    return d.join(nearest, "g").withColumn("free", F.col("w") > F.col("room") - F.col("wz"))
+
+
+def _settle(groups: DataFrame, label: DataFrame | None, percent: int) -> list[DataFrame]:
+    """Links (a, b) that connect all members of a group which any links inside it connect.
+
+    Let C be a group's consensus of m elements, x lack lx of them and hold nx others, p be the
+    percentage and W(x) = 100 lx + p nx. Members x and y are linked exactly if their differences from C
+    share at least (W(x) + W(y) - (100 - p) m) / (100 + p) elements. Let z have the least W:
+
+    - x with W(x) <= (100 - p) m - W(z) is linked with z, whatever they share. All these form
+      one component and need no test among themselves. The other members are called free.
+    - A free x is linked only with members that share more than (W(y) - W(z)) / (100 + p) elements with it,
+      for x itself and for every partner y; and, a difference being no smaller than a part of it, at
+      least (W(x) - (100 - p) m) / 100.
+
+    So the first rule gives every member a prefix of its difference, rarest first; the second gives a
+    free one a longer prefix, which only meets members that are not free. Members that share an element of
+    their prefixes are a new group. Small groups are tested pair by pair, by the first sentence, inside the
+    join; large ones are settled like this one. Their members share an element that their new consensus
+    takes up, so differences shrink from step to step. What all members have in common is in no difference.
+    """
+    found: list[DataFrame] = []
+    while True:
+        d = _consensus(groups, percent)
+        m = F.size("lost") + F.size("new")
+        alone = F.greatest(F.ceil((F.col("w") - F.col("room")) / 100),
+                           F.ceil((F.col("w") + F.col("wz") - F.col("room")) / (100 + percent)), F.lit(1))
+        short = m - F.floor((F.col("w") - F.col("wz")) / (100 + percent))
+        d = d.withColumn("m", m).withColumn("short", short).withColumn(
+            "long", F.when(F.col("free"), F.greatest("short", F.col("m") - alone + 1)).otherwise(F.col("short")))
+        d = written(d if label is None else d.join(label.toDF("b", "comp"), "b", "left").withColumn(
+            "comp", F.coalesce("comp", "b")), "near-measured")
+        if label is None:
+            d = d.withColumn("comp", F.col("b"))
+        found.append(d.where(~F.col("free") & (F.col("b") != F.col("z"))).select(F.col("z").alias("a"), "b"))
+
+        entry = d.select("g", "b", "m", "free", "short", "long", "comp", F.explode(F.concat("lost", "new")).alias("e"))
+        often = entry.groupBy("g", "e").agg(F.count("*").alias("c")).where(F.col("c") > 1)
+        mine = Window.partitionBy("g", "b")
+        rank = F.row_number().over(mine.orderBy("c", "e")) + F.col("m") - F.count("*").over(mine)
+        kept = (entry.join(often, ["g", "e"]).withColumn("r", rank).where(F.col("r") <= F.col("long"))
+                .withColumn("only", F.col("r") > F.col("short")))
+        # a group needs a free member and two components; long prefixes need a member that is not free
+        use = (kept.groupBy("g", "e").agg(F.max("free").alias("some"), F.max(~F.col("free")).alias("met"),
+                                          F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+               .where(F.col("some") & (F.col("lo") != F.col("hi"))))
+        kept = kept.join(use, ["g", "e"]).where(~F.col("only") | F.col("met"))
+        sizes = kept.groupBy("g", "e").agg(F.count("*").alias("members")).where("members > 1")
+        kept = written(kept.join(sizes, ["g", "e"]).select(
+            F.xxhash64("g", "e").alias("h"), "g", "b", "free", "only", "comp", "members"), "near-groups")
+        facts = d.select("g", "b", "c_size", "room", "w", "lost", "new")
+        found.append(written(_tested(kept.where(F.col("members") <= SMALL_GROUP).join(facts, ["g", "b"]), percent),
+                             "near-links"))
+        large = kept.where(F.col("members") > SMALL_GROUP)
+        if large.isEmpty():
+            return found
+        groups = written(large.join(facts, ["g", "b"]).select(F.col("h").alias("g"), "b", "c_size", "lost", "new"),
+                         "near-large")
+
+
+def _tested(rows: DataFrame, percent: int) -> DataFrame:
+    """Linked pairs (a, b) of small groups h, decided inside the join from the differences."""
+    side = rows.select("h", "b", "free", "only", "comp", "w", "room", F.concat("lost", "new").alias("diff"))
+    x = side.select(*[F.col(c).alias(f"x_{c}") for c in side.columns])
+    y = side.select(*[F.col(c).alias(f"y_{c}") for c in side.columns])
+    sum_w = F.col("x_w") + F.col("y_w") - F.col("x_room")
+    return x.join(y, (F.col("x_h") == F.col("y_h")) & (F.col("x_b") < F.col("y_b")) & (F.col("x_comp") != F.col("y_comp"))
+                  & (F.col("x_free") | F.col("y_free")) & ~(F.col("x_only") & F.col("y_only"))
+                  & (sum_w <= F.least(F.size("x_diff"), F.size("y_diff")) * (100 + percent))
+                  & (sum_w <= F.size(F.array_intersect("x_diff", "y_diff")) * (100 + percent))
+                  ).select(F.col("x_b").alias("a"), F.col("y_b").alias("b")).distinct()
 
 
 def near_dedup(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILARITY, id_col: str = "doc_id",
@@ -282,37 +361,27 @@ def near_dedup(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILARITY,
 
 def _link(lists: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame | None:
     """Labels (node, label) of all classes that have a link; None if there is no link."""
-    links: list[DataFrame] = []
-    tested: list[DataFrame] = []
-    label: DataFrame | None = None
-
-    def test(pairs: DataFrame, label: DataFrame | None) -> DataFrame | None:
-        for old in tested:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
-        pairs = written(_promising(pairs, classes, percent), "near-pairs")
-        if pairs.isEmpty():
-            return label
-        tested.append(pairs)
-        met = _verified(pairs, classes, texts, width, percent)
-        if met.isEmpty():
-            return label
-        links.append(met)
-        return components(reduce(DataFrame.union, links))
-
-    entries = _open_lists(lists, None)
-    label = test(_star(entries, 0).distinct(), None)
-    left = math.inf
-    for seed in range(1, MAX_ROUNDS + 1):
-        apart = written(_apart(_open_lists(lists, label)), "near-open")
-        by_list = apart.groupBy("v").agg(F.sum(F.col("out").cast("long")).alias("o"), F.count("*").alias("c"))
-        size = by_list.agg(F.sum(F.col("o") * F.col("c")).alias("pairs"), F.sum("c").alias("entries")).first()
-        if not size["pairs"]:
-            return label
-        if size["pairs"] <= FEW_PAIRS * lists.count() or size["pairs"] > left * 0.9 or seed == MAX_ROUNDS:
-            break
-        left = size["pairs"]
-        # one pivot from the largest component, one from the others
-        inner = apart.select("v", "node", "comp")
-        star = _star(inner, seed).union(_star(apart.where("out").select("v", "node", "comp"), seed))
-        label = test(star.distinct(), label)
-    return test(_across(apart).distinct(), label)
+    sizes = lists.groupBy("g").agg(F.count("*").alias("members")).where("members > 1")
+    lists = written(lists.join(sizes, "g"), "near-open")
+    few = written(_promising(_all_pairs(lists.where(F.col("members") <= SHORT_LIST)), classes, percent), "near-pairs")
+    star = written(_star(lists.where(F.col("members") > SHORT_LIST)), "near-star")
+    pairs = few.withColumn("star", F.lit(False)).unionByName(star.withColumn("star", F.lit(True)))
+    if pairs.isEmpty():
+        return None
+    shared = _similar(F.size(F.array_intersect("fa", "fb")), F.col("na"), F.col("nb"), percent)
+    # the full sets end here: what goes on is the verdict and, for centres, the differences
+    compared = written(_compared(pairs, classes, texts, width).select(
+        "a", "b", "na", "star", shared.alias("similar"),
+        F.when(F.col("star"), F.array_except("fa", "fb")).alias("lost"),
+        F.when(F.col("star"), F.array_except("fb", "fa")).alias("new")), "near-compared")
+    links = [compared.where("similar").select("a", "b")]
+    label = None if links[0].isEmpty() else components(links[0])
+    if not star.isEmpty():
+        met = compared.where("star").select(F.col("a").alias("g"), "b", F.col("na").alias("c_size"), "lost", "new")
+        centre = (compared.where("star").select(F.col("a").alias("g"), F.col("a").alias("b"), F.col("na").alias("c_size"))
+                  .distinct().withColumns({c: F.array().cast("array<long>") for c in ("lost", "new")}))
+        more = _settle(met.unionByName(centre), label, percent)
+        new = written(reduce(DataFrame.union, more), "near-links")
+        if not new.isEmpty():
+            label = components(links[0].union(new))
+    return label

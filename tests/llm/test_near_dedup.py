@@ -76,10 +76,11 @@ def test_real(spark):
     assert got(queries.QUERIES["op10_near_dedup"](spark, SF)) == want
 
 
-@pytest.mark.parametrize("few", [0, 2])
-def test_hot_group_and_common_passage(spark, few, monkeypatch):
+@pytest.mark.parametrize(("short", "small"), [(6, 128), (2, 8)])
+def test_hot_group_and_common_passage(spark, short, small, monkeypatch):
     """A large group of near copies, borderline ones among them, and documents that share a long passage only."""
-    monkeypatch.setattr(near_dedup, "FEW_PAIRS", few)
+    monkeypatch.setattr(near_dedup, "SHORT_LIST", short)
+    monkeypatch.setattr(near_dedup, "SMALL_GROUP", small)
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(3000)]
     base = [rng.choice(vocabulary) for _ in range(150)]
