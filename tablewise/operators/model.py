@@ -21,6 +21,10 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions import stats as S
 from ..functions.scalars import col_
+from ..session import scratch_path
+
+# Bytes of assembled training rows in one partition.
+FIT_PARTITION_BYTES = 16 << 20
 
 _BLOCK_BITS = 20  # hash order is cut into 2^20 blocks per stratum
 
@@ -54,7 +58,6 @@ def holdout_split(df: DataFrame, key: str, target: str | None = None, task: str
     boundaries stay tables (a row a stratum) that are joined to the rows.
     Under 10 rows every row is both train and test. ``info["strata"]`` holds (s, n, quota).
     """
-    from ..session import scratch_path
     strat = F.lit("_all")
     info = {"stratified": False, "train_on_all": False}
     whole = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
@@ -187,27 +190,31 @@ def fit_model(train: DataFrame, feature_cols: list[str], target: str, task: str,
     from pyspark.ml import Pipeline
     assembler = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="_features",
                                                  handleInvalid="keep")]).fit(train.limit(0))
-    x = assembler.transform(train)
+    # each round is a few small jobs: as many partitions as the input's bytes ask for, no more
+    n = train.agg(F.count(F.lit(1))).first()[0]
+    parts = max(1, math.ceil(n * (len(feature_cols) + 1) * 8 / FIT_PARTITION_BYTES))
+    path = scratch_path(train.sparkSession, "fit")
+    (assembler.transform(train).select("_features", col_(target).cast("double").alias("_t"))
+     .repartition(parts).write.parquet(path))
+    x = train.sparkSession.read.parquet(path)
     common = dict(featuresCol="_features", maxIter=trees, maxDepth=max_depth, stepSize=K.GBT_LEARNING_RATE,
                   subsamplingRate=K.GBT_ROW_SUBSAMPLE, featureSubsetStrategy=str(K.GBT_FEATURE_SUBSAMPLE),
                   seed=seed, maxBins=64)
     if task == "regression":
-        m = GBTRegressor(labelCol="_y", **common).fit(x.withColumn("_y", col_(target).cast("double")))
+        m = GBTRegressor(labelCol="_t", **common).fit(x)
         return FittedModel(task, feature_cols, target, None, [m], assembler)
     k = n_classes or 2
     if k <= 2:
-        m = GBTClassifier(labelCol="_y", **common).fit(x.withColumn("_y", col_(target).cast("double")))
+        m = GBTClassifier(labelCol="_t", **common).fit(x)
         return FittedModel(task, feature_cols, target, list(range(k)), [m], assembler)
-    x = x.persist()
 
     def fit_one(c: int):
-        return GBTClassifier(labelCol="_y", **common).fit(x.withColumn("_y", (col_(target) == c).cast("double")))
+        return GBTClassifier(labelCol="_y", **common).fit(x.withColumn("_y", (F.col("_t") == c).cast("double")))
 
     # the per-class boosters are independent: submit them as concurrent Spark jobs
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=min(k, parallelism)) as pool:
         models = list(pool.map(fit_one, range(k)))
-    x.unpersist()
     return FittedModel(task, feature_cols, target, list(range(k)), models, assembler)
 
 

@@ -49,3 +49,4 @@ from . import q_clean  # noqa: E402,F401
 from . import q_eval  # noqa: E402,F401
 from . import q_model  # noqa: E402,F401
 from . import q_monitor  # noqa: E402,F401
+from . import q_more  # noqa: E402,F401

@@ -1,9 +1,4 @@
-"""Split / fit / score / promote queries.
-
-Tree counts are lowered from the default 300 for these checks (SURVEY H5):
-the learner's quality is not what the row checks test, and 300 sequential
-rounds would dominate the correctness run.
-"""
+"""Split / fit / score / promote queries (M1-M5, M12-M14), with the default number of trees."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
@@ -14,8 +9,6 @@ from ..operators import model as M
 from ..session import scratch_path
 from .catalog import register, rnd, table
 
-QUERY_TREES = 20
-QUERY_TREES_PER_CLASS = 8
 _CACHE: dict = {}
 
 
@@ -33,9 +26,8 @@ def _fitted(spark, sf, name, key):
     ck = (id(spark), sf, name, "model")
     if ck not in _CACHE:
         split, meta, info = _prepared(spark, sf, name, key)
-        trees = QUERY_TREES if meta["task_type"] == "regression" or (meta["n_classes"] or 2) <= 2 else QUERY_TREES_PER_CLASS
         model = M.fit_model(split.where(~F.col("is_test")), meta["feature_columns"], meta["target_name"],
-                            meta["task_type"], meta["n_classes"], trees=trees)
+                            meta["task_type"], meta["n_classes"])
         _CACHE[ck] = model
     return _CACHE[ck]
 
