@@ -132,6 +132,10 @@ MONTH_LETTERS = "janfebmaraprmayjunjulaugsepoctnovdec"
 MONTH_NAMES = ("jan", "january", "feb", "february", "mar", "march", "apr", "april", "may", "jun", "june", "jul", "july",
                "aug", "august", "sep", "sept", "september", "oct", "october", "nov", "november", "dec", "december")
 
+# Sentences about correlations.
+PAIR_SENTENCE = "`%s` and `%s` are %sly %s correlated (r = %+.2f)."
+TARGET_SENTENCE = "As `%s` rises, `%s` tends to %s (r = %+.2f)."
+
 # Why time-based KPIs are missing.
 REASON_NO_DATE = "No datetime column detected — time-based KPIs need a date field."
 REASON_NO_ROWS = "No usable date/metric rows."

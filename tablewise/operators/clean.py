@@ -11,7 +11,6 @@ The de-duplicated frame feeds steps 3-4, so it is persisted once.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +18,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions import stats as S
 from ..functions.scalars import INTEGER_PATTERN, col_, has_date_hint, null_token, parse_datetime, strip, to_number
+from ..session import scratch_path
 
 
 def _cols(df: DataFrame, key: str | None) -> list[str]:
@@ -232,10 +232,11 @@ def _text(df: DataFrame, c: str):
 # --------------------------------------------------------------------------- #
 # C8 / C9
 # --------------------------------------------------------------------------- #
-def clean(df: DataFrame, key: str | None = None, persist: bool = True) -> tuple[DataFrame, dict]:
+def clean(df: DataFrame, key: str | None = None) -> tuple[DataFrame, dict]:
     """Raw table -> cleaned table and report.
 
-    Order: P3, C1, C4, C2, C3, P4, C5-C7, P8.
+    Order: P3, C1, C4, C2, C3, P4, C5-C7, P8. The de-duplicated table is written to the shared
+    folder once: three aggregations and the result read it, and nothing stays in executors.
     """
     st0 = empty_stats(df, key)
     rows_before, cols_before = st0["rows"], len(df.columns)
@@ -243,8 +244,9 @@ def clean(df: DataFrame, key: str | None = None, persist: bool = True) -> tuple[
     d = strip_null_tokens(d, key)
     rows_nonempty = rows_before - (st0["null_rows"] or 0)
     d = drop_duplicates(d, key)
-    if persist:
-        d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(df.sparkSession, "clean")
+    d.write.parquet(path)
+    d = df.sparkSession.read.parquet(path)
     st = coercion_stats(d, key)
     rows_after = st["rows"]
     plan = plan_coercion(d, st, key)
@@ -253,7 +255,7 @@ def clean(df: DataFrame, key: str | None = None, persist: bool = True) -> tuple[
     out, imputed = impute(c, key, nulls)
     n_cols_after = len(out.columns)
     if rows_after == 0 or n_cols_after < 2:
-        raise ValueError("Cleaning removed too much data; nothing usable remains.")
+        raise ValueError(f"after cleaning {rows_after} rows and {n_cols_after} columns are left; a feature and a target are needed")
     report = {
         "rows_before": int(rows_before), "rows_after": int(rows_after),
         "cols_before": int(cols_before), "cols_after": int(n_cols_after),

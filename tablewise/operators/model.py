@@ -269,14 +269,20 @@ def score(model: FittedModel, df: DataFrame, key: str, class_names: list[str] |
 # M12 versioned promotion
 # --------------------------------------------------------------------------- #
 def deploy(spark, model: FittedModel, metrics: dict, base: str, source: str | None,
-           n_train: int | None, n_test: int | None) -> dict:
-    """Save the model under a UTC-stamped version, append a registry row, mark it live."""
+           n_train: int | None, n_test: int | None, saved: str | None = None) -> dict:
+    """Keep the model under a UTC-stamped version, append a registry row, mark it live.
+
+    ``saved`` is the folder of the model if it is saved already: its files are copied.
+    """
     from .evaluate import headline
     now = _dt.datetime.now(_dt.timezone.utc)
     version = now.strftime("%Y%m%dT%H%M%S%f")
     path = f"{base.rstrip('/')}/deployments/{version}"
-    model.save(path)
-    from ..sources.sinks import write_json
+    from ..sources.sinks import copy_folder, write_json
+    if saved:
+        copy_folder(spark, saved, path)
+    else:
+        model.save(path)
     write_json(spark, metrics, f"{path}/metrics.json")  # the version keeps its own metrics copy
     name, value = headline(model.task, metrics)
     ok = value is not None and value >= (K.MIN_ACCURACY if model.task == "classification" else K.MIN_R2)

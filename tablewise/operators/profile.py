@@ -401,7 +401,7 @@ def top_correlations(df: DataFrame, target: str | None = None, label_map: DataFr
     return ranked.select(
         F.col("rank").cast("int"), "col_a", "col_b", F.round(rr, 3).alias("r"), strength(rr).alias("strength"),
         direction.alias("direction"),
-        F.format_string("`%s` and `%s` are %sly %s correlated (r = %+.2f).", "col_a", "col_b",
+        F.format_string(K.PAIR_SENTENCE, "col_a", "col_b",
                         strength(rr), direction, rr).alias("text"))
 
 
@@ -409,7 +409,12 @@ def target_correlations(df: DataFrame, target: str, label_map: DataFrame | None
     """Columns correlated with the target at |r| >= 0.1, strongest five."""
     spark = df.sparkSession
     schema = "rank int, feature string, r double, text string"
-    num, r = pre if pre is not None else _all_pairs(df, target, label_map)
+    if pre is None:  # only the target's pairs: as many as there are columns
+        d = encode_target_for_corr(df, target, label_map)
+        num = S.numeric_columns(d)
+        r = _pair_corr(d, [(c, target) for c in num if c != target]) if target in num else {}
+    else:
+        num, r = pre
     if target not in num:
         return spark.createDataFrame([], schema)
     rows = []
@@ -426,5 +431,5 @@ def target_correlations(df: DataFrame, target: str, label_map: DataFrame | None
     ranked = S.top_k_per_group(base, ["_g"], [F.abs(rr).desc(), F.col("pos").asc()], K.CORR_TARGET_TOP)
     return ranked.select(
         F.col("rank").cast("int"), "feature", F.round(rr, 3).alias("r"),
-        F.format_string("As `%s` rises, `%s` tends to %s (r = %+.2f).", F.col("feature"), F.lit(target),
+        F.format_string(K.TARGET_SENTENCE, F.col("feature"), F.lit(target),
                         F.when(rr > 0, "increase").otherwise("decrease"), rr).alias("text"))

@@ -146,7 +146,8 @@ def stage_deploy(r: Run):
     tm = read_json_doc(r.spark, r.p("train_meta.json"))
     im = read_json_doc(r.spark, r.p("ingest_meta.json")) or {}
     model = M.FittedModel.load(r.p("model"))
-    rec = M.deploy(r.spark, model, metrics, r.out, im.get("source_name"), tm.get("n_train"), tm.get("n_test"))
+    rec = M.deploy(r.spark, model, metrics, r.out, im.get("source_name"), tm.get("n_train"), tm.get("n_test"),
+                   saved=r.p("model"))
     rec["live_model_path"] = r.p("model")
     write_json(r.spark, rec, r.p("deployment.json"))
     return r.p("deployment.json")

@@ -44,6 +44,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def copy_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a folder of small files (a saved model) within the cluster's file systems."""
+    fs, p, jvm = _fs(spark, source)
+    to_fs, to, _ = _fs(spark, target)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    if not jvm.org.apache.hadoop.fs.FileUtil.copy(fs, p, to_fs, to, False, conf):
+        raise OSError(f"{source} could not be copied to {target}")
+
+
 def write_json(spark: SparkSession, obj, path: str) -> str:
     """One JSON document (dates ISO, sets as lists), replaced atomically where the FS allows."""
     text = json.dumps(obj, default=_default)
