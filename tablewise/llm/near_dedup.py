@@ -207,28 +207,31 @@ def _star(entries: DataFrame) -> DataFrame:
 
 
 def _consensus(groups: DataFrame, percent: int) -> DataFrame:
-    """Measure the members (g, b, c_size, lost, new) of each group against their consensus.
+    """Measure the members (g, b, c_size, lost, new, lost1, new1) of each group against their consensus.
 
     On entry ``lost`` and ``new`` tell what b lacks of, and holds beyond, some set of ``c_size``
-    elements that all members of g are measured against. On return that set is the group's
-    consensus: the elements that most of its members hold. Adds ``w``, ``room``, the least ``w``
-    of the group ``wz`` and its member ``z``, and whether b is ``free`` (see ``_settle``).
+    elements that all members of g are measured against; ``lost1`` and ``new1`` are the numbers of
+    further such elements that no other member shares. On return that set is the group's
+    consensus: the elements that most of its members hold. Adds ``w``, ``room``, the size ``m`` of the
+    difference, the least ``w`` of the group ``wz`` and its member ``z``, and whether b is ``free`` (see
+    ``_settle``).
     """
     changed = F.concat(F.transform("lost", lambda e: F.struct(e.alias("e"), F.lit(True).alias("held"))),
                        F.transform("new", lambda e: F.struct(e.alias("e"), F.lit(False).alias("held"))))
     members = groups.groupBy("g").agg(F.count("*").alias("members"))
     # an element that most members changed; all of them are no more than twice a mean difference
-    turned = (groups.select("g", F.explode(changed).alias("x")).groupBy("g", "x").agg(F.count("*").alias("c"))
-              .join(members, "g").where(F.col("c") * 2 > F.col("members"))
+    turned = (groups.join(members, "g").select("g", "members", F.explode(changed).alias("x")).groupBy("g", "x")
+              .agg(F.count("*").alias("c"), F.max("members").alias("members")).where(F.col("c") * 2 > F.col("members"))
               .groupBy("g").agg(F.collect_list(F.when(F.col("x.held"), F.col("x.e"))).alias("out"),
                                 F.collect_list(F.when(~F.col("x.held"), F.col("x.e"))).alias("in")))
     none = F.array().cast("array<long>")
     d = groups.join(turned, "g", "left").withColumns({"out": F.coalesce("out", none), "in": F.coalesce("in", none)})
-    d = d.select("g", "b", (F.col("c_size") - F.size("out") + F.size("in")).alias("c_size"),
+    d = d.select("g", "b", "lost1", "new1", (F.col("c_size") - F.size("out") + F.size("in")).alias("c_size"),
                  F.concat(F.array_except("lost", "out"), F.array_except("in", "new")).alias("lost"),
                  F.concat(F.array_except("new", "in"), F.array_except("out", "lost")).alias("new"))
-    d = written(d.withColumns({"room": F.col("c_size") * (100 - percent),
-                               "w": F.size("lost") * 100 + F.size("new") * percent}), "near-diff")
+    lacks, adds = F.size("lost") + F.col("lost1"), F.size("new") + F.col("new1")
+    d = written(d.withColumns({"room": F.col("c_size") * (100 - percent), "w": lacks * 100 + adds * percent,
+                               "m": lacks + adds}), "near-diff")
     nearest = d.groupBy("g").agg(F.min(F.struct("w", "b")).alias("z")).select(
         "g", F.col("z.w").alias("wz"), F.col("z.b").alias("z"))
     return d.join(nearest, "g").withColumn("free", F.col("w") > F.col("room") - F.col("wz"))
@@ -256,11 +259,10 @@ def _settle(groups: DataFrame, label: DataFrame | None, percent: int) -> list[Da
     found: list[DataFrame] = []
     while True:
         d = _consensus(groups, percent)
-        m = F.size("lost") + F.size("new")
         alone = F.greatest(F.ceil((F.col("w") - F.col("room")) / 100),
                            F.ceil((F.col("w") + F.col("wz") - F.col("room")) / (100 + percent)), F.lit(1))
-        short = m - F.floor((F.col("w") - F.col("wz")) / (100 + percent))
-        d = d.withColumn("m", m).withColumn("short", short).withColumn(
+        short = F.col("m") - F.floor((F.col("w") - F.col("wz")) / (100 + percent))
+        d = d.withColumn("short", short).withColumn(
             "long", F.when(F.col("free"), F.greatest("short", F.col("m") - alone + 1)).otherwise(F.col("short")))
         d = written(d if label is None else d.join(label.toDF("b", "comp"), "b", "left").withColumn(
             "comp", F.coalesce("comp", "b")), "near-measured")
@@ -268,11 +270,22 @@ def _settle(groups: DataFrame, label: DataFrame | None, percent: int) -> list[Da
             d = d.withColumn("comp", F.col("b"))
         found.append(d.where(~F.col("free") & (F.col("b") != F.col("z"))).select(F.col("z").alias("a"), "b"))
 
-        entry = d.select("g", "b", "m", "free", "short", "long", "comp", F.explode(F.concat("lost", "new")).alias("e"))
+        element = F.concat(F.transform("lost", lambda e: F.struct(e.alias("e"), F.lit(True).alias("held"))),
+                           F.transform("new", lambda e: F.struct(e.alias("e"), F.lit(False).alias("held"))))
+        entry = d.select("g", "b", F.explode(element).alias("x")).select("g", "b", "x.e", "x.held")
         often = entry.groupBy("g", "e").agg(F.count("*").alias("c")).where(F.col("c") > 1)
+        # what no other member shares decides nothing from here on but its number
+        shared = written(entry.join(often, ["g", "e"]), "near-shared")
+        facts = shared.groupBy("g", "b").agg(F.collect_list(F.when(F.col("held"), F.col("e"))).alias("lost_s"),
+                                             F.collect_list(F.when(~F.col("held"), F.col("e"))).alias("new_s"))
+        facts = written(d.join(facts, ["g", "b"]).select(
+            "g", "b", "c_size", "room", "w", "m", "free", "short", "long", "comp", F.col("lost_s").alias("lost"),
+            F.col("new_s").alias("new"), (F.size("lost") + F.col("lost1") - F.size("lost_s")).alias("lost1"),
+            (F.size("new") + F.col("new1") - F.size("new_s")).alias("new1")), "near-facts")
         mine = Window.partitionBy("g", "b")
         rank = F.row_number().over(mine.orderBy("c", "e")) + F.col("m") - F.count("*").over(mine)
-        kept = (entry.join(often, ["g", "e"]).withColumn("r", rank).where(F.col("r") <= F.col("long"))
+        kept = (shared.join(facts.select("g", "b", "m", "free", "short", "long", "comp"), ["g", "b"])
+                .withColumn("r", rank).where(F.col("r") <= F.col("long"))
                 .withColumn("only", F.col("r") > F.col("short")))
         # a group needs a free member and two components; long prefixes need a member that is not free
         use = (kept.groupBy("g", "e").agg(F.max("free").alias("some"), F.max(~F.col("free")).alias("met"),
@@ -282,14 +295,14 @@ def _settle(groups: DataFrame, label: DataFrame | None, percent: int) -> list[Da
         sizes = kept.groupBy("g", "e").agg(F.count("*").alias("members")).where("members > 1")
         kept = written(kept.join(sizes, ["g", "e"]).select(
             F.xxhash64("g", "e").alias("h"), "g", "b", "free", "only", "comp", "members"), "near-groups")
-        facts = d.select("g", "b", "c_size", "room", "w", "lost", "new")
-        found.append(written(_tested(kept.where(F.col("members") <= SMALL_GROUP).join(facts, ["g", "b"]), percent),
+        small = kept.where(F.col("members") <= SMALL_GROUP)
+        found.append(written(_tested(small.join(facts.select("g", "b", "room", "w", "lost", "new"), ["g", "b"]), percent),
                              "near-links"))
         large = kept.where(F.col("members") > SMALL_GROUP)
         if large.isEmpty():
             return found
-        groups = written(large.join(facts, ["g", "b"]).select(F.col("h").alias("g"), "b", "c_size", "lost", "new"),
-                         "near-large")
+        groups = written(large.select("h", "g", "b").join(facts, ["g", "b"]).select(
+            F.col("h").alias("g"), "b", "c_size", "lost", "new", "lost1", "new1"), "near-large")
 
 
 def _tested(rows: DataFrame, percent: int) -> DataFrame:
@@ -380,7 +393,8 @@ def _link(lists: DataFrame, classes: DataFrame, texts: DataFrame, width: int, pe
         met = compared.where("star").select(F.col("a").alias("g"), "b", F.col("na").alias("c_size"), "lost", "new")
         centre = (compared.where("star").select(F.col("a").alias("g"), F.col("a").alias("b"), F.col("na").alias("c_size"))
                   .distinct().withColumns({c: F.array().cast("array<long>") for c in ("lost", "new")}))
-        more = _settle(met.unionByName(centre), label, percent)
+        members = met.unionByName(centre).withColumns({c: F.lit(0) for c in ("lost1", "new1")})
+        more = _settle(members, label, percent)
         new = written(reduce(DataFrame.union, more), "near-links")
         if not new.isEmpty():
             label = components(links[0].union(new))
