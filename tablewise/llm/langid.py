@@ -155,9 +155,9 @@ class Scorer:
         return k
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text) if text else []
-        if not words or not self.langs:
+        if not text or not self.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
+        words = words_of(text)
         total = np.zeros(len(self.langs), dtype=np.float64)
         for a in range(0, len(words), CACHE // 2):  # a very long text goes in pieces; all of them count
             part = words[a:a + CACHE // 2]

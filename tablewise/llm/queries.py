@@ -56,7 +56,25 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
-@register("op7_decontamination")
+_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@register("op7_decontamination", f"""
+WITH d AS (SELECT doc_id, {_WORDS.format(_LOWER.format('text'))} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format(_LOWER.format('text'))} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, size, list_slice(w, i + 1, i + size) AS gram
+       FROM (SELECT item_id, w, size, unnest(range(0, len(w) - size + 1)) AS i
+             FROM (SELECT item_id, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0))),
+dw AS (SELECT doc_id, size, i, list_slice(w, i + 1, i + size) AS gram
+       FROM (SELECT doc_id, w, size, unnest(range(0, len(w) - size + 1)) AS i
+             FROM d, (SELECT DISTINCT size FROM bw) WHERE len(w) >= size)),
+m AS (SELECT DISTINCT doc_id, dw.size, i, item_id FROM dw JOIN bw ON dw.size = bw.size AND dw.gram = bw.gram),
+h AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n, string_agg(k, ',' ORDER BY k) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items,
+       sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of ten words found in every document."""
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
@@ -80,7 +98,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical documents by content sort."""
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), carry=False)
 
-@register("op10_near_dedup")
+@register("op10_near_dedup", rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format('text')}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(w, i + 1, i + size) AS g
+      FROM (SELECT doc_id, w, size, unnest(range(0, len(w) - size + 1)) AS i
+            FROM (SELECT doc_id, w, least(4, len(w)) AS size FROM w WHERE len(w) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id
+      GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * i >= 80 * (na.n + nb.n - i)),
+r AS (SELECT doc_id AS a, doc_id AS c FROM w UNION SELECT r.a, e.b FROM r JOIN e ON r.c = e.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.c) AS component_id, w.doc_id = min(r.c) AS kept
+FROM w JOIN r ON r.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.doc_id, n.n""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on sets of four-word shingles."""
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), width=4, carry=False)

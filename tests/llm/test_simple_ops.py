@@ -189,7 +189,7 @@ def test_language_id_awkward(spark, awkward):
         [("the house and the garden of the king", "en"), ("das haus und der garten", "de"), ("la maison et le jardin", "fr")] * 6)]
     model = langid.fit(make_docs(spark, labelled + [(1, None, "zz"), (2, "text without label")]))
     assert model["langs"] == ["de", "en", "fr"]
-    rows = [*awkward, (1, "1234 !!"), (2, "the gardens"), (3, "der gartenhaus"), (4, "et la maisonette"), (5, "日本語")]
+    rows = [*awkward, (1, "1234 !!"), (2, "the gardens"), (3, "der gartenhaus"), (4, "et la maisonette"), (5, "日本語"), (6, "² ½ Ⅷ 3"), (7, "_ 7a")]
     got = langid.predict(make_docs(spark, rows, extra=["score", "lang_pred", "_l_text"]), model)
     out = got.collect()
     assert len(out) == len(rows)
