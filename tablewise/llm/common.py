@@ -39,9 +39,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Partitions that ``shuffle_partitions`` adds at most. Tables with a row a partition stay small with it.
+MAX_PARTITIONS = 20_000
+
+
 def shuffle_partitions(spark: SparkSession, n_bytes: int = 0, per: int = 64 << 20) -> int:
-    """The session's shuffle width, or more if ``n_bytes`` in pieces of ``per`` need more."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / per))
+    """The session's shuffle width, or more if ``n_bytes`` in pieces of ``per`` need more (to MAX_PARTITIONS)."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), min(MAX_PARTITIONS, math.ceil(n_bytes / per)))
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -50,7 +50,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total = src.agg(F.count("*").alias("n"), F.sum(F.octet_length("_x_text")).alias("b")).first()
     parts = shuffle_partitions(spark, total["b"] or 0)
     share = max(MIN_HOT_ROWS, math.ceil(total["n"] / parts / 2))
-    # at most n / share <= 2 * parts heads have more than `share` rows
+    # at most n / share <= 2 * parts heads have more than `share` rows: a small broadcast at any size
     hot = (src.groupBy(F.xxhash64("_x_head").alias("_x_hot")).agg(F.count("*").alias("c"))
            .where(F.col("c") > share)
            .select("_x_hot", F.ceil(F.col("c") / share).cast("int").alias("_x_salts")).collect())
