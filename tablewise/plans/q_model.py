@@ -3,12 +3,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..operators import evaluate as EV
 from ..operators import features as FE
 from ..operators import model as M
 from ..session import scratch_path
 from .catalog import register, rnd, table
 
+QUERY_TREES = K.GBT_TREES
 _CACHE: dict = {}
 
 
@@ -27,7 +29,7 @@ def _fitted(spark, sf, name, key):
     if ck not in _CACHE:
         split, meta, info = _prepared(spark, sf, name, key)
         model = M.fit_model(split.where(~F.col("is_test")), meta["feature_columns"], meta["target_name"],
-                            meta["task_type"], meta["n_classes"])
+                            meta["task_type"], meta["n_classes"], trees=QUERY_TREES)
         _CACHE[ck] = model
     return _CACHE[ck]
 

@@ -12,8 +12,8 @@ from ..operators import model as M
 from ..session import scratch_path
 from ..sources import readers as R
 from ..sources import sinks
+from . import q_model as QM
 from .catalog import register, rnd, table
-from .q_model import _fitted, _prepared
 
 
 # --------------------------------------------------------------------------- #
@@ -232,8 +232,8 @@ SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS holdout, CAST(count(*) - ceil(0.2
        true AS explains_training_rows, true AS importances_sum_to_one FROM part""")
 def q_regression_facts(spark, sf):
     """Split sizes, and a fit that explains its training rows better than their mean does."""
-    split, meta, info = _prepared(spark, sf, "part", "p_partkey")
-    model = _fitted(spark, sf, "part", "p_partkey")
+    split, meta, info = QM._prepared(spark, sf, "part", "p_partkey")
+    model = QM._fitted(spark, sf, "part", "p_partkey")
     held = split.where("is_test").count()
     m = EV.regression_metrics(M.score(model, split.where(~F.col("is_test")), "p_partkey"))
     total = sum(v for _, v in model.importances())
@@ -251,8 +251,8 @@ SELECT actual, CAST(base + CASE WHEN rk <= extra THEN 1 ELSE 0 END AS BIGINT) AS
        true AS confidence_is_largest FROM r""")
 def q_classification_facts(spark, sf):
     """Scored rows of each class, and probabilities that are probabilities."""
-    split, meta, _ = _prepared(spark, sf, "orders", "o_orderkey")
-    model = _fitted(spark, sf, "orders", "o_orderkey")
+    split, meta, _ = QM._prepared(spark, sf, "orders", "o_orderkey")
+    model = QM._fitted(spark, sf, "orders", "o_orderkey")
     scored = M.score(model, split.where("is_test"), "o_orderkey", meta["class_names"], probs=True)
     one = F.abs(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9
     return scored.groupBy("actual").agg(F.count(F.lit(1)).alias("scored"), F.bool_and(one).alias("probabilities_sum_to_one"),

@@ -10,6 +10,13 @@ SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
 
 
+@pytest.fixture(scope="session", autouse=True)
+def few_trees():
+    """The tests check what holds for any number of trees; the registered queries fit 300."""
+    from tablewise.plans import q_model
+    q_model.QUERY_TREES = 15
+
+
 @pytest.fixture(scope="session")
 def spark():
     from tablewise.session import get_session
