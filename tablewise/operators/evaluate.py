@@ -72,8 +72,8 @@ def confusion_matrix(df: DataFrame, actual: str = "actual", predicted: str = "pr
 
     ``classes`` may be a list or a one-column frame of labels; without it the
     labels that occur are used. The result has classes x classes rows because
-    that is what a confusion matrix holds; rows are made in the executors, one
-    class a row, and the class list is never read here.
+    that is what a confusion matrix holds; they are made in the executors, from one
+    row a class, and the class list is never read here.
     """
     pc = pair_counts(df, actual, predicted)
     spark = df.sparkSession
@@ -83,10 +83,10 @@ def confusion_matrix(df: DataFrame, actual: str = "actual", predicted: str = "pr
         names = classes.toDF("c").distinct()
     else:
         names = spark.createDataFrame([(c,) for c in classes], "c string")
-    # the label list rides along as one array a row: the matrix is its rows exploded
-    every = names.agg(F.array_sort(F.collect_set("c")).alias("all")).withColumn("_k", F.lit(1))
-    grid = (names.withColumn("_k", F.lit(1)).join(F.broadcast(every), "_k")
-            .select(F.col("c").alias("actual"), F.explode("all").alias("predicted")))
+    # the label list, once as rows and once as an array in each of them: no join makes the grid
+    every = names.agg(F.array_sort(F.collect_set("c")).alias("all"))
+    grid = (every.select(F.explode("all").alias("actual"), "all").repartition("actual")
+            .select("actual", F.explode("all").alias("predicted")))
     return (grid.join(pc, ["actual", "predicted"], "left")
                 .select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
