@@ -360,3 +360,21 @@ def test_row_key_follows_file_order(spark, tmp_out):
         at += n
     rows = in_file_order(R.read_dataset(spark, folder)).orderBy(ROW_KEY).collect()
     assert [r["v"] for r in rows] == list(range(at)) and [r[ROW_KEY] for r in rows] == list(range(at))
+
+
+def test_json_lines_with_a_long_first_record(spark, tmp_out):
+    long = "x" * (R.HEAD_CHARS + 1000)
+    path = _put(tmp_out, "long.json", f'{{"b":1,"a":"{long}"}}\n' + '{"b":2,"a":"y"}\n{"b":3,"a":"z"}\n')
+    df = R.read_dataset(spark, path)
+    assert df.columns == ["b", "a"]
+    assert sorted((r["b"], len(r["a"])) for r in df.collect()) == [(1, len(long)), (2, 1), (3, 1)]
+    alone = R.read_dataset(spark, _put(tmp_out, "alone.json", f'{{"b":1,"a":"{long}"}}\n'))
+    assert [(r["b"], len(r["a"])) for r in alone.collect()] == [(1, len(long))]
+    odd = R.read_dataset(spark, _put(tmp_out, "odd.json", '{"b":NaN,"a":"{}"}\n{"b":2,"a":"y"}\n'))
+    assert odd.columns == ["b", "a"] and odd.count() == 2
+
+
+def test_json_values_after_the_first_raise(spark, tmp_out):
+    for name, text in [("two.json", '{\n"b":1\n}\n{\n"b":2\n}\n'), ("joined.json", '{"b":1}{"b":2}\n')]:
+        with pytest.raises(ValueError, match="one JSON object"):
+            R.read_dataset(spark, _put(tmp_out, name, text))
