@@ -8,6 +8,9 @@ Built-in expressions only.
 """
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +60,53 @@ USE OR PERFORMANCE OF THIS SOFTWARE."""),
     ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 ]
+# Whole licences, a file each: the SPDX identifier, perhaps a variant's name after a further dot.
+TEXTS = Path(__file__).with_name("license_texts")
+# What may stand above a text that has no title of its own.
+TITLES = {
+    "MIT": ["The MIT License", "The MIT License (MIT)", "MIT License"],
+    "ISC": ["ISC License", "The ISC License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License", "BSD License"],
+    "Zlib": ["zlib License", "The zlib License"],
+    "Unlicense": ["The Unlicense"],
+}
+# The usual heads of source files.
+HEADERS = [
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/."""),
+    *[(f"GPL-{version}.0", f"""This program is free software{mark} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{either} version {version} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License{end}""")
+      for version, mark, either, end in [
+          (3, ":", ", either", "\nalong with this program.  If not, see <http://www.gnu.org/licenses/>."),
+          (2, ";", "; either", "\nalong with this program.  If not, see <http://www.gnu.org/licenses/>."),
+          (2, ";", "; either", """ along
+with this program; if not, write to the Free Software Foundation, Inc.,
+51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."""),
+      ]],
+]
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
 # Equivalent spellings (a pattern, what it becomes), after lower-casing.
 SAME = [
     (r"licen[cs]e", "license"), (r"sub-license", "sublicense"), (r"copyright owner", "copyright holder"),
@@ -78,9 +128,30 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, PUNCTUATION, " "))
 
 
+def whole_texts() -> list[tuple[str, str]]:
+    """(license, text) of whole licences and file heads in their usual forms: with and without title, "All rights
+    reserved", numbers of the conditions and appendix, in lines and in unbroken paragraphs."""
+    files = [(re.match(r"(.+?)(?:\.[a-z]+)?\.txt$", f.name)[1], f.read_text("utf-8")) for f in sorted(TEXTS.glob("*.txt"))]
+    short = [(name, text.removeprefix("MIT License\n")) for name, text in KNOWN if "\n" in text]
+    found = []
+    for name, text in [*files, *short, *HEADERS]:
+        forms = [text]
+        if END_OF_TERMS in text:
+            head = text[:text.index(END_OF_TERMS)]
+            forms += [head + END_OF_TERMS, head]
+        if name in TITLES:
+            forms += [re.sub(r"(?m)^[ \t]*[1-9]\. ", "", text)]
+            forms = [above + form for form in forms for title in ["", *TITLES[name]]
+                     for above in ([f"{title}\n\n", f"{title}\n\nAll rights reserved.\n\n"] if title else ["", "All rights reserved.\n\n"])]
+        # a copyright line ends where its line ends, so the breaks of a paragraph count
+        forms += [re.sub(r"[ \t]*(?<!\n)\n(?!\n)[ \t]*", " ", form) for form in forms]
+        found += [(name, form) for form in dict.fromkeys(forms)]
+    return found
+
+
 def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(license, digest, chars) of the known texts; one row a digest."""
-    df = spark.createDataFrame(KNOWN if texts is None else texts, "license string, text string")
+    """(license, digest, chars) of the known texts (default: the built-in ones); one row a digest."""
+    df = spark.createDataFrame([*KNOWN, *whole_texts()] if texts is None else texts, "license string, text string")
     form = canonical(F.col("text"))
     return (df.select("license", F.sha2(form, 256).alias("digest"), F.length("text").alias("chars"))
             .groupBy("digest").agg(F.min("license").alias("license"), F.max("chars").alias("chars")))

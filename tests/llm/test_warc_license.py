@@ -133,3 +133,24 @@ def test_license_awkward(spark, awkward):
     assert licenses.scan_licenses(make_docs(spark, [])).collect() == []
     empty = licenses.known_licenses(spark).limit(0)
     assert {r.license for r in licenses.scan_licenses(df, empty).collect()} == {None}
+
+
+def test_license_whole_texts(spark):
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "BSL-1.0", "Zlib", "Unlicense",
+             "BSD-2-Clause", "BSD-3-Clause"]
+    text = {n: (licenses.TEXTS / f"{n}.txt").read_text("utf-8") for n in names}
+    rows = [*enumerate(text.values())]
+    want = [*names]
+    for name, form in [
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, A. Person\nAll rights reserved.\n\n" + text["BSD-3-Clause"]),
+        ("BSD-2-Clause", "Copyright 2020 A. Person\n" + " ".join(text["BSD-2-Clause"].split())),
+        ("Apache-2.0", text["Apache-2.0"].split("END OF TERMS")[0]),
+        ("MIT", "The MIT License (MIT)\n" + next(t for n, t in licenses.KNOWN if "\n" in t).removeprefix("MIT License")),
+        ("Apache-2.0", "Copyright 2020 A. Person\n\n" + licenses.HEADERS[0][1]),
+        ("GPL-3.0", next(t for n, t in licenses.HEADERS if n == "GPL-3.0")),
+        (None, text["Zlib"] + "\nand more"),
+    ]:
+        rows.append((len(rows), form))
+        want.append(name)
+    found = {r.doc_id: r.license for r in licenses.scan_licenses(make_docs(spark, rows)).collect()}
+    assert [found[i] for i in range(len(rows))] == want
