@@ -16,6 +16,10 @@ from . import q_model as QM
 from .catalog import register, rnd, table
 
 
+# Suppliers of one JSON object of columns.
+ROWS_A_DOC = 1000
+
+
 # --------------------------------------------------------------------------- #
 # Whole texts of documents through files
 # --------------------------------------------------------------------------- #
@@ -47,14 +51,16 @@ def q_scan_json_text(spark, sf):
 @register("scan_json_columns", """
 SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier""")
 def q_scan_json_columns(spark, sf):
-    """One object of columns, each an object of row label -> value (suppliers of one file)."""
+    """Objects of columns, each an object of row label -> value (about ROWS_A_DOC suppliers an object)."""
     path = scratch_path(spark, "columns") + "/columns.json"
     s = table(spark, sf, "supplier")
     label = F.col("s_suppkey").cast("string")
-    doc = s.agg(*[F.map_from_entries(F.array_sort(F.collect_list(F.struct(label.alias("key"), F.col(c).alias("value"))))).alias(c)
-                  for c in s.columns])
-    doc.coalesce(1).write.json(path)
-    return R.read_dataset(spark, path)
+    n_docs = -(-s.count() // ROWS_A_DOC) or 1
+    docs = s.groupBy(F.pmod(F.xxhash64("s_suppkey"), F.lit(n_docs)).alias("doc")).agg(*[
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(label.alias("key"), F.col(c).alias("value"))))).alias(c)
+        for c in s.columns])
+    docs.drop("doc").write.json(path)
+    return R.read_json_columns(spark, path)
 
 
 @register("write_table", "SELECT * FROM orders")

@@ -378,3 +378,22 @@ def test_json_values_after_the_first_raise(spark, tmp_out):
     for name, text in [("two.json", '{\n"b":1\n}\n{\n"b":2\n}\n'), ("joined.json", '{"b":1}{"b":2}\n')]:
         with pytest.raises(ValueError, match="one JSON object"):
             R.read_dataset(spark, _put(tmp_out, name, text))
+
+
+def test_json_objects_of_columns_at_any_size(spark, tmp_out):
+    n = 3000
+    doc = ('{"b":{' + ",".join(f'"r{i}":{i if i % 2 else "null"}' for i in range(n)) + '},"a":{'
+           + ",".join(f'"r{i}":{i}.5' for i in range(n)) + '},"c":{"r0":true,"r1":false},"d":{"r0":"x","r1":7}}')
+    df = R.read_dataset(spark, _put(tmp_out, "one.json", doc))
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("b", "bigint"), ("a", "double"), ("c", "boolean"), ("d", "string")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000 and "r2999" not in plan  # the plan does not grow with the rows
+    rows = [tuple(r) for r in df.collect()]
+    assert rows[:2] == [(None, 0.5, True, "x"), (1, 1.5, False, "7")]
+    assert rows[2:] == [(i if i % 2 else None, i + 0.5, None, None) for i in range(2, n)]
+    many = R.read_json_columns(spark, _put(tmp_out, "many.json", '{"b":{"0":1,"1":2},"a":{"0":"x","1":"y"}}\n'
+                                                                 '{"a":{"0":"z"},"b":{"0":3}}\n{"b":{"7":4}}\n'))
+    assert sorted((r["b"], r["a"]) for r in many.collect()) == [(1, "x"), (2, "y"), (3, "z"), (4, None)]
+    with pytest.raises(ValueError, match="different forms"):
+        R.read_dataset(spark, _put(tmp_out, "mix.json", '{\n"b":{"0":1},\n"a":[1]\n}'))
