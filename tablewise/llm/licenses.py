@@ -114,18 +114,29 @@ SAME = [
     (r"&", " and "), (r"merchantibility", "merchantability"), (r"\bversion\b|\bv\.", "v "),
 ]
 COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright|\(c\)|©)[^\n]*$"
-PUNCTUATION = r"[^\p{L}\p{N}]+"
+PUNCTUATION = r"[^\p{L}\p{N}\n]+"
+# Lengths and first words of known forms that lines are tested for at most; with more of them the test is left out.
+MAX_TESTS = 10_000
 # Known licences that are broadcast at most; more of them are joined by a shuffle.
 MAX_BROADCAST = 100_000
 
 ADDED = ["license", "license_sha256", "notices", "n_notices"]
 
 
-def canonical(text: Column) -> Column:
+def canonical_lines(text: Column) -> Column:
+    """The canonical form with the line ends of the text; the words of a line are its canonical form, but for outer spaces."""
     out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
     for pattern, same in SAME:
         out = F.regexp_replace(out, pattern, same)
-    return F.trim(F.regexp_replace(out, PUNCTUATION, " "))
+    return F.regexp_replace(out, PUNCTUATION, " ")
+
+
+def joined(form: Column) -> Column:
+    return F.trim(F.regexp_replace(form, "[ \n]+", " "))
+
+
+def canonical(text: Column) -> Column:
+    return joined(canonical_lines(text))
 
 
 def whole_texts() -> list[tuple[str, str]]:
@@ -150,11 +161,12 @@ def whole_texts() -> list[tuple[str, str]]:
 
 
 def known_licenses(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(license, digest, chars) of the known texts (default: the built-in ones); one row a digest."""
+    """(license, digest, length, word) of the known texts (default: the built-in ones); one row a digest. The
+    length and the first word are those of the canonical form."""
     df = spark.createDataFrame([*KNOWN, *whole_texts()] if texts is None else texts, "license string, text string")
-    form = canonical(F.col("text"))
-    return (df.select("license", F.sha2(form, 256).alias("digest"), F.length("text").alias("chars"))
-            .groupBy("digest").agg(F.min("license").alias("license"), F.max("chars").alias("chars")))
+    form = df.select("license", canonical(F.col("text")).alias("form"))
+    return (form.groupBy(F.sha2("form", 256).alias("digest"), F.length("form").alias("length"),
+                         F.substring_index("form", " ", 1).alias("word")).agg(F.min("license").alias("license")))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, text_col: str = "text",
@@ -167,20 +179,30 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, text_col: str
 
     Null text counts as empty; an empty canonical text is no licence. Repeated rows and
     null ids give a row each, an empty table none. Input columns named like
-    the added ones are replaced. ``known`` is broadcast up to ``MAX_BROADCAST`` rows.
+    the added ones are replaced. ``known`` is broadcast up to ``MAX_BROADCAST`` rows; lines are looked up
+    if their canonical form has the length and the first word of a known one (all lines, if ``known`` lacks
+    ``length`` and ``word``).
     """
     spark = docs.sparkSession
     known = known_licenses(spark) if known is None else known
     known = known.where(F.col("digest") != F.sha2(F.lit(""), 256))
-    facts = known.agg(F.count("*").alias("n"), F.max("chars").alias("chars")).first()
+    tests = [c for c in ("length", "word") if c in known.columns]
+    facts = known.agg(F.count("*").alias("n"), *[F.collect_set(c).alias(c) for c in tests]).first()
     table = F.broadcast(known) if facts["n"] <= MAX_BROADCAST else known
     cols = others(docs, ADDED) if carry is None else carry
-    text = F.coalesce(col(text_col), F.lit(""))
-    # a line can be much longer than a known text only by white space and punctuation
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(x).between(1, 4 * (facts["chars"] or 0)) & x.rlike("(?i)licen|cc"))
-    df = docs.select(bundle(cols), F.sha2(canonical(text), 256).alias("license_sha256"),
-                     F.transform(lines, lambda x: F.sha2(canonical(x), 256)).alias("_lines"),
-                     F.monotonically_increasing_id().alias("_at"))
+    form = canonical_lines(F.coalesce(col(text_col), F.lit("")))
+
+    def likely(line: Column) -> Column:
+        out = F.length(line) > 0
+        for c, of in (("length", F.length(line)), ("word", F.substring_index(line, " ", 1))):
+            if c in tests and len(facts[c]) <= MAX_TESTS:
+                out = out & of.isin(facts[c])
+        return out
+
+    lines = F.filter(F.transform(F.split("_form", "\n"), lambda x: F.trim(x)), likely)
+    df = docs.select(bundle(cols), form.alias("_form"), F.monotonically_increasing_id().alias("_at"))
+    df = df.select("_row", "_at", F.sha2(joined(F.col("_form")), 256).alias("license_sha256"),
+                   F.transform(lines, lambda x: F.sha2(x, 256)).alias("_lines"))
     df = df.join(table.select(F.col("digest").alias("_whole"), "license"),
                  F.col("license_sha256") == F.col("_whole"), "left")
     plain = df.where(F.size("_lines") == 0).select(

@@ -154,3 +154,15 @@ def test_license_whole_texts(spark):
         want.append(name)
     found = {r.doc_id: r.license for r in licenses.scan_licenses(make_docs(spark, rows)).collect()}
     assert [found[i] for i in range(len(rows))] == want
+
+
+def test_license_notices_of_any_wording(spark):
+    known = licenses.known_licenses(spark, [("PD", "Public domain"), ("ARR", "All rights reserved."),
+                                            ("CC-BY-4.0", "Released under CC BY 4.0."), ("MIT", "Licensed under the MIT License.")])
+    rows = [(1, "x\n  PUBLIC -- domain!\ny"), (2, "All rights reserved"), (4, "Public domains\nall rights"),
+            (3, "a\nReleased under Creative Commons Attribution 4.0\nb"),
+            (5, "a\nLicensed " + " .-" * 5000 + " under the MIT License")]
+    found = {r.doc_id: (r.notices, r.n_notices) for r in licenses.scan_licenses(make_docs(spark, rows), known).collect()}
+    assert found == {1: ("PD", 1), 2: ("ARR", 1), 3: ("CC-BY-4.0", 1), 4: ("", 0), 5: ("MIT", 1)}
+    bare = known.select("license", "digest")
+    assert {r.doc_id for r in licenses.scan_licenses(make_docs(spark, rows), bare).collect() if r.n_notices} == {1, 2, 3, 5}
