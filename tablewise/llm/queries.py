@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, langid, licenses, near_dedup, packing, pii, secrets, sharding, warc
+from . import (
+    decontaminate, exact_dedup, langid, licenses, near_dedup, packing, phrases, pii, secrets, sharding, warc)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +116,32 @@ FROM w JOIN r ON r.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id GROUP BY w.do
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on sets of four-word shingles."""
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), width=4, carry=False)
+
+
+_PIECES = rf"regexp_split_to_array({_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')"
+
+
+@register("op13_collocations", rf"""
+WITH w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+           FROM (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents)),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(list_slice(w, i + 1, i + k), ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM w, range(1, 4) t(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS lp, array_to_string(w[j + 1:], ' ') AS rp
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+s AS (SELECT cut.lang, cut.phrase, cut.a, cut.j, x.f AS l, y.f AS r,
+             CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.lp JOIN f y ON y.lang = cut.lang AND y.phrase = cut.rp
+      QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY score, cut.j) = 1),
+o AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE k = 3),
+m AS (SELECT lang, phrase, max(a) AS longer FROM o GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank,
+       s.phrase, s.a, s.l, s.r, n.n, s.score
+FROM s JOIN n ON n.lang = s.lang LEFT JOIN m ON m.lang = s.lang AND m.phrase = s.phrase
+WHERE m.longer IS NULL OR 100 * m.longer < 50 * s.a
+QUALIFY rank <= 2000""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest collocations of two and three words in each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
