@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontaminate, exact_dedup, langid, licenses, near_dedup, packing, phrases, pii, secrets, sharding, warc)
+    decontaminate, exact_dedup, langid, lexical, licenses, near_dedup, packing, phrases, pii, secrets, sharding, warc)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +118,27 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), width=4, carry=False)
 
 
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@register("op11_search", f"""
+WITH d AS (SELECT doc_id, {_TERMS.format(_LOWER.format('text'))} AS w FROM documents),
+c AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d),
+t AS (SELECT doc_id, n, term, count(*) AS tf
+      FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+       FROM (SELECT term, count(*) AS df FROM t GROUP BY term), c),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS.format(_LOWER.format('text'))}) AS term FROM benchmark),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT)
+             AS score
+      FROM q JOIN t USING (term) JOIN wt USING (term), c GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _PIECES = rf"regexp_split_to_array({_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')"
 
 
