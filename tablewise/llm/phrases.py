@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, shuffle_partitions, travels, written
+from .common import col, shuffle_partitions, small_batches, travels, written
 
 travels(__name__)
 
@@ -40,8 +40,8 @@ COVERED = 50
 UNKNOWN = "und"
 
 # Bytes of text hashed at once, and n-grams sorted at once: they bound a worker's memory.
-HASH_BYTES = 2 << 20
-FLUSH_GRAMS = 4_000_000
+HASH_BYTES = 1 << 20
+FLUSH_GRAMS = 2_000_000
 # Bytes of text whose n-grams one fingerprint range holds, and ranges that one exchange deals to.
 RANGE_BYTES = 2 << 20
 RANGE_BITS = 12
@@ -372,6 +372,7 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int
     counts all its words, frequent or not.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.coalesce(col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
                         F.coalesce(col(text_col), F.lit("")).alias("text"))
     n_bytes = texts.agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0
