@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    decontaminate, exact_dedup, langid, lexical, licenses, near_dedup, packing, phrases, pii, secrets, sharding, warc)
+    decontaminate, exact_dedup, langid, lexical, licenses, near_dedup, packing, phrases, pii, secrets, sharding, spotsigs, warc)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,6 +139,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@register("op12_spotsigs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and how alike they are."""
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 _PIECES = rf"regexp_split_to_array({_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')"
 
 
