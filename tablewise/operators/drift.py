@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..sources.logs import LogTable
 from ..sources.sinks import path_exists
 
 STATS_SCHEMA = "column_name string, mean double, std double, min double, max double, nulls bigint, rows bigint"
@@ -58,21 +59,19 @@ def carry_over(spark: SparkSession, history_path: str, current: DataFrame, run_i
     An empty ``current`` (no numeric features) leaves the stored baseline as it is,
     so every previous column reads as dropped.
     """
-    first = not path_exists(spark, history_path)  # any other trouble with the baseline is an error
+    history = LogTable(spark, history_path, f"{STATS_SCHEMA}, run_id string, ts double")
+    first = not history.exists()  # any other trouble with the baseline is an error
     if first:
         previous = spark.createDataFrame([], STATS_SCHEMA)
     else:
-        hist = spark.read.parquet(history_path)
-        previous = latest_snapshot(hist).select(*[c.split()[0] for c in STATS_SCHEMA.split(", ")])
+        previous = latest_snapshot(history.read()).select(*[c.split()[0] for c in STATS_SCHEMA.split(", ")])
     events = drift_check(current, previous) if not first else spark.createDataFrame(
         [], "column_name string, prev_mean double, curr_mean double, prev_std double, shift_stds double, "
             "status string, is_event boolean")
-    # Fix the comparison before the baseline is appended: a write to the history
-    # path re-caches (recomputes) plans that read it. One row per column.
+    # Fix the comparison before the baseline is appended. One row per column.
     events = spark.createDataFrame(events.collect(), events.schema)
     if current.limit(1).count() > 0:
-        (current.withColumn("run_id", F.lit(run_id)).withColumn("ts", F.lit(time.time()))
-                .write.mode("append").parquet(history_path))
+        history.append(current.withColumn("run_id", F.lit(run_id)).withColumn("ts", F.lit(time.time())))
     return events, previous
 
 

@@ -3,15 +3,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..operators import drift as D
 from ..operators import profile as P
 from ..session import scratch_path
+from ..sources.digests import file_digests
+from ..sources.logs import LogTable
 from ..sources.sinks import read_json_doc
 from ..streaming import inbox as IB
 from ..streaming.monthly import run_monthly_stream
-from .catalog import register, rnd, table
+from ..streaming import windows as WN
+from .catalog import SQL, register, rnd, table
 
-MONITOR_TREES = 10
+MONITOR_TREES = K.GBT_TREES
 _WORK: dict = {}
 
 _LI = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -79,67 +83,157 @@ def _work(spark, sf):
     return _WORK[ck]
 
 
-def _first_run(spark, sf):
+def _run(spark, sf, name):
+    """Folder of the run of one dataset."""
     base, inbox, work = _work(spark, sf)
-    log = IB.read_runlog(spark, f"{work}/runlog").orderBy("processed_at").first()
-    return log["out"]
+    log = IB.read_runlog(spark, f"{work}/runlog")
+    return log.where(F.col("dataset").endswith(name)).first()["out"]
 
 
-@register("stream_ingest")
-def q_stream_ingest(spark, sf):
-    base, inbox, work = _work(spark, sf)
-    log = IB.read_runlog(spark, f"{work}/runlog")
-    return log.select(F.element_at(F.split("dataset", "/"), -1).alias("dataset"), "md5", "status")
+def _logged(spark, sf, name, schema):
+    return LogTable(spark, f"{_work(spark, sf)[2]}/logs/{name}", schema).read()
 
 
-@register("file_dedupe")
-def q_file_dedupe(spark, sf):
-    base, inbox, work = _work(spark, sf)
-    hashes = IB.dataset_hashes(spark, inbox)
-    pend = IB.pending(spark, inbox, f"{work}/runlog").select("dataset", F.lit(True).alias("pending"))
-    return (hashes.join(pend, "dataset", "left")
-                  .select(F.element_at(F.split("dataset", "/"), -1).alias("dataset"), "md5", "bytes", "n_files",
-                          F.coalesce("pending", F.lit(False)).alias("pending")))
+# a dataset of the inbox, its rows, and the columns that are left after names are cleaned
+_DATASETS = """
+sizes AS (SELECT 'part.parquet' AS dataset, (SELECT count(*) FROM part) AS n,
+                 (SELECT count(*) FROM information_schema.columns WHERE table_name = 'part') AS n_cols
+          UNION ALL SELECT 'customer.csv', (SELECT count(*) FROM customer),
+                 (SELECT count(*) FROM information_schema.columns WHERE table_name = 'customer'))"""
 
 
-@register("inbox_listing")
+@register("stream_ingest", f"""
+WITH {_DATASETS}
+SELECT dataset, 'success' AS status, CAST(1 AS BIGINT) AS runs, CAST(n AS BIGINT) AS n_rows, CAST(n_cols AS BIGINT) AS n_cols,
+       CAST(n - ceil(0.2 * n) AS BIGINT) AS n_train, CAST(ceil(0.2 * n) AS BIGINT) AS n_test FROM sizes""")
+def q_stream_ingest(spark, sf):
+    """Every dataset of the inbox ran once; what its run read, trained on and held out."""
+    log = IB.read_runlog(spark, f"{_work(spark, sf)[2]}/runlog")
+    name = F.element_at(F.split("dataset", "/"), -1)
+    runs = log.groupBy(name.alias("dataset"), "status").agg(F.count(F.lit(1)).alias("runs"), F.max("out").alias("out")).collect()
+    rows = []
+    for r in runs:  # one row a dataset
+        read, fit = (read_json_doc(spark, f"{r['out']}/{d}.json") for d in ("ingest_meta", "train_meta"))
+        rows.append((r["dataset"], r["status"], r["runs"], read["n_rows"], read["n_cols"], fit["n_train"], fit["n_test"]))
+    return spark.createDataFrame(rows, "dataset string, status string, runs bigint, n_rows bigint, n_cols bigint, "
+                                       "n_train bigint, n_test bigint")
+
+
+@register("file_dedupe", """
+SELECT 'part.parquet' AS dataset, false AS pending, true AS known, true AS same_digest
+UNION ALL SELECT 'customer.csv', false, true, true""")
+def q_file_dedupe(spark, sf):
+    """What ran is not pending; the index that chose the files agrees with hashing all of them again."""
+    base, inbox, work = _work(spark, sf)
+    index = IB.file_index(spark, f"{work}/files")
+    again = IB.dataset_hashes(spark, inbox)
+    held = IB.dataset_hashes(spark, inbox, index).select("dataset", F.col("md5").alias("held"))
+    done = IB.read_runlog(spark, f"{work}/runlog").select("dataset", F.col("md5").alias("ran")).distinct()
+    pend = IB.pending(spark, inbox, f"{work}/runlog", index).select("dataset", F.lit(True).alias("pending"))
+    return (again.join(held, "dataset", "left").join(done, "dataset", "left").join(pend, "dataset", "left")
+            .select(F.element_at(F.split("dataset", "/"), -1).alias("dataset"), F.coalesce("pending", F.lit(False)).alias("pending"),
+                    F.col("ran").isNotNull().alias("known"), ((F.col("md5") == F.col("held")) & (F.col("md5") == F.col("ran")))
+                    .alias("same_digest")))
+
+
+# lines of orders in a file for each of seven hashes, cut into chunks of 64 KB
+_LINES = "concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)"
+
+
+@register("file_digests", f"""
+WITH f AS (SELECT o_orderkey % 7 AS file, string_agg({_LINES}, chr(10) ORDER BY o_orderkey) || chr(10) AS body
+           FROM orders GROUP BY 1),
+c AS (SELECT file, length(body) AS bytes, i, md5(substr(body, i * 65536 + 1, 65536)) AS digest
+      FROM (SELECT *, unnest(range(0, CAST(ceil(length(body) / 65536) AS BIGINT))) AS i FROM f))
+SELECT CAST(file AS INTEGER) AS file, CAST(bytes AS BIGINT) AS bytes,
+       CASE WHEN count(*) = 1 THEN min(digest) ELSE md5(string_agg(digest, '' ORDER BY i)) END AS digest
+FROM c GROUP BY file, bytes""")
+def q_file_digests(spark, sf):
+    """Digests of large files as trees over chunks that different tasks read."""
+    path = scratch_path(spark, "digests")
+    o = table(spark, sf, "orders")
+    rows = o.select("o_orderkey", F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").alias("value"),
+                    F.pmod("o_orderkey", F.lit(7)).cast("int").alias("file"))
+    (rows.repartition(7, "file").sortWithinPartitions("file", "o_orderkey").select("value", "file")
+     .write.partitionBy("file").text(path))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    found = file_digests(files, chunk_bytes=1 << 16, run=2)
+    return found.select(F.regexp_extract("path", r"file=([0-9]+)", 1).cast("int").alias("file"),
+                        F.col("bytes_read").alias("bytes"), "digest")
+
+
+@register("inbox_listing", """
+SELECT 'part.parquet' AS dataset, true AS has_bytes, true AS has_files UNION ALL SELECT 'customer.csv', true, true""")
 def q_inbox_listing(spark, sf):
     base, inbox, work = _work(spark, sf)
     return IB.list_inbox(spark, inbox).select(F.element_at(F.split("dataset", "/"), -1).alias("dataset"),
-                                              "bytes", "n_files")
+                                              (F.col("bytes") > 0).alias("has_bytes"), (F.col("n_files") > 0).alias("has_files"))
 
 
-@register("run_manifest")
+@register("run_manifest", """
+SELECT d.dataset, CAST(s.pos AS INTEGER) AS stage_order, s.stage, 'success' AS status, true AS took_time, false AS has_error
+FROM (VALUES ('part.parquet'), ('customer.csv')) d(dataset),
+     (VALUES (0, 'ingestor'), (1, 'cleaner'), (2, 'feature_eng'), (3, 'trainer'), (4, 'evaluator'), (5, 'deployer'),
+             (6, 'dashboard_gen')) s(pos, stage)""")
 def q_run_manifest(spark, sf):
-    out = _first_run(spark, sf)
-    return D.manifest_frame(spark, read_json_doc(spark, f"{out}/manifest.json")).drop("duration_seconds")
-
-
-@register("artifact_health")
+    """Stages of both runs: order, state, and that each took time and left no error."""
+    frames = []
+    for name in ("part.parquet", "customer.csv"):
+        doc = read_json_doc(spark, f"{_run(spark, sf, name)}/manifest.json")
+        frames.append(D.manifest_frame(spark, doc).select(
+            F.lit(name).alias("dataset"), "stage_order", "stage", "status", (F.col("duration_seconds") > 0).alias("took_time"),
+            F.col("error").isNotNull().alias("has_error")))
+    return frames[0].unionByName(frames[1])
+
+
+@register("artifact_health", "SELECT a AS artifact, true AS present, true AS has_size, true AS has_age FROM (VALUES "
+          + ", ".join(f"('{a}')" for a in K.EXPECTED_ARTIFACTS) + ") t(a)")
 def q_artifact_health(spark, sf):
-    return D.artifact_health(spark, _first_run(spark, sf)).select("artifact", "present")
+    """Every expected output is there, with a size and an age."""
+    return D.artifact_health(spark, _run(spark, sf, "part.parquet")).select(
+        "artifact", "present", (F.col("size_kb") > 0).alias("has_size"), (F.col("age_seconds") >= 0).alias("has_age"))
 
 
-@register("run_history")
+@register("run_history", """
+SELECT CAST(2 AS BIGINT) AS total_runs, CAST(2 AS BIGINT) AS success_count, CAST(0 AS BIGINT) AS failed_count,
+       CAST(0 AS BIGINT) AS not_success, true AS mean_is_that_of_the_manifests""")
 def q_run_history(spark, sf):
-    base, inbox, work = _work(spark, sf)
-    runs = spark.read.parquet(f"{work}/logs/runs")
-    return D.run_history(runs).drop("avg_duration")
+    took = [read_json_doc(spark, f"{_run(spark, sf, n)}/manifest.json")["duration_seconds"] for n in ("part.parquet", "customer.csv")]
+    return D.run_history(_logged(spark, sf, "runs", D.RUN_SCHEMA)).withColumn(
+        "mean_is_that_of_the_manifests", F.abs(F.col("avg_duration") - sum(took) / 2) < 0.002).drop("avg_duration")
 
 
-@register("metric_history")
+@register("metric_history", """
+SELECT 'part.parquet' AS source, 'success' AS status, 'r2' AS headline_metric, true AS value_is_that_of_the_metrics,
+       true AS all_artifacts
+UNION ALL SELECT 'customer.csv', 'success', 'accuracy', true, true""")
 def q_metric_history(spark, sf):
-    base, inbox, work = _work(spark, sf)
-    runs = spark.read.parquet(f"{work}/logs/runs")
-    return D.recent_runs(runs).select("source", "status", "headline_metric", "drift_events", "artifacts_ok",
-                                      "artifacts_miss")
-
-
-@register("report_bundle")
+    """One row a run with the headline metric of its evaluation."""
+    value = {n: read_json_doc(spark, f"{_run(spark, sf, n)}/metrics.json")["headline_value"] for n in ("part.parquet", "customer.csv")}
+    want = F.create_map(*[F.lit(x) for n, v in value.items() for x in (n, float(v))])
+    return D.recent_runs(_logged(spark, sf, "runs", D.RUN_SCHEMA)).select(
+        "source", "status", "headline_metric", (F.col("headline_value") == want[F.col("source")]).alias("value_is_that_of_the_metrics"),
+        (F.col("artifacts_miss") == 0).alias("all_artifacts"))
+
+
+@register("report_bundle", f"""
+WITH {_DATASETS}
+SELECT dataset, CAST(n AS BIGINT) AS rows, CAST(n_cols AS INTEGER) AS n_columns,
+       CASE dataset WHEN 'part.parquet' THEN 'regression' ELSE 'classification' END AS task_type,
+       CAST(n - ceil(0.2 * n) AS BIGINT) AS n_train, least(50, n) AS preview_rows, true AS has_metrics, false AS kpis_available
+FROM sizes""")
 def q_report_bundle(spark, sf):
+    """The report of each run, read back: sizes, task, metrics and preview."""
     from ..operators.report import bundle_frame
-    out = _first_run(spark, sf)
-    return bundle_frame(spark, read_json_doc(spark, f"{out}/dashboard_data.json")).drop("bundle")
+    frames = []
+    for name in ("part.parquet", "customer.csv"):
+        doc = F.col("bundle")
+        frames.append(bundle_frame(spark, read_json_doc(spark, f"{_run(spark, sf, name)}/dashboard_data.json")).select(
+            "dataset", F.get_json_object(doc, "$.dataset.rows").cast("bigint").alias("rows"), "n_columns", "task_type",
+            F.get_json_object(doc, "$.deployment.n_train").cast("bigint").alias("n_train"),
+            F.json_array_length(F.get_json_object(doc, "$.preview_rows")).cast("bigint").alias("preview_rows"),
+            F.get_json_object(doc, "$.metrics.headline_value").isNotNull().alias("has_metrics"), "kpis_available"))
+    return frames[0].unionByName(frames[1])
 
 
 # --------------------------------------------------------------------------- #
@@ -156,3 +250,22 @@ def q_stream_monthly(spark, sf):
     out = run_monthly_stream(spark, f"{base}/source", orders.schema, "o_orderdate", "o_totalprice",
                              f"{base}/result", f"{base}/checkpoint")
     return rnd(out.select("period", "value_sum", "value_count", "value_mean"), 6, {"value_sum": 2})
+
+
+@register("stream_monthly_update", SQL["stream_monthly"])
+def q_stream_monthly_update(spark, sf):
+    """The same months in update mode: files in order of time, a tenth of the rows a file late, a seventh delivered
+    twice, and the stream stopped and started again half way."""
+    base = scratch_path(spark, "stream-update")
+    orders = table(spark, sf, "orders")
+    first = F.lit("1992-01-01").cast("timestamp_ntz")
+    year = F.least(F.greatest(F.floor(F.datediff("o_orderdate", first) / 300), F.lit(0)), F.lit(8)).cast("int")
+    late = (F.pmod(F.xxhash64("o_orderkey"), F.lit(10)) == 0).cast("int")
+    again = F.when(F.pmod(F.xxhash64("o_orderkey", F.lit(1)), F.lit(7)) == 0, F.array(year + late, year + late + 1))
+    written = orders.withColumn("file", F.explode(F.coalesce(again, F.array(year + late))))
+    for part in range(11):
+        written.where(F.col("file") == part).drop("file").write.mode("append").parquet(f"{base}/source")
+        if part in (4, 10):
+            WN.run_span_stream(spark, f"{base}/source", orders.schema, "o_orderdate", "o_totalprice", f"{base}/spans",
+                               f"{base}/checkpoint", delay="1000 days", key=["o_orderkey"], files_per_trigger=2)
+    return rnd(WN.monthly(spark, f"{base}/spans"), 6, {"value_sum": 2})

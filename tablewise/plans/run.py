@@ -24,6 +24,7 @@ from ..operators import model as M
 from ..operators import profile as P
 from ..operators import report as R
 from ..sources import readers as RD
+from ..sources.logs import LogTable
 from ..sources.sinks import read_json_doc, write_json, write_table
 
 ROW_KEY = "_row_id"
@@ -180,7 +181,8 @@ class StageLog:
     """Results of stages as rows of a table (one appended row an event); the manifest is read off them."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str):
-        self.spark, self.path, self.run_id = spark, path, run_id
+        self.spark, self.run_id = spark, run_id
+        self.table = LogTable(spark, path, STAGE_SCHEMA)
         self.events: list[tuple] = []
 
     def note(self, position: int, name: str, status: str, seconds: float | None = None, output: str | None = None,
@@ -189,7 +191,7 @@ class StageLog:
         trace = "".join(traceback.format_exception(failure)) if failure else None
         event = (self.run_id, position, name, status, seconds, output, error, trace, _now())
         self.events.append(event)
-        self.spark.createDataFrame([event], STAGE_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self.table.append(self.spark.createDataFrame([event], STAGE_SCHEMA))
 
     def stages(self) -> list[dict]:
         """The latest event of each stage, in order of position."""
@@ -258,8 +260,9 @@ def observe(spark: SparkSession, manifest: dict, r: Run) -> dict:
     rec = (manifest["run_id"], _now(), manifest["source_name"], manifest["status"], manifest["duration_seconds"],
            metrics.get("headline_metric"), metrics.get("headline_value"), len(drift),
            sum(1 for a in health if a["present"]), sum(1 for a in health if not a["present"]))
-    spark.createDataFrame([rec], D.RUN_SCHEMA).write.mode("append").parquet(f"{r.logs}/runs")
-    runs = spark.read.parquet(f"{r.logs}/runs")
+    log = LogTable(spark, f"{r.logs}/runs", D.RUN_SCHEMA)
+    log.append(spark.createDataFrame([rec], D.RUN_SCHEMA))
+    runs = log.read()
     hist = D.run_history(runs).first().asDict()
     last = [row.asDict() for row in D.recent_runs(runs).limit(K.RECENT_RUNS).collect()]
     summary = {"generated_at": _now(), "run": {k: manifest[k] for k in ("run_id", "status", "duration_seconds")},

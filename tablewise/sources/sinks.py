@@ -44,6 +44,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, hidden ones (``_``, ``.``) left out; none if there is no such folder."""
+    fs, p, _ = _fs(spark, path)
+    names = [str(x.getPath().getName()) for x in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that the library itself wrote; one that is gone already is no error."""
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def copy_folder(spark: SparkSession, source: str, target: str) -> None:
     """Copy a folder of small files (a saved model) within the cluster's file systems."""
     fs, p, jvm = _fs(spark, source)

@@ -9,21 +9,18 @@ name carries the suffix (``orders.parquet/part-...``).
 from __future__ import annotations
 
 import datetime as _dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..session import travels
-from ..sources.sinks import path_exists
-
-travels(__name__)
+from ..sources.digests import file_digests
+from ..sources.logs import LogTable
+from ..sources.sinks import make_folder, path_exists
 
 RUNLOG_SCHEMA = "dataset string, md5 string, run_id string, status string, processed_at string, out string"
 
-# Bytes of a file read at once for its hash.
-CHUNK_BYTES = 1 << 22
-
 _SUFFIX_RE = r"\.(csv|json|parquet)$"
 
 
@@ -40,11 +37,17 @@ def _escape(s: str) -> str:
     return re.escape(s)
 
 
-def _files(spark: SparkSession, inbox: str) -> DataFrame:
-    """(path, modificationTime, length, dataset) of the files of supported datasets; no body is read."""
-    if not path_exists(spark, inbox):
-        return spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, dataset string")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(inbox)
+def _files(spark: SparkSession, inbox: str, datasets: list[str] | None = None) -> DataFrame:
+    """(path, modificationTime, length, dataset) of the files of supported datasets; no body is read.
+
+    ``datasets`` names the top-level entries to list (default: all of the inbox).
+    """
+    none = spark.createDataFrame([], "path string, modificationTime timestamp, length bigint, dataset string")
+    paths = [inbox] if datasets is None else datasets
+    paths = [p for p in paths if path_exists(spark, p)]
+    if not paths:
+        return none
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
              .select("path", "modificationTime", "length").withColumn("dataset", _dataset_of(inbox)))
     name = F.element_at(F.split("dataset", "/"), -1)
     return files.where(F.lower(name).rlike(_SUFFIX_RE) & ~name.startswith("."))
@@ -57,99 +60,138 @@ def list_inbox(spark: SparkSession, inbox: str) -> DataFrame:
                  F.count(F.lit(1)).alias("n_files")).orderBy("modified", "dataset"))
 
 
-def _hash_files(batches):
-    """(path, length) to (path, digest): files are streamed, so their size does not matter."""
-    import hashlib
+FILE_KEY = ["path", "length", "modificationTime"]
+INDEX_SCHEMA = "path string, length bigint, modificationTime timestamp, digest string, bytes_read bigint, seen_at double"
 
-    import pyarrow as pa
-    from pyarrow import fs
 
-    for batch in batches:
-        found = []
-        for path in batch.column(0).to_pylist():
-            if path.startswith("file:"):
-                source, name = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-            elif "://" in path:
-                source, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            else:
-                source, name = fs.LocalFileSystem(), path
-            digest = hashlib.md5()
-            with source.open_input_stream(name, compression=None) as f:
-                while piece := f.read(CHUNK_BYTES):
-                    digest.update(piece)
-            found.append(digest.hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "digest"])
+def file_index(spark: SparkSession, path: str) -> LogTable:
+    """The table of hashed files: one digest for each (path, length, modification time) that was met."""
+    return LogTable(spark, path, INDEX_SCHEMA, key=["path"], order="seen_at")
 
 
-def dataset_hashes(spark: SparkSession, inbox: str) -> DataFrame:
-    """(dataset, md5, modified, bytes, n_files) for every dataset in the inbox.
+def known_digests(files: DataFrame, index: LogTable) -> DataFrame:
+    """``files`` with their digests; only files that the index does not know are read, and then added to it."""
+    known = index.read().select(*FILE_KEY, "digest").dropDuplicates(FILE_KEY)
+    fresh = files.select(*FILE_KEY).distinct().join(known, FILE_KEY, "left_anti")
+    if fresh.limit(1).count():
+        index.append(fresh.join(file_digests(fresh), "path").withColumn("seen_at", F.lit(time.time()))
+                     .select(*[c.split()[0] for c in INDEX_SCHEMA.split(", ")]))
+        known = index.read().select(*FILE_KEY, "digest").dropDuplicates(FILE_KEY)
+    return files.join(known, FILE_KEY)
 
-    Executors hash the files in pieces, any size; file digests of a dataset are combined
-    pairwise by an order-free sum, so no list of a dataset's files is gathered.
+
+def dataset_hashes(spark: SparkSession, inbox: str, index: LogTable | None = None,
+                   files: DataFrame | None = None) -> DataFrame:
+    """(dataset, md5, modified, bytes, n_files) for every dataset of ``files`` (default: the whole inbox).
+
+    Files are hashed in chunks by executors; with an ``index`` only those that are new or whose
+    length or time has changed. File digests of a dataset are combined
+    by an order-free sum, so no list of a dataset's files is gathered.
     """
-    files = _files(spark, inbox)
-    digests = files.select("path").repartition(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), "path").mapInArrow(_hash_files, "path string, digest string")
+    files = _files(spark, inbox) if files is None else files
+    hashed = known_digests(files, index) if index else files.join(file_digests(files.select("path", "length")), "path")
     within = F.md5(F.concat_ws(":", F.substring_index("path", "/", -1), "digest"))
     parts = [F.conv(F.substring(within, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)") for i in range(4)]
-    return (files.join(digests, "path").withColumns({f"_p{i}": p for i, p in enumerate(parts)}).groupBy("dataset")
+    return (hashed.withColumns({f"_p{i}": p for i, p in enumerate(parts)}).groupBy("dataset")
             .agg(F.max("modificationTime").alias("modified"), F.sum("length").alias("bytes"),
                  F.count(F.lit(1)).alias("n_files"),
                  F.md5(F.concat_ws(",", F.count(F.lit(1)).cast("string"),
                                    *[F.sum(f"_p{i}").cast("string") for i in range(4)])).alias("md5")))
 
 
+def run_log(spark: SparkSession, path: str) -> LogTable:
+    """The log of processed datasets, one row a run."""
+    return LogTable(spark, path, RUNLOG_SCHEMA)
+
+
 def read_runlog(spark: SparkSession, runlog: str) -> DataFrame:
-    """The log of processed datasets; empty before the first run. An unreadable log raises."""
-    if not path_exists(spark, runlog):
-        return spark.createDataFrame([], RUNLOG_SCHEMA)
-    return spark.read.parquet(runlog)
+    """The rows of the run log; empty before the first run. An unreadable log raises."""
+    return run_log(spark, runlog).read()
 
 
-def pending(spark: SparkSession, inbox: str, runlog: str) -> DataFrame:
+def pending(spark: SparkSession, inbox: str, runlog: str, index: LogTable | None = None,
+            files: DataFrame | None = None) -> DataFrame:
     """Datasets whose (path, content hash) has no successful run yet, oldest first.
 
     A failed run is not remembered, so the same content is tried again.
     """
     done = read_runlog(spark, runlog).where(F.col("status") == "success").select("dataset", "md5")
-    return dataset_hashes(spark, inbox).join(done, ["dataset", "md5"], "left_anti").orderBy("modified", "dataset")
+    found = dataset_hashes(spark, inbox, index, files)
+    return found.join(done, ["dataset", "md5"], "left_anti").orderBy("modified", "dataset")
 
 
-def process_pending(spark: SparkSession, inbox: str, runlog: str, out_root: str, logs: str, trees: int) -> list[dict]:
-    """Run the whole flow for each pending dataset, one at a time, oldest first."""
+def process_pending(spark: SparkSession, inbox: str, runlog: str, out_root: str, logs: str, trees: int,
+                    index: LogTable | None = None, files: DataFrame | None = None, tried: set | None = None) -> list[dict]:
+    """Run the whole flow for each pending dataset, one at a time, oldest first.
+
+    ``tried`` holds the (dataset, hash) that are not to be tried again now; what is run here is added to it.
+    """
     from ..plans.run import run_dataset
-    todo = pending(spark, inbox, runlog).select("dataset", "md5").collect()  # one row per new file
+    tried = set() if tried is None else tried
+    todo = pending(spark, inbox, runlog, index, files).select("dataset", "md5").collect()  # one row per new file
     results = []
     for row in todo:
+        if tuple(row) in tried:
+            continue
+        tried.add(tuple(row))
         stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         out = f"{out_root.rstrip('/')}/{stamp}"
         m = run_dataset(spark, row["dataset"], out, logs, trees=trees)
         rec = (row["dataset"], row["md5"], m["run_id"], m["status"], _dt.datetime.now(_dt.timezone.utc).isoformat(), out)
-        spark.createDataFrame([rec], RUNLOG_SCHEMA).write.mode("append").parquet(runlog)
+        run_log(spark, runlog).append(spark.createDataFrame([rec], RUNLOG_SCHEMA))
         results.append({"dataset": row["dataset"], "status": m["status"], "out": out})
     return results
 
 
+def new_files(spark: SparkSession, inbox: str, per_trigger: int) -> DataFrame:
+    """Stream of (path, length, modificationTime) of files that appear in the inbox; no body is read."""
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    return (spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true")
+            .option("maxFilesPerTrigger", per_trigger).load(inbox).select(*FILE_KEY))
+
+
 def stream_inbox(spark: SparkSession, inbox: str, work: str, trees: int = K.GBT_TREES,
-                 available_now: bool = True, checkpoint: str | None = None, interval: str = "5 seconds"):
+                 available_now: bool = True, checkpoint: str | None = None, interval: str = "5 seconds",
+                 recheck: int = 60, files_per_trigger: int = 1000):
     """Process new and rewritten datasets of the inbox, oldest first.
 
-    The file source only lists paths it has never seen, so a file rewritten in place
-    would be missed. The stream is therefore a clock: at every start and at every trigger the inbox is
-    listed and anti-joined, by content, with the log of finished runs.
-
-    Returns the started query (already finished when ``available_now``).
+    New files come from a checkpointed file source, ``files_per_trigger`` at a time, and only
+    the datasets they belong to are looked at. The source knows paths only, so a file
+    rewritten in place would be missed: at the start, and every ``recheck`` seconds (a
+    clock runs beside the source), the whole inbox is listed and compared with the index of
+    hashed files by length and time. What differs is hashed, by chunks, and nothing else;
+    datasets whose content has no successful run are run. A file rewritten
+    with the same length within one clock tick of its file system is not noticed.
+
+    A restart continues from the checkpoint; a batch that is repeated after a failure finds its
+    files in the index and its datasets in the log. Returns the started query (already finished
+    when ``available_now``).
     """
     work = work.rstrip("/")
     runlog, out_root, logs = f"{work}/runlog", f"{work}/runs", f"{work}/logs"
     checkpoint = checkpoint or f"{work}/_checkpoint"
-    process_pending(spark, inbox, runlog, out_root, logs, trees)
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-
-    def on_tick(batch: DataFrame, epoch_id: int):
-        process_pending(spark, inbox, runlog, out_root, logs, trees)
-
-    w = ticks.writeStream.foreachBatch(on_tick).option("checkpointLocation", checkpoint)
+    index = file_index(spark, f"{work}/files")
+    make_folder(spark, inbox)
+    tried: set = set()
+    process_pending(spark, inbox, runlog, out_root, logs, trees, index, tried=tried)
+    clock = (spark.readStream.format("rate").option("rowsPerSecond", 1).load().where(F.pmod("value", F.lit(recheck)) == 0)
+             .select(F.lit(None).cast("string").alias("path"), F.lit(None).cast("bigint").alias("length"),
+                     F.col("timestamp").alias("modificationTime")))
+    events = new_files(spark, inbox, files_per_trigger).unionByName(clock)
+
+    def on_batch(batch: DataFrame, epoch_id: int):
+        session = batch.sparkSession
+        told = batch.withColumn("dataset", _dataset_of(inbox)).select(
+            F.col("path").isNull().alias("tick"), "dataset").distinct().collect()  # one row a dataset
+        if any(r["tick"] for r in told):
+            tried.clear()  # a failed dataset is tried again at every recheck and every start
+            process_pending(session, inbox, runlog, out_root, logs, trees, index, tried=tried)
+            return
+        touched = sorted({r["dataset"] for r in told})
+        if touched:
+            process_pending(session, inbox, runlog, out_root, logs, trees, index, _files(session, inbox, touched), tried)
+
+    w = events.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     q = w.start()
     if available_now:

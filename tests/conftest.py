@@ -13,8 +13,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session", autouse=True)
 def few_trees():
     """The tests check what holds for any number of trees; the registered queries fit 300."""
-    from tablewise.plans import q_model
+    from tablewise.plans import q_model, q_monitor
     q_model.QUERY_TREES = 15
+    q_monitor.MONITOR_TREES = 5
 
 
 @pytest.fixture(scope="session")
