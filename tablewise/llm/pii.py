@@ -13,6 +13,20 @@ from .common import bundle, col, others, unbundle
 BASE = ["email", "ip", "card", "phone"]
 EXTRA = ["iban", "ssn", "tel"]
 
+# Characters of an account number by country (the word after a number is not part of it).
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28,
+    "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+_ACCOUNTS = "|".join(
+    rf"(?:{'|'.join(c for c, m in IBAN_LENGTHS.items() if m == n)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}"
+    for n in sorted(set(IBAN_LENGTHS.values())))
+
 # Patterns. Possessive quantifiers and look-behinds only keep the
 # matcher linear; they match what the plain patterns match.
 PATTERNS = {
@@ -20,7 +34,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_ACCOUNTS})(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "tel": r"(?<![0-9+().-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
 }
@@ -86,7 +100,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", carry: list[str] | None =
     Adds counts of the base kinds and ``pii``: all spans by start, then kind, as
     (s, k, e, kind, score, m); positions are code points, the end exclusive.
     Base kinds: email, ip (parts to 255), card (12 to 19 digits, Luhn), phone (9
-    to 15 digits). Extra kinds: iban (mod 97), ssn and tel (both need a context
+    to 15 digits). Extra kinds: iban (length of its country, mod 97), ssn and tel (both need a context
     word); they never overlap a base span.
 
     Null and empty texts have no spans. Repeated rows and null ids give a row
@@ -108,7 +122,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", carry: list[str] | None =
     def likely(kind: str) -> Column:
         return F.filter(kind, lambda x: (score(kind, x) >= THRESHOLD) & spans.clear_of(x, BASE))
 
-    df = df.withColumns({k: confirmed(k) for k in VALID}).withColumns({k: likely(k) for k in EXTRA})
+    df = spans.in_blocks(df.withColumns({k: confirmed(k) for k in VALID}), BASE).withColumns({k: likely(k) for k in EXTRA})
     return df.select(*unbundle(cols), *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
                      spans.merged(BASE + EXTRA, score).alias("pii"))
 

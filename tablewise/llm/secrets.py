@@ -139,7 +139,8 @@ def find_secrets(docs: DataFrame, text_col: str = "text", carry: list[str] | Non
     df = spans.find(df, "_text", {k: (PATTERNS[k], needs[k]) for k in BASE + EXTRA}).drop("_text")
     value = lambda m: F.regexp_extract(F.regexp_replace(m, KEYWORD, ""), "^" + VALUE, 1)
     df = df.withColumn("assign", F.filter("assign", lambda x: F.length(value(x["m"])) >= VALUE_CHARS))
-    df = df.withColumn("random", F.filter("random", lambda x: spans.clear_of(x, BASE)))
+    df = spans.in_blocks(df, BASE)
+    df = df.withColumn("random", F.filter("random", lambda x: spans.clear_of(x, BASE))).drop(*[f"_blocks_{k}" for k in BASE])
     df = df.withColumn("random", F.transform("random", lambda x: F.struct(
         *[x[f].alias(f) for f in ("s", "e", "m")], p_value(x["m"]).alias("p"))))
     df = written(df.withColumn("random", F.filter("random", lambda x: x["p"].isNotNull())), "secrets")

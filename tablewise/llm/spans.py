@@ -84,9 +84,30 @@ def joined(spans: Column) -> Column:
         ":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
+def in_blocks(df: DataFrame, kinds: list[str]) -> DataFrame:
+    """Add, for each kind (sorted spans that do not overlap), its spans in blocks with the positions they cover."""
+    def blocks(kind: str) -> Column:
+        n = F.size(kind)
+
+        def block(k: Column) -> Column:
+            part = F.slice(F.col(kind), k * _BLOCK + 1, F.lit(_BLOCK))
+            return F.struct(F.get(F.col(kind), k * _BLOCK)["s"].alias("s"),
+                            F.get(F.col(kind), F.least((k + 1) * _BLOCK, n) - 1)["e"].alias("e"),
+                            F.transform(part, lambda y: F.struct(y["s"].alias("s"), y["e"].alias("e"))).alias("x"))
+        return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int")), block)
+
+    none = F.array().cast("array<struct<s:int,e:int,x:array<struct<s:int,e:int>>>>")
+    return df.withColumns({f"_blocks_{k}": F.when(F.size(k) > 0, blocks(k)).otherwise(none) for k in kinds})
+
+
 def clear_of(span: Column, taken: list[str]) -> Column:
-    """The span overlaps no span of the given columns."""
+    """The span overlaps no span of the given kinds: only blocks that reach it are looked through (see ``in_blocks``)."""
+    def meets(y: Column) -> Column:
+        return (y["s"] < span["e"]) & (span["s"] < y["e"])
+
     ok = F.lit(True)
     for kind in taken:
-        ok = ok & ~F.exists(kind, lambda y: (y["s"] < span["e"]) & (span["s"] < y["e"]))
+        blocks = F.col(f"_blocks_{kind}")
+        # the size is asked first, so that the column counts as used twice and is not computed again for every span
+        ok = ok & ((F.size(blocks) == 0) | ~F.exists(blocks, lambda b: meets(b) & F.exists(b["x"], meets)))
     return ok
