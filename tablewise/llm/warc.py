@@ -16,7 +16,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -32,7 +32,8 @@ CHUNK = 1 << 20
 GZIP = 31  # zlib's window bits for a gzip member
 FAST, SMALL = 1, 4  # compression levels: first writing, normalised members
 DATE = "2000-01-01T00:00:00Z"
-MAX_HEADER = 1 << 16
+# Headers are held in memory: a stream with no blank line for so long is no archive.
+MAX_HEADER = 1 << 28
 
 
 def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
@@ -67,11 +68,13 @@ def payload_digest(payload: bytes) -> str:
 
 
 def _uri(page_id: object) -> str:
-    return f"urn:x-page:{'' if page_id is None else page_id}"
+    """A null id has an urn without a colon after it; all other ids are escaped, the empty one too."""
+    return "urn:x-no-page" if page_id is None else f"urn:x-page:{quote(str(page_id), safe='')}"
 
 
 def _page(uri: str | None) -> str | None:
-    return uri[len("<urn:x-page:"):-1] or None if uri else None
+    known = uri is not None and uri.startswith("<urn:x-page:")
+    return unquote(uri[len("<urn:x-page:"):-1]) if known else None
 
 
 def record(page_id: object, url: str | None, payload: bytes, revisit: bool, refers: object) -> bytes:
@@ -121,12 +124,14 @@ class _Stream:
 
     def header(self) -> bytes | None:
         """Bytes up to and with the next blank line; None at the end of the file."""
-        while (at := self.buffer.find(b"\r\n\r\n")) < 0:
-            if len(self.buffer) > MAX_HEADER:
+        seen = 0
+        while (at := self.buffer.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
+            seen = len(self.buffer)
+            if seen > MAX_HEADER:
                 raise ValueError(f"{self.where}: a record header has no end")
             if not self._more():
                 if self.buffer.strip(b"\r\n"):
-                    raise ValueError(f"{self.where}: the last record is cut")
+                    raise ValueError(f"{self.where}: the last record is cut, its header has no end")
                 return None
         out = bytes(self.buffer[:at + 4])
         del self.buffer[:at + 4]

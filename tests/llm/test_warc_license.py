@@ -56,6 +56,17 @@ def archive(rows):
     return b"".join(warc.record(i, "http://x/", p, False, None) for i, p in rows)
 
 
+def test_warc_odd_ids_and_long_urls(spark):
+    """Ids with line ends or nothing in them come back; an URL may be any length."""
+    rows = [("x\r\ny", "u", "<p>1"), ("", "u", "<p>2"), (None, "u", "<p>3"), ("é %41 <>", "u", "<p>1"), ("z" * 3000, None, "<p>2")]
+    rows += [(f"p{i}", "data:text/html," + "é=" * 50_000 + "x" * 300_000, f"<q>{i}") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = {r.page_id: r for r in warc.round_trip(pages).collect()}
+    assert set(got) == {r[0] for r in rows}
+    assert got["x\r\ny"].refers_to is None or got["x\r\ny"].refers_to == "é %41 <>"
+    assert got["é %41 <>"].refers_to in (None, "x\r\ny") and got["z" * 3000].refers_to == ""
+
+
 def test_normalise_one_stream_and_many_members():
     rows = [(i, os.urandom(i * 5000) + b"\r\n\r\n") for i in range(40)]
     whole = gzip.compress(archive(rows))
