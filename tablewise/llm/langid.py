@@ -19,7 +19,7 @@ from .common import bundle, col, others, small_batches, travels, unbundle
 
 travels(__name__)
 
-# Training reads about this many rows of each language at most (a hash of the id picks them).
+# Training reads about this many rows of each language at most (a hash of id, text and place picks them).
 TRAIN_ROWS = 2500
 # Languages that are learned at most: those with the most rows.
 MAX_LANGS = 256
@@ -87,7 +87,8 @@ def fit(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return {"langs": [], "words": {}, "grams": {}, "word_logs": np.zeros((0, 0)), "gram_logs": np.zeros((0, 0))}
     small_batches(spark)
     odds = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, TRAIN_ROWS / r["n"]))])
-    at = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
+    # ids may be null or repeat, texts may: the place in the scan tells such rows apart
+    at = F.pmod(F.xxhash64("id", "text", F.monotonically_increasing_id(), F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.where(at < odds[F.col("lang")]).select("lang", "text")
     counts = (sample.mapInArrow(_count, "lang string, kind int, token string, n long")
               .groupBy("lang", "kind", "token").agg(F.sum("n").alias("n")))

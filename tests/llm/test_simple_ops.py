@@ -90,10 +90,52 @@ def test_sharding_hot_group_is_cut(spark):
     got = sharding.shard_by_bytes(make_docs(spark, rows), carry=False).collect()
     sizes = check_shards(rows, got, 40)
     assert max(sizes.values()) - min(sizes.values()) <= 2 * 60
-    # equal texts are neighbours: small groups stay whole
+    assert {r.group_cut for r in got} == {True, False}
+
+
+def shards_of_texts(rows, got):
+    crc = {zlib.crc32((t or "").encode()): t for _, t in rows}
+    found = defaultdict(set)
+    for r in got:
+        found[crc[r.text_crc32]].add(r.shard)
+    return found
+
+
+def test_sharding_groups_stay_whole_up_to_the_stated_part(spark):
+    """Pairs stay together; groups of half a shard only if the caller asks for it."""
     small = [(i, f"pair {i // 2} " * 4) for i in range(4000)]
-    got = sharding.shard_by_bytes(make_docs(spark, small), carry=False).collect()
+    got = sharding.shard_by_bytes(make_docs(spark, small), carry=False, whole_group=0.05).collect()
     check_shards(small, got, 40)
+    assert all(len(x) == 1 for x in shards_of_texts(small, got).values())
+    large = [(i, f"group {i // 27:04d} " * 4) for i in range(2000)]  # 75 groups, each half a shard
+    for part, whole in ((0.6, True), (0.0, False)):
+        got = sharding.shard_by_bytes(make_docs(spark, large), carry=False, whole_group=part).collect()
+        sizes = check_shards(large, got, 40)
+        spread = [len(x) for x in shards_of_texts(large, got).values()]
+        assert (max(spread) == 1) == whole and any(r.group_cut for r in got) != whole
+        if not whole:
+            assert max(sizes.values()) - min(sizes.values()) <= 2 * 70
+
+
+@pytest.mark.parametrize("carry", [True, False])
+def test_sharding_repeated_rows_keep_the_law(spark, carry):
+    """Two thirds of all rows repeat one id and text: bytes still come out even."""
+    rows = [(7, "the same row")] * 2000 + [(i, f"other {i}") for i in range(998)] + [(None, None)] * 400
+    got = sharding.shard_by_bytes(make_docs(spark, rows), carry=carry).collect()
+    sizes = check_shards(rows, got, 40)
+    assert len(sizes) == 40 and max(sizes.values()) - min(sizes.values()) <= 2 * 40
+
+
+def test_sharding_is_one_exchange_of_rows(spark, tmp_path):
+    """Partitions follow the shards in key order, so slots need no further sort."""
+    rows = [(i, f"text {i}") for i in range(3000)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        got = sharding.shard_by_bytes(make_docs(spark, rows), 5).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    check_shards(rows, got, 5)
 
 
 def test_sharding_awkward(spark, awkward):
@@ -202,6 +244,16 @@ def test_language_id_awkward(spark, awkward):
     assert langid.predict(make_docs(spark, []), model).collect() == []
 
 
+def test_language_learns_from_null_and_repeated_ids(spark):
+    rows = [(None, f"the words of english number {i}", "en") for i in range(6000)]
+    rows += [(9, f"die deutschen wörter hier {i}", "de") for i in range(6000)]
+    rows += [(i, f"les mots de la langue {i}", "fr") for i in range(100)]
+    model = langid.fit(make_docs(spark, rows))
+    assert model["langs"] == ["de", "en", "fr"]
+    scorer = langid.Scorer(model)
+    assert [scorer.predict(t)[0] for t in ("the words", "die wörter", "les mots")] == ["en", "de", "fr"]
+
+
 def test_language_backoff_order():
     """A known n-gram of four wins over shorter ones; without it the shorter ones decide."""
     logs = np.array([[-1.0, -9.0], [-9.0, -1.0]], dtype=np.float32)
