@@ -363,7 +363,7 @@ def test_row_key_follows_file_order(spark, tmp_out):
 
 
 def test_json_lines_with_a_long_first_record(spark, tmp_out):
-    long = "x" * (R.HEAD_CHARS + 1000)
+    long = "x" * ((1 << 20) + 1000)
     path = _put(tmp_out, "long.json", f'{{"b":1,"a":"{long}"}}\n' + '{"b":2,"a":"y"}\n{"b":3,"a":"z"}\n')
     df = R.read_dataset(spark, path)
     assert df.columns == ["b", "a"]
