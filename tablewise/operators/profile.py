@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import stats as S
+from ..functions.crossprod import correlations
 from ..functions.scalars import col_, strength
 
 
@@ -278,6 +279,8 @@ def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> dict:
     if not pairs:
         return {}
     cols = sorted({c for p in pairs for c in p})
+    if len(pairs) > _CORR_EXPRS_PER_JOB:  # more sums than one aggregation should hold: matrices of sums, one scan
+        return _of_matrix(df, cols, pairs)
     x = {c: F.when(~F.isnan(col_(c).cast("double")), col_(c).cast("double")) for c in cols}
     first = S.one_row(df, {"__n__": F.count(F.lit(1)), **{c: F.count(x[c]) for c in cols},
                            **{("f", c): F.first(x[c], ignorenulls=True) for c in cols}})
@@ -300,11 +303,9 @@ def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> dict:
             exprs[("sb", a, b)] = F.sum(F.when(both, z[b]))
             exprs[("qa", a, b)] = F.sum(F.when(both, z[a] * z[a]))
             exprs[("qb", a, b)] = F.sum(F.when(both, z[b] * z[b]))
-    st = {}
-    if n_all:  # bounded generated code: at most _CORR_EXPRS_PER_JOB sums per pass
-        keys = list(exprs)
-        for i in range(0, len(keys), _CORR_EXPRS_PER_JOB):
-            st.update(S.one_row(df, {k: exprs[k] for k in keys[i:i + _CORR_EXPRS_PER_JOB]}))
+    if len(exprs) > _CORR_EXPRS_PER_JOB:
+        return _of_matrix(df, cols, pairs)
+    st = S.one_row(df, exprs) if n_all else {}
     out = {}
     for a, b in pairs:
         if not n_all:
@@ -326,6 +327,12 @@ def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]]) -> dict:
     return out
 
 
+def _of_matrix(df: DataFrame, cols: list[str], pairs: list[tuple[str, str]]) -> dict:
+    r = correlations(df, cols)
+    at = {c: k for k, c in enumerate(cols)}
+    return {(a, b): float(r[at[a], at[b]]) for a, b in pairs}
+
+
 def correlation_pairs(df: DataFrame, target: str | None = None, label_map: DataFrame | None = None):
     """(numeric columns, r for every pair i <= j) in one computation, shared by
     the matrix, the interesting pairs and the target correlations."""

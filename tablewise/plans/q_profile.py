@@ -1,7 +1,13 @@
 """Profiling queries."""
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ..functions import stats as S
+from ..operators import drift as D
 from ..operators import profile as P
+from ..operators import snapshots as SN
+from ..session import scratch_path
 from .catalog import register, rnd, table
 
 _LI_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -21,7 +27,6 @@ SELECT 'lineitem', 'l_shipdate', CAST(datediff('day', min(l_shipdate), max(l_shi
 UNION ALL
 SELECT 'events', 'ts', CAST(datediff('day', min(ts), max(ts)) AS BIGINT) FROM events""")
 def q_detect_date_column(spark, sf):
-    from pyspark.sql import functions as F
     out = None
     for t in ("orders", "lineitem", "events"):
         df = table(spark, sf, t)
@@ -227,7 +232,6 @@ SELECT table_name, CAST(rank AS INTEGER) AS rank, col_a, col_b, round(r, 3) AS r
               CASE WHEN r > 0 THEN 'positively' ELSE 'negatively' END, r) AS text
 FROM sel WHERE rank <= 6""")
 def q_top_correlations(spark, sf):
-    from pyspark.sql import functions as F
     li = P.top_correlations(table(spark, sf, "lineitem"), "l_shipdate").select(F.lit("lineitem").alias("table_name"), "*")
     pa = P.top_correlations(table(spark, sf, "part"), "p_retailprice").select(F.lit("part").alias("table_name"), "*")
     return li.unionByName(pa)
@@ -241,7 +245,93 @@ SELECT table_name, CAST(rank AS INTEGER) AS rank, feature, round(r, 3) AS r,
               CASE WHEN r > 0 THEN 'increase' ELSE 'decrease' END, r) AS text
 FROM sel WHERE rank <= 5""")
 def q_target_correlations(spark, sf):
-    from pyspark.sql import functions as F
     li = P.target_correlations(table(spark, sf, "lineitem"), "l_shipdate").select(F.lit("lineitem").alias("table_name"), "*")
     pa = P.target_correlations(table(spark, sf, "part"), "p_retailprice").select(F.lit("part").alias("table_name"), "*")
     return li.unionByName(pa)
+
+
+# ---- wide tables, sketches, growing tables ---------------------------------
+_WIDE = 40
+
+
+def _wide(i: int) -> str:
+    """The i-th of forty columns made of lineitem's, each with gaps of its own (the same text in Spark and DuckDB)."""
+    return (f"CASE WHEN (l_orderkey * {i} + l_linenumber) % {5 + i % 7} = 0 THEN NULL ELSE "
+            f"CAST(l_quantity * {i % 5} + l_extendedprice * {(i * 3) % 4} / 1000 + (l_partkey * {i}) % 23 + {1000 * i} AS DOUBLE) END")
+
+
+@register("correlation_wide", f"""
+WITH w AS (SELECT {", ".join(f"{_wide(i)} AS w{i:02d}" for i in range(1, _WIDE + 1))} FROM lineitem),
+r AS (SELECT unnest([{", ".join(f"{{'col_a': 'w{i:02d}', 'col_b': 'w{j:02d}', 'r': corr(w{i:02d}, w{j:02d})}}"
+                              for i in range(1, _WIDE + 1) for j in range(i + 1, _WIDE + 1))}], recursive := true) FROM w)
+SELECT col_a, col_b, round(r, 6) AS r FROM r""")
+def q_correlation_wide(spark, sf):
+    """All pairs of forty columns with gaps, in one scan."""
+    names = [f"w{i:02d}" for i in range(1, _WIDE + 1)]
+    wide = table(spark, sf, "lineitem").select(*[F.expr(_wide(i + 1)).alias(n) for i, n in enumerate(names)])
+    r = P.correlation_pairs(wide)[1]
+    return rnd(spark.createDataFrame([(a, b, r[a, b]) for i, a in enumerate(names) for b in names[i + 1:]],
+                                     "col_a string, col_b string, r double"))
+
+
+@register("numeric_describe_approx", _union([
+    f"""SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS n, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+        round(min(CAST({c} AS DOUBLE)), 6) AS min, round(max(CAST({c} AS DOUBLE)), 6) AS max, true AS ranks_within_bound FROM lineitem"""
+    for c in _LI_NUM]))
+def q_numeric_describe_approx(spark, sf):
+    """Describe with sketched quantiles; how far their ranks are off is counted exactly."""
+    li = table(spark, sf, "lineitem")
+    got = SN.describe_approx(li, _LI_NUM)
+    found = {r["column_name"]: r for r in got.collect()}
+    ends = {}
+    for c in _LI_NUM:
+        for p, q in ((0.25, "q25"), (0.5, "median"), (0.75, "q75")):
+            v = F.lit(found[c][q])
+            # the share of smaller values, and of smaller or equal ones, must hold p between them up to the bound
+            ends[c, q] = ((F.avg((F.col(c) < v).cast("int")) <= p + SN.RANK_ERROR)
+                          & (F.avg((F.col(c) <= v).cast("int")) >= p - SN.RANK_ERROR))
+    ok = S.one_row(li, ends)
+    good = F.create_map(*[x for c in _LI_NUM for x in (F.lit(c), F.lit(all(ok[c, q] for q in ("q25", "median", "q75"))))])
+    return rnd(got.select("column_name", "n", "mean", "min", "max", good[F.col("column_name")].alias("ranks_within_bound")))
+
+
+def _grown(spark, sf):
+    """A table written in two steps and its snapshot after each: (stats before, stats after, files scanned)."""
+    base = scratch_path(spark, "grown")
+    li = table(spark, sf, "lineitem")
+    snap = SN.TableSnapshot(spark, f"{base}/table", f"{base}/log", _LI_NUM)
+    stats, scanned = [], []
+    for step in (0, 1):
+        part = li.where(F.col("l_orderkey") % 3 == 0) if step == 0 else li.where(F.col("l_orderkey") % 3 != 0)
+        part.repartition(3).write.mode("append").parquet(f"{base}/table")
+        scanned.append(snap.update())
+        stats.append(snap.stats())
+    return stats, scanned
+
+
+# Means of values with two decimals can lie exactly between two roundings: both sides add this before they round.
+_NUDGE = 1e-9
+
+
+def _nudged(df, *cols):
+    return rnd(df.withColumns({c: F.col(c) + _NUDGE for c in cols}))
+
+
+@register("column_stats_incremental", _colstats_sql().replace("round(avg(", f"round({_NUDGE} + avg("))
+def q_column_stats_incremental(spark, sf):
+    """Column statistics of a table that grew: each file was scanned once, and the merged parts equal one scan of all."""
+    (_, after), _ = _grown(spark, sf)
+    return _nudged(after.select("column_name", "mean", "std", "min", "max", "nulls", "rows"), "mean")
+
+
+@register("drift_incremental", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, round({_NUDGE} + avg(CAST({c} AS DOUBLE)) FILTER (l_orderkey % 3 = 0), 6) AS prev_mean,
+        round({_NUDGE} + avg(CAST({c} AS DOUBLE)), 6) AS curr_mean,
+        round(abs(avg(CAST({c} AS DOUBLE)) - avg(CAST({c} AS DOUBLE)) FILTER (l_orderkey % 3 = 0))
+              / stddev_samp(CAST({c} AS DOUBLE)) FILTER (l_orderkey % 3 = 0), 6) AS shift_stds, 'ok' AS status FROM lineitem"""
+    for c in _LI_NUM))
+def q_drift_incremental(spark, sf):
+    """Drift of the grown table against what it was, from the merged snapshots alone."""
+    (before, after), _ = _grown(spark, sf)
+    return _nudged(D.drift_check(after, before).select("column_name", "prev_mean", "curr_mean", "shift_stds", "status"),
+                   "prev_mean", "curr_mean")
