@@ -42,6 +42,9 @@ SKETCH = 40
 SHARED = 17
 # Lists of at most this many members give all their pairs; longer ones are compared with a centre.
 SHORT_LIST = 6
+# Tasks over which the members of one list or group are dealt, and rows of one key that a join leaves in one task.
+SALTS = 16
+HOT_ROWS = 1000
 # Groups of at most this many members are tested pair by pair inside a join; larger ones are split again.
 SMALL_GROUP = 128
 # Bits of the filter that tells which texts need their full sets (sent to every task: 1 MB).
@@ -157,7 +160,26 @@ def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int
             .groupBy("d1", "d2").agg(F.first("full").alias("full")))
     sets = written(wanted.select("node", "n", "d1", "d2").join(sets, ["d1", "d2"]).select("node", "n", "full"),
                    "near-sets")
-    return pairs.join(sets.toDF("b", "nb", "fb"), "b").join(sets.toDF("a", "na", "fa"), "a")
+    # a centre may stand in very many pairs
+    return _join_hot(pairs.join(sets.toDF("b", "nb", "fb"), "b"), sets.toDF("a", "na", "fa"), ["a"], "b", counted=pairs)
+
+
+def _join_hot(rows: DataFrame, other: DataFrame, keys: list[str], member: str, how: str = "inner",
+              counted: DataFrame | None = None) -> DataFrame:
+    """Join a table with one row a key; keys of over HOT_ROWS rows (of ``counted``) are dealt over salts."""
+    hot = F.broadcast((rows if counted is None else counted).groupBy(*keys).count().where(F.col("count") > HOT_ROWS)
+                      .select(*keys, F.ceil(F.col("count") / HOT_ROWS).cast("int").alias("_salts")))  # at most rows / HOT_ROWS
+    salts = F.coalesce("_salts", F.lit(1))
+    left = rows.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(member), salts).cast("int")).drop("_salts")
+    right = (other.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"))
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def _with_group(rows: DataFrame, groups: DataFrame, member: str = "b", how: str = "inner") -> DataFrame:
+    """Join one row a group to its members: those of a large group are dealt over SALTS tasks."""
+    spread = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.pmod(F.xxhash64(member), F.lit(SALTS)).cast("int")
+    return rows.withColumn("_salt", salt).join(groups.withColumn("_salt", spread), ["g", "_salt"], how).drop("_salt")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -203,7 +225,8 @@ def _all_pairs(entries: DataFrame) -> DataFrame:
 def _star(entries: DataFrame) -> DataFrame:
     """Each member of a list (b) with the list's centre (a)."""
     centre = entries.groupBy("g").agg(F.max_by("node", F.struct("weight", "node")).alias("a"))
-    return entries.join(centre, "g").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b")).distinct()
+    return (_with_group(entries, centre, "node").where(F.col("node") != F.col("a"))
+            .select("a", F.col("node").alias("b")).distinct())
 
 
 def _consensus(groups: DataFrame, percent: int) -> DataFrame:
@@ -220,12 +243,12 @@ def _consensus(groups: DataFrame, percent: int) -> DataFrame:
                        F.transform("new", lambda e: F.struct(e.alias("e"), F.lit(False).alias("held"))))
     members = groups.groupBy("g").agg(F.count("*").alias("members"))
     # an element that most members changed; all of them are no more than twice a mean difference
-    turned = (groups.join(members, "g").select("g", "members", F.explode(changed).alias("x")).groupBy("g", "x")
+    turned = (_with_group(groups, members).select("g", "members", F.explode(changed).alias("x")).groupBy("g", "x")
               .agg(F.count("*").alias("c"), F.max("members").alias("members")).where(F.col("c") * 2 > F.col("members"))
               .groupBy("g").agg(F.collect_list(F.when(F.col("x.held"), F.col("x.e"))).alias("out"),
                                 F.collect_list(F.when(~F.col("x.held"), F.col("x.e"))).alias("in")))
     none = F.array().cast("array<long>")
-    d = groups.join(turned, "g", "left").withColumns({"out": F.coalesce("out", none), "in": F.coalesce("in", none)})
+    d = _with_group(groups, turned, how="left").withColumns({"out": F.coalesce("out", none), "in": F.coalesce("in", none)})
     d = d.select("g", "b", "lost1", "new1", (F.col("c_size") - F.size("out") + F.size("in")).alias("c_size"),
                  F.concat(F.array_except("lost", "out"), F.array_except("in", "new")).alias("lost"),
                  F.concat(F.array_except("new", "in"), F.array_except("out", "lost")).alias("new"))
@@ -234,7 +257,7 @@ def _consensus(groups: DataFrame, percent: int) -> DataFrame:
                                "m": lacks + adds}), "near-diff")
     nearest = d.groupBy("g").agg(F.min(F.struct("w", "b")).alias("z")).select(
         "g", F.col("z.w").alias("wz"), F.col("z.b").alias("z"))
-    return d.join(nearest, "g").withColumn("free", F.col("w") > F.col("room") - F.col("wz"))
+    return _with_group(d, nearest).withColumn("free", F.col("w") > F.col("room") - F.col("wz"))
 
 
 def _settle(groups: DataFrame, label: DataFrame | None, percent: int) -> list[DataFrame]:
@@ -357,8 +380,8 @@ def near_dedup(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILARITY,
         named = named.join(least, "comp")
     else:
         named = named.withColumn("component_id", F.col("id"))
-    found = rows.select("doc_id", "tkey", "d1", "d2", "n").join(
-        named.select("d1", "d2", "component_id"), ["d1", "d2"], "left")
+    found = _join_hot(rows.select("doc_id", "tkey", "d1", "d2", "n"), named.select("d1", "d2", "component_id"),
+                      ["d1", "d2"], "doc_id", "left")
     mine = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     found = found.select("doc_id", "tkey", F.col("n").alias("n_shingles"), mine.alias("component_id")).withColumn(
         "kept", F.col("component_id").isNull() | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
@@ -375,7 +398,7 @@ def near_dedup(docs: DataFrame, width: int = SHINGLE, percent: int = SIMILARITY,
 def _link(lists: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame | None:
     """Labels (node, label) of all classes that have a link; None if there is no link."""
     sizes = lists.groupBy("g").agg(F.count("*").alias("members")).where("members > 1")
-    lists = written(lists.join(sizes, "g"), "near-open")
+    lists = written(_with_group(lists, sizes, "node"), "near-open")
     few = written(_promising(_all_pairs(lists.where(F.col("members") <= SHORT_LIST)), classes, percent), "near-pairs")
     star = written(_star(lists.where(F.col("members") > SHORT_LIST)), "near-star")
     pairs = few.withColumn("star", F.lit(False)).unionByName(star.withColumn("star", F.lit(True)))
