@@ -51,7 +51,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt over 40 shards of near equal bytes."""
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), carry=False)
 
-@register("op6_warc")
+# base32 of a SHA-1 in hex: five hex digits make four letters
+_BASE32 = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  (CAST('0x' || substr(hex, (i // 4) * 5 + 1, 5) AS BIGINT) // [32768, 1024, 32, 1][i % 4 + 1]) % 32 + 1, 1) for i in range(0, 32)], '')"""
+
+
+@register("op6_warc", f"""
+WITH t AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first
+      FROM t)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to FROM h""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC archives, normalised and read back."""
     return warc.round_trip(table(spark, sf_dir, "pages"))

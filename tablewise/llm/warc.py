@@ -21,7 +21,7 @@ from urllib.parse import quote, unquote
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import col, scratch, small_batches, travels, written
@@ -31,6 +31,8 @@ travels(__name__)
 CHUNK = 1 << 20
 GZIP = 31  # zlib's window bits for a gzip member
 FAST, SMALL = 1, 4  # compression levels: first writing, normalised members
+# Content after which a task begins a new archive: what one task normalises and reads is bounded by it and one record.
+ARCHIVE_BYTES = 256 << 20
 DATE = "2000-01-01T00:00:00Z"
 # Headers are held in memory: a stream with no blank line for so long is no archive.
 MAX_HEADER = 1 << 28
@@ -185,7 +187,7 @@ def parse(member: bytes, where: str) -> dict:
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html") -> DataFrame:
-    """Write a record for each page, one monolithic gzip archive a task; returns (archive, records).
+    """Write a record for each page into monolithic gzip archives of about ARCHIVE_BYTES; returns (archive, records).
 
     Of the pages with one payload that with the smallest id is the response, the
     others revisit it. Null html is an empty payload, a null URL is left out. A null
@@ -203,16 +205,21 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         "page", "url", "payload", F.when(~F.col("first").eqNullSafe(F.col("page")), F.col("first")).alias("refers"))
 
     def write(batches):
-        name = f"pages-{TaskContext.get().partitionId():06d}.warc.gz"
-        n = 0
-        with _File(folder, name) as out:
-            z = zlib.compressobj(FAST, zlib.DEFLATED, GZIP)
-            for batch in batches:
-                for page, url, payload, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    out.write(z.compress(record(page, url, payload, refers is not None, refers)))
-                    n += 1
-            out.write(z.flush())
-        yield pa.RecordBatch.from_pylist([{"archive": name, "records": n}], schema=_WRITTEN)
+        task = TaskContext.get().partitionId()
+        todo = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        row, number = next(todo, None), 0
+        while row is not None or not number:  # a task without pages leaves an empty archive
+            name, n, size = f"pages-{task:06d}-{number:04d}.warc.gz", 0, 0
+            with _File(folder, name) as out:
+                z = zlib.compressobj(FAST, zlib.DEFLATED, GZIP)
+                while row is not None and size < ARCHIVE_BYTES:
+                    page, url, payload, refers = row
+                    raw = record(page, url, payload, refers is not None, refers)
+                    out.write(z.compress(raw))
+                    n, size, row = n + 1, size + len(raw), next(todo, None)
+                out.write(z.flush())
+            number += 1
+            yield pa.RecordBatch.from_pylist([{"archive": name, "records": n}], schema=_WRITTEN)
 
     return written(rows.mapInArrow(write, "archive string, records long"), "warc-written")
 
@@ -267,9 +274,10 @@ _RECORD = pa.schema([("page_id", pa.string()), ("payload_bytes", pa.int64()), ("
 
 
 def _spread(archives: DataFrame) -> DataFrame:
-    """One row a file: deal the files evenly over tasks, a few a task."""
-    n = archives.count()
-    return archives.select("archive").repartition(max(1, n), F.col("archive"))
+    """One row a file, one file a task."""
+    place = F.row_number().over(Window.orderBy("archive")) - 1  # a row a file
+    return archives.select("archive", place.alias("_at")).repartitionById(
+        max(1, archives.count()), F.col("_at")).select("archive")
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
