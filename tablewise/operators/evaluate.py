@@ -38,6 +38,10 @@ def regression_metrics(df: DataFrame, actual: str = "actual", predicted: str = "
 # --------------------------------------------------------------------------- #
 # M7 / M8 classification
 # --------------------------------------------------------------------------- #
+# Classes of a confusion grid at most (a million cells).
+MAX_GRID_CLASSES = 1000
+
+
 def pair_counts(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """(actual, predicted, n) counts; classes^2 rows at most, map-side combined."""
     return df.groupBy(col_(actual).cast("string").alias("actual"),
@@ -68,12 +72,11 @@ def classification_metrics(df: DataFrame, actual: str = "actual", predicted: str
 
 def confusion_matrix(df: DataFrame, actual: str = "actual", predicted: str = "predicted",
                      classes: list[str] | DataFrame | None = None) -> DataFrame:
-    """(actual, predicted, n) for every pair of classes, zeros included, at any number of classes.
+    """(actual, predicted, n) for every pair of classes, zeros included.
 
     ``classes`` may be a list or a one-column frame of labels; without it the
-    labels that occur are used. The result has classes x classes rows because
-    that is what a confusion matrix holds; they are made in the executors, from one
-    row a class, and the class list is never read here.
+    labels that occur are used. The grid has classes x classes rows, so more than
+    MAX_GRID_CLASSES classes raise: ``pair_counts`` has the cells that occur, at any number of classes.
     """
     pc = pair_counts(df, actual, predicted)
     spark = df.sparkSession
@@ -83,6 +86,8 @@ def confusion_matrix(df: DataFrame, actual: str = "actual", predicted: str = "pr
         names = classes.toDF("c").distinct()
     else:
         names = spark.createDataFrame([(c,) for c in classes], "c string")
+    if names.limit(MAX_GRID_CLASSES + 1).count() > MAX_GRID_CLASSES:
+        raise ValueError(f"a grid of over {MAX_GRID_CLASSES} classes: use pair_counts, which has the cells that occur")
     # the label list, once as rows and once as an array in each of them: no join makes the grid
     every = names.agg(F.array_sort(F.collect_set("c")).alias("all"))
     grid = (every.select(F.explode("all").alias("actual"), "all").repartition("actual")
