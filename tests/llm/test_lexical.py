@@ -81,8 +81,8 @@ def test_search_small_trees(spark, monkeypatch):
         monkeypatch.setattr(lexical, name, value)
     rows = corpus(700)
     check(spark, rows, items_of(rows, 45))
-    monkeypatch.setattr(lexical, "MAX_SET_BYTES", 200)
-    check(spark, rows, items_of(rows, 20, 5), k=3)
+    monkeypatch.setattr(lexical, "MAX_SET_BYTES", 100)
+    check(spark, rows, items_of(rows, 10, 5), k=3)
 
 
 def test_search_string_ids(spark, awkward):
