@@ -15,6 +15,10 @@ TARGET_NAME_CANDIDATES = ("target", "label", "y", "class", "outcome", "result")
 # A numeric target with at most this many distinct whole values is a class label.
 MAX_CLASSIFICATION_CLASSES = 20
 
+# Up to this many classes are listed by name in the documents of a run and have a booster each; more
+# are kept as a table of labels and are told apart by one booster for each bit of their code.
+MAX_LISTED_CLASSES = 100
+
 # Categorical features with at most this many levels are one-hot encoded,
 # otherwise frequency encoded.
 MAX_ONEHOT_CARDINALITY = 20

@@ -106,39 +106,68 @@ def holdout_split(df: DataFrame, key: str, target: str | None = None, task: str
 # M2 fit
 # --------------------------------------------------------------------------- #
 class FittedModel:
-    """A fitted booster (or one booster per class) with its feature assembler."""
+    """A fitted booster, one booster per class, or (``coded``: the number of classes) one per bit of the class code,
+    with its feature assembler."""
 
-    def __init__(self, task, feature_cols, target, classes, models, assembler):
+    def __init__(self, task, feature_cols, target, classes, models, assembler, coded=None):
         self.task, self.feature_cols, self.target = task, feature_cols, target
-        self.classes, self.models, self.assembler = classes, models, assembler
+        self.classes, self.models, self.assembler, self.coded = classes, models, assembler, coded
 
     @property
     def model_type(self) -> str:
         if self.task == "regression":
             return "GBTRegressor"
+        if self.coded:
+            return "GBTClassifier(bits)"
         return "GBTClassifier" if len(self.models) == 1 else "GBTClassifier(one-vs-rest)"
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``prediction`` (double: value, or class code) and, for classes, ``probs`` (array)."""
+        """Add ``prediction`` (double: value, or class code) and, for classes, ``confidence`` and ``probs`` (array).
+
+        A coded model has no probability for every class: its confidence is the product of the bits' and ``probs`` is null.
+        """
         x = self.assembler.transform(df)
         if self.task == "regression":
             return self.models[0].transform(x).drop("_features")
-        if len(self.models) == 1:
-            m = self.models[0]
-            out = m.transform(x)
-            return (out.withColumn("probs", vector_to_array(F.col("probability")))
-                       .drop("_features", "rawPrediction", "probability"))
+        if self.coded:
+            return self._decoded(x)
+        return self._classes(x).withColumn("confidence", F.array_max("probs"))
+
+    def _decoded(self, x: DataFrame) -> DataFrame:
+        x, bits = self._side_by_side(x)
+        code, sure = F.lit(0.0), F.lit(1.0)
+        for i, p in enumerate(bits):
+            code = code + F.when(p >= 0.5, float(1 << i)).otherwise(0.0)
+            sure = sure * F.greatest(p, 1 - p)
+        # codes beyond the last class exist where the classes are no power of two
+        x = x.withColumns({"prediction": F.least(code, F.lit(float(self.coded - 1))), "confidence": sure,
+                           "probs": F.lit(None).cast("array<double>")})
+        return x.drop(*self._own())
+
+    def _own(self) -> list[str]:
+        return ["_features"] + [f"_{t}{i}" for i in range(len(self.models)) for t in "pry"]
+
+    def _side_by_side(self, x: DataFrame) -> tuple:
+        """Every booster's columns, and its probability of a yes."""
         ps = []
         for i, m in enumerate(self.models):
             m = m.copy().setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setPredictionCol(f"_y{i}")
             x = m.transform(x)
             ps.append(vector_to_array(F.col(f"_p{i}"))[1])
+        return x, ps
+
+    def _classes(self, x: DataFrame) -> DataFrame:
+        if len(self.models) == 1:
+            m = self.models[0]
+            out = m.transform(x)
+            return (out.withColumn("probs", vector_to_array(F.col("probability")))
+                       .drop("_features", "rawPrediction", "probability"))
+        x, ps = self._side_by_side(x)
         tot = sum(ps[1:], ps[0])
         probs = F.array(*[p / tot for p in ps])
         x = x.withColumn("probs", probs)
         pred = (F.array_position(F.col("probs"), F.array_max(F.col("probs"))) - 1).cast("double")
-        drop = ["_features"] + [f"_{t}{i}" for i in range(len(self.models)) for t in "pry"]
-        return x.withColumn("prediction", pred).drop(*drop)
+        return x.withColumn("prediction", pred).drop(*self._own())
 
     def importances(self) -> list[tuple[str, float]]:
         acc = [0.0] * len(self.feature_cols)
@@ -156,7 +185,7 @@ class FittedModel:
             list(pool.map(lambda im: im[1].write().overwrite().save(f"{path}/booster_{im[0]}"), enumerate(self.models)))
         self.assembler.write().overwrite().save(f"{path}/assembler")
         meta = {"task": self.task, "feature_cols": self.feature_cols, "target": self.target,
-                "classes": self.classes, "n_models": len(self.models)}
+                "classes": self.classes, "n_models": len(self.models), "coded": self.coded}
         from ..sources.sinks import write_json
         write_json(_active(), meta, f"{path}/meta.json")
 
@@ -169,7 +198,8 @@ class FittedModel:
         with ThreadPoolExecutor(max_workers=min(meta["n_models"], 8)) as pool:
             models = list(pool.map(lambda i: cls.load(f"{path}/booster_{i}"), range(meta["n_models"])))
         assembler = PipelineModel.load(f"{path}/assembler")
-        return FittedModel(meta["task"], meta["feature_cols"], meta["target"], meta["classes"], models, assembler)
+        return FittedModel(meta["task"], meta["feature_cols"], meta["target"], meta["classes"], models, assembler,
+                           meta.get("coded"))
 
 
 def _active():
@@ -185,7 +215,8 @@ def fit_model(train: DataFrame, feature_cols: list[str], target: str, task: str,
     Above two classes, one binary booster per class is fitted, ``parallelism``
     of them at a time as concurrent jobs (each boosting round is a chain of
     small jobs, so running the classes side by side keeps the cores busy; on a
-    large input each job's own tasks fill the cluster anyway).
+    large input each job's own tasks fill the cluster anyway). Above
+    MAX_LISTED_CLASSES the classes' codes are learned bit by bit: log2(classes) boosters.
     """
     from pyspark.ml import Pipeline
     assembler = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="_features",
@@ -208,14 +239,18 @@ def fit_model(train: DataFrame, feature_cols: list[str], target: str, task: str,
         m = GBTClassifier(labelCol="_t", **common).fit(x)
         return FittedModel(task, feature_cols, target, list(range(k)), [m], assembler)
 
+    coded = k > K.MAX_LISTED_CLASSES
+
     def fit_one(c: int):
-        return GBTClassifier(labelCol="_y", **common).fit(x.withColumn("_y", (F.col("_t") == c).cast("double")))
+        hit = F.floor(F.col("_t") / (1 << c)) % 2 == 1 if coded else F.col("_t") == c
+        return GBTClassifier(labelCol="_y", **common).fit(x.withColumn("_y", hit.cast("double")))
 
     # the per-class boosters are independent: submit them as concurrent Spark jobs
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(k, parallelism)) as pool:
-        models = list(pool.map(fit_one, range(k)))
-    return FittedModel(task, feature_cols, target, list(range(k)), models, assembler)
+    boosters = (k - 1).bit_length() if coded else k
+    with ThreadPoolExecutor(max_workers=min(boosters, parallelism)) as pool:
+        models = list(pool.map(fit_one, range(boosters)))
+    return FittedModel(task, feature_cols, target, None if coded else list(range(k)), models, assembler, k if coded else None)
 
 
 # --------------------------------------------------------------------------- #
@@ -243,10 +278,11 @@ def importance_summary(imp: DataFrame) -> DataFrame:
 # M5 scoring
 # --------------------------------------------------------------------------- #
 def score(model: FittedModel, df: DataFrame, key: str, class_names: list[str] | None = None,
-          probs: bool = False) -> DataFrame:
+          probs: bool = False, labels: DataFrame | None = None) -> DataFrame:
     """Predictions table: row, actual, predicted, and confidence + correct, or abs_error.
 
-    With ``probs`` the probabilities of all classes are kept (column ``probs``).
+    With ``probs`` the probabilities of all classes are kept (column ``probs``). Classes are named by
+    the list ``class_names``, or by joins with the table ``labels`` (value, code), else by their codes.
     """
     out = model.transform(df)
     y = col_(model.target)
@@ -254,14 +290,20 @@ def score(model: FittedModel, df: DataFrame, key: str, class_names: list[str] |
         return out.select(col_(key).alias("row"), y.cast("double").alias("actual"),
                           F.col("prediction").alias("predicted"),
                           F.abs(y.cast("double") - F.col("prediction")).alias("abs_error"))
-    if class_names:
+    if labels is not None and not class_names:
+        named = labels.select(F.col("code").cast("bigint").alias("_code"), F.col("value").alias("_value"))
+        for code, name in ((y, "_actual"), (F.col("prediction"), "_predicted")):
+            out = (out.withColumn("_want", code.cast("bigint")).join(named, F.col("_want") == F.col("_code"), "left")
+                   .withColumn(name, F.col("_value")).drop("_want", "_code", "_value"))
+        act, prd = F.col("_actual"), F.col("_predicted")
+    elif class_names:
         names = F.array(*[F.lit(c) for c in class_names])
         act = F.element_at(names, y.cast("int") + 1)
         prd = F.element_at(names, F.col("prediction").cast("int") + 1)
     else:
         act, prd = y.cast("string"), F.col("prediction").cast("int").cast("string")
     return (out.select(col_(key).alias("row"), act.alias("actual"), prd.alias("predicted"),
-                       F.array_max("probs").alias("confidence"), *(["probs"] if probs else []))
+                       "confidence", *(["probs"] if probs else []))
                .withColumn("correct", F.col("actual") == F.col("predicted")))
 
 
@@ -329,7 +371,7 @@ def what_if(model: FittedModel, scenarios: DataFrame, features: str = "features"
     may be moved at once and no feature's name can clash with a scenario column.
 
     Regression adds ``prediction``; classes add ``predicted_class``, ``confidence`` and
-    ``class_probs`` (one probability a class).
+    ``class_probs`` (one probability a class; null for a coded model).
     """
     keep = [c for c in scenarios.columns if c != features]
     rows = scenarios.select(F.struct(*[col_(c) for c in keep]).alias("_scenario"),
@@ -342,7 +384,7 @@ def what_if(model: FittedModel, scenarios: DataFrame, features: str = "features"
         return pred.select(*back, F.col("prediction"))
     code = F.col("prediction").cast("int")
     label = F.element_at(F.array(*[F.lit(c) for c in class_names]), code + 1) if class_names else code.cast("string")
-    return pred.select(*back, label.alias("predicted_class"), F.array_max("probs").alias("confidence"),
+    return pred.select(*back, label.alias("predicted_class"), "confidence",
                        F.col("probs").alias("class_probs"))
 
 

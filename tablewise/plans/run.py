@@ -82,7 +82,7 @@ def stage_clean(r: Run):
 
 def stage_features(r: Run):
     cleaned = r.spark.read.parquet(r.p("cleaned.parquet"))
-    feats, meta = FE.engineer(cleaned, target=r.target, key=ROW_KEY)
+    feats, meta = FE.engineer(cleaned, target=r.target, key=ROW_KEY, labels=r.p("labels.parquet"))
     write_table(feats, r.p("features.parquet"))
     meta["engineered_at"] = _now()
     meta["n_rows"] = r.spark.read.parquet(r.p("features.parquet")).count()
@@ -119,15 +119,18 @@ def stage_evaluate(r: Run):
     test = r.spark.read.parquet(r.p("split.parquet")).where(F.col("is_test"))
     classes = meta["task_type"] == "classification"
     # class probabilities travel with the predictions, so the model is applied once
-    preds = M.score(model, test, ROW_KEY, meta["class_names"], probs=classes)
+    labels = r.spark.read.parquet(r.p("labels.parquet")) if classes else None
+    preds = M.score(model, test, ROW_KEY, meta["class_names"], probs=classes, labels=labels)
     preds.write.mode("overwrite").parquet(r.p("predictions.parquet"))
     preds = r.spark.read.parquet(r.p("predictions.parquet"))
     if classes:
         m = EV.classification_metrics(preds).first().asDict()
         names = meta["class_names"]
-        # the same form at any number of classes: the class list, and the cells that occur (as a table)
+        # the same form at any number of classes: the labels and the cells that occur, as tables; few labels as a list too
         EV.pair_counts(preds).write.mode("overwrite").parquet(r.p("confusion.parquet"))
-        m.update(labels=list(range(len(names))), class_names=names, confusion_cells=r.p("confusion.parquet"))
+        m.update(n_classes=meta["n_classes"], class_names=names, label_table=r.p("labels.parquet"),
+                 confusion_cells=r.p("confusion.parquet"))
+        names = names or []  # no ranking of all classes where they have no probability each
         aucs = preds.select("actual", *[F.col("probs")[i].alias(f"p{i}") for i in range(len(names))])
         for row in EV.roc_auc(aucs, "actual", {c: f"p{i}" for i, c in enumerate(names)}).collect():
             m[row["metric"]] = row["value"]
