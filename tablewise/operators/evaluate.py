@@ -155,12 +155,15 @@ def roc_auc(df: DataFrame, actual: str, prob_cols: dict[str, str]) -> DataFrame:
 # --------------------------------------------------------------------------- #
 # M10 / M11
 # --------------------------------------------------------------------------- #
+def verdict_rule(task: str) -> tuple[str, str, float]:
+    """The metric that decides, its name in sentences, and the value from which a model is healthy."""
+    return ("accuracy", "accuracy", K.MIN_ACCURACY) if task == "classification" else ("r2", "R2", K.MIN_R2)
+
+
 def quality_verdict(metrics: DataFrame, task: str) -> DataFrame:
     """status healthy / weak with its reason, and a Good / Fair / Poor grade."""
-    if task == "classification":
-        v, key, name, thr = F.col("accuracy"), "accuracy", "accuracy", K.MIN_ACCURACY
-    else:
-        v, key, name, thr = F.col("r2"), "r2", "R2", K.MIN_R2
+    key, name, thr = verdict_rule(task)
+    v = F.col(key)
     ok = v >= thr
     return metrics.select(
         F.lit(key).alias("headline_metric"), v.alias("headline_value"),

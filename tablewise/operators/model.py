@@ -316,7 +316,7 @@ def deploy(spark, model: FittedModel, metrics: dict, base: str, source: str | No
 
     ``saved`` is the folder of the model if it is saved already: its files are copied.
     """
-    from .evaluate import headline
+    from .evaluate import headline, verdict_rule
     now = _dt.datetime.now(_dt.timezone.utc)
     version = now.strftime("%Y%m%dT%H%M%S%f")
     path = f"{base.rstrip('/')}/deployments/{version}"
@@ -327,9 +327,8 @@ def deploy(spark, model: FittedModel, metrics: dict, base: str, source: str | No
         model.save(path)
     write_json(spark, metrics, f"{path}/metrics.json")  # the version keeps its own metrics copy
     name, value = headline(model.task, metrics)
-    ok = value is not None and value >= (K.MIN_ACCURACY if model.task == "classification" else K.MIN_R2)
-    label = "accuracy" if model.task == "classification" else "R2"
-    thr = K.MIN_ACCURACY if model.task == "classification" else K.MIN_R2
+    _, label, thr = verdict_rule(model.task)
+    ok = value is not None and value >= thr
     rec = {"deployed_at": now.isoformat(), "version": version, "status": "healthy" if ok else "weak",
            "status_reason": f"{label} {value:.3f} {'>=' if ok else '<'} {thr}" if value is not None else "no metric",
            "task_type": model.task, "target_name": model.target, "headline_metric": name,

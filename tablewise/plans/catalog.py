@@ -12,15 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import constants as K
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+# the spellings of a missing value, where a query's SQL says _NULL_TOKENS_
+_NULL_TOKENS = "(" + ", ".join(f"'{t}'" for t in K.NULL_TOKENS) + ")"
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = sql.strip()
+            SQL[name] = sql.strip().replace("_NULL_TOKENS_", _NULL_TOKENS)
         return fn
     return deco
 

@@ -75,7 +75,7 @@ def q_drop_empty(spark, sf):
 # --------------------------------------------------------------------------- #
 @register("null_tokens", """
 SELECT o_orderkey,
-       CASE WHEN lower(trim(p)) IN ('', 'nan', 'none', 'null', 'na', 'n/a', '?', '-') THEN NULL ELSE trim(p) END AS priority
+       CASE WHEN lower(trim(p)) IN _NULL_TOKENS_ THEN NULL ELSE trim(p) END AS priority
 FROM (SELECT o_orderkey,
              CASE o_orderkey % 9 WHEN 0 THEN ' N/A ' WHEN 1 THEN '?' WHEN 2 THEN '' ELSE o_orderpriority END AS p
       FROM orders)""")
@@ -93,7 +93,7 @@ def q_null_tokens(spark, sf):
 @register("drop_duplicates", DIRTY_SQL + """,
 c1 AS (
   SELECT o_orderkey,
-         CASE WHEN lower(trim(priority)) IN ('', 'nan', 'none', 'null', 'na', 'n/a', '?', '-') THEN NULL ELSE trim(priority) END AS priority,
+         CASE WHEN lower(trim(priority)) IN _NULL_TOKENS_ THEN NULL ELSE trim(priority) END AS priority,
          trim(price_txt) AS price_txt, trim(cust_txt) AS cust_txt, trim(date_txt) AS date_txt, trim(date_txt90) AS date_txt90,
          sparse67, sparse50, qty_nulls, date_nulls
   FROM dirty WHERE o_orderkey IS NOT NULL)
@@ -108,7 +108,7 @@ def q_drop_duplicates(spark, sf):
 _C4_SQL = DIRTY_SQL + """,
 c4 AS (
   SELECT DISTINCT o_orderkey,
-         CASE WHEN lower(trim(priority)) IN ('', 'nan', 'none', 'null', 'na', 'n/a', '?', '-') THEN NULL ELSE trim(priority) END AS priority,
+         CASE WHEN lower(trim(priority)) IN _NULL_TOKENS_ THEN NULL ELSE trim(priority) END AS priority,
          trim(price_txt) AS price_txt, trim(cust_txt) AS cust_txt, trim(date_txt) AS date_txt, trim(date_txt90) AS date_txt90,
          sparse67, sparse50, qty_nulls, date_nulls
   FROM dirty WHERE o_orderkey IS NOT NULL),

@@ -36,13 +36,12 @@ _TASK_TABLES = {"orders": "o_orderpriority", "part": "p_retailprice", "embedding
 def _task_sql() -> str:
     parts = []
     for t, c in _TASK_TABLES.items():
-        if t in ("orders", "customer", "lineitem"):
-            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS target, 'classification' AS task_type")
-        else:
-            parts.append(
-                f"SELECT '{t}' AS table_name, '{c}' AS target, CASE WHEN count(DISTINCT {c}) <= 20 AND "
-                f"coalesce(bool_and(CAST({c} AS DOUBLE) % 1 = 0), true) THEN 'classification' ELSE 'regression' END "
-                f"FROM {t}")
+        parts.append(f"""
+SELECT '{t}' AS table_name, '{c}' AS target, CASE
+  WHEN (SELECT data_type FROM information_schema.columns WHERE table_name = '{t}' AND column_name = '{c}')
+       NOT SIMILAR TO '(TINYINT|SMALLINT|INTEGER|BIGINT|HUGEINT|FLOAT|DOUBLE|DECIMAL.*)' THEN 'classification'
+  WHEN count(DISTINCT {c}) <= 20 AND coalesce(bool_and(TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) % 1 = 0), true) THEN 'classification'
+  ELSE 'regression' END AS task_type FROM {t}""")
     return "\nUNION ALL\n".join(parts)
 
 
