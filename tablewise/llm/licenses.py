@@ -14,7 +14,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bundle, col, others, unbundle
+from .common import bundle, col, others, unbundle, written
 
 # Known licence texts and notices by SPDX identifier.
 KNOWN = [
@@ -187,22 +187,25 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, text_col: str
     known = known_licenses(spark) if known is None else known
     known = known.where(F.col("digest") != F.sha2(F.lit(""), 256))
     tests = [c for c in ("length", "word") if c in known.columns]
-    facts = known.agg(F.count("*").alias("n"), *[F.collect_set(c).alias(c) for c in tests]).first()
-    table = F.broadcast(known) if facts["n"] <= MAX_BROADCAST else known
+    sizes = known.agg(F.count("*").alias("n"), *[F.count_distinct(c).alias(c) for c in tests]).first()
+    few = [c for c in tests if sizes[c] <= MAX_TESTS]  # only these are gathered
+    facts = known.agg(*[F.collect_set(c).alias(c) for c in few]).first().asDict() if few else {}
+    table = F.broadcast(known) if sizes["n"] <= MAX_BROADCAST else known
     cols = others(docs, ADDED) if carry is None else carry
     form = canonical_lines(F.coalesce(col(text_col), F.lit("")))
 
     def likely(line: Column) -> Column:
         out = F.length(line) > 0
         for c, of in (("length", F.length(line)), ("word", F.substring_index(line, " ", 1))):
-            if c in tests and len(facts[c]) <= MAX_TESTS:
+            if c in few:
                 out = out & of.isin(facts[c])
         return out
 
     lines = F.filter(F.transform(F.split("_form", "\n"), lambda x: F.trim(x)), likely)
     df = docs.select(bundle(cols), form.alias("_form"), F.monotonically_increasing_id().alias("_at"))
-    df = df.select("_row", "_at", F.sha2(joined(F.col("_form")), 256).alias("license_sha256"),
-                   F.transform(lines, lambda x: F.sha2(x, 256)).alias("_lines"))
+    # the canonical form of every text is made once: digests go on, texts only if they are carried
+    df = written(df.select("_row", "_at", F.sha2(joined(F.col("_form")), 256).alias("license_sha256"),
+                           F.transform(lines, lambda x: F.sha2(x, 256)).alias("_lines")), "license-digests")
     df = df.join(table.select(F.col("digest").alias("_whole"), "license"),
                  F.col("license_sha256") == F.col("_whole"), "left")
     plain = df.where(F.size("_lines") == 0).select(
