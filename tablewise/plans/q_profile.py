@@ -295,6 +295,10 @@ def q_numeric_describe_approx(spark, sf):
     return rnd(got.select("column_name", "n", "mean", "min", "max", good[F.col("column_name")].alias("ranks_within_bound")))
 
 
+# Rows of one file of the table that grows, at most; three files a step at least.
+FILE_ROWS = 1 << 20
+
+
 def _grown(spark, sf):
     """A table written in two steps and its snapshot after each: (stats before, stats after, files scanned)."""
     base = scratch_path(spark, "grown")
@@ -303,7 +307,8 @@ def _grown(spark, sf):
     stats, scanned = [], []
     for step in (0, 1):
         part = li.where(F.col("l_orderkey") % 3 == 0) if step == 0 else li.where(F.col("l_orderkey") % 3 != 0)
-        part.repartition(3).write.mode("append").parquet(f"{base}/table")
+        files = max(3, -(-part.count() // FILE_ROWS))  # a task writes one file: their size stays, their number grows
+        part.repartition(files).write.mode("append").parquet(f"{base}/table")
         scanned.append(snap.update())
         stats.append(snap.stats())
     return stats, scanned

@@ -41,6 +41,21 @@ def test_only_new_files_are_scanned_and_merged_equals_whole(spark, tmp_out):
     assert all(math.isclose(drift[c], full[c], rel_tol=1e-4) for c in full)
 
 
+def test_files_of_the_grown_table_do_not_grow_with_it(spark, tmp_out, monkeypatch):
+    from tablewise.plans import q_profile as Q
+    li = spark.range(900).select(*[(F.col("id") * (i + 1) % 97 if c != "l_orderkey" else F.col("id")).alias(c)
+                                   for i, c in enumerate(Q._LI_NUM)])
+    li.write.parquet(f"{tmp_out}/lineitem.parquet")
+    few, scanned = Q._grown(spark, tmp_out)
+    assert scanned == [3, 3]
+    monkeypatch.setattr(Q, "FILE_ROWS", 50, raising=False)
+    many, scanned = Q._grown(spark, tmp_out)
+    assert scanned == [6, 12]
+    for a, b in zip(few, many, strict=True):
+        exact = "column_name", "rows", "nulls", "min", "max"
+        assert sorted(map(tuple, a.select(*exact).collect())) == sorted(map(tuple, b.select(*exact).collect()))
+
+
 def test_rewritten_files_do_not_count_twice(spark, tmp_out):
     path = f"{tmp_out}/t"
     snap = SN.TableSnapshot(spark, path, f"{tmp_out}/log", ["b"])
