@@ -112,3 +112,22 @@ def test_what_if_with_clashing_names_and_classes(spark):
     assert M.what_if(model, both, class_names=["a", "b", "c"]).first()["predicted_class"] == "c"
     reg = M.fit_model(df, cols, "y", "regression", trees=3, max_depth=3)
     assert {"baseline", "delta", "prediction"} <= set(M.what_if_grid(reg, M.feature_ranges(df, cols), steps=3).columns)
+
+
+def test_fit_deals_rows_evenly_over_the_cores(spark, monkeypatch):
+    """Twelve megabytes were one task whatever the cores, and 14 files of 16 MB two rounds on 12 cores."""
+    assert M.fit_partitions(1000, 12) == M.fit_partitions(2 << 20, 12) == 1
+    assert M.fit_partitions(12 << 20, 12) == 6 and M.fit_partitions(100 << 20, 12) == 12
+    assert [M.fit_partitions(n << 20, 12) for n in (192, 193, 384, 450)] == [12, 24, 24, 36]
+    monkeypatch.setattr(M, "FIT_TASK_BYTES", 1000)
+    read = []
+    regressor = M.GBTRegressor
+
+    class Seen(regressor):
+        def fit(self, x):
+            read.append((x.rdd.getNumPartitions(), x.count()))
+            return super().fit(x)
+    monkeypatch.setattr(M, "GBTRegressor", Seen)
+    df = spark.range(4000).select((F.col("id") % 50).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("y"))
+    M.fit_model(df, ["a"], "y", "regression", trees=2)
+    assert read == [(4, 4000)]
