@@ -1,6 +1,7 @@
 """Incremental inbox: only changed files are hashed; digests of chunks; logs and their compaction; update-mode spans."""
 import hashlib
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -86,6 +87,49 @@ def test_only_changed_files_are_hashed(spark, tmp_out, monkeypatch):
     assert len(ran) == 6
 
 
+def test_datasets_run_side_by_side_and_are_monitored_in_order(spark, tmp_out, monkeypatch):
+    """They ran one after the other: the first could not meet the second. The first is monitored first all the same."""
+    from tablewise.plans import run as RUN
+    met, seen = threading.Event(), []
+
+    def stage(r):
+        if r.source.endswith("b.csv"):
+            met.set()
+        elif r.source.endswith("a.csv"):
+            assert met.wait(20)
+        elif r.source.endswith("bad.csv"):
+            raise ValueError("bad")
+        return r.source
+    monkeypatch.setattr(RUN, "STAGE_FUNCS", (("only", stage),))
+    monkeypatch.setattr(RUN, "observe", lambda session, doc, r: seen.append((doc["source_name"], doc["status"])))
+    inbox, work = f"{tmp_out}/inbox", f"{tmp_out}/work"
+    for i, name in enumerate(("a", "b", "bad", "d")):
+        put(inbox, name, i)
+        os.utime(f"{inbox}/{name}.csv", (1_700_000_000 + i,) * 2)
+    done = IB.process_pending(spark, inbox, f"{work}/runlog", f"{work}/runs", f"{work}/logs", 1)
+    want = [("a.csv", "success"), ("b.csv", "success"), ("bad.csv", "failed"), ("d.csv", "success")]
+    assert seen == want and [(os.path.basename(r["dataset"]), r["status"]) for r in done] == want
+    log = IB.read_runlog(spark, f"{work}/runlog").orderBy("processed_at").collect()
+    assert [(os.path.basename(r.dataset), r.status) for r in log] == want and len({r.out for r in log}) == 4
+
+
+def test_a_run_that_cannot_be_made_leaves_those_beside_it_logged(spark, tmp_out, monkeypatch):
+    from tablewise.plans import run as RUN
+
+    def fake(session, source, out, logs, trees):
+        if source.endswith("a.csv"):
+            raise OSError("no folder")
+        return {"run_id": "r", "status": "success"}
+    monkeypatch.setattr(RUN, "run_dataset", fake)
+    inbox, work = f"{tmp_out}/inbox", f"{tmp_out}/work"
+    for i, name in enumerate("ab"):
+        put(inbox, name, i)
+        os.utime(f"{inbox}/{name}.csv", (1_700_000_000 + i,) * 2)
+    with pytest.raises(OSError, match="no folder"):
+        IB.process_pending(spark, inbox, f"{work}/runlog", f"{work}/runs", f"{work}/logs", 1)
+    assert [os.path.basename(r.dataset) for r in IB.read_runlog(spark, f"{work}/runlog").collect()] == ["b.csv"]
+
+
 def test_new_files_come_from_the_checkpointed_source(spark, tmp_out):
     """The source brings each new file once, over a restart too, and reads no body."""
     inbox = f"{tmp_out}/in"
