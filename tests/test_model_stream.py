@@ -131,3 +131,23 @@ def test_fit_deals_rows_evenly_over_the_cores(spark, monkeypatch):
     df = spark.range(4000).select((F.col("id") % 50).cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("y"))
     M.fit_model(df, ["a"], "y", "regression", trees=2)
     assert read == [(4, 4000)]
+
+
+def test_boosters_side_by_side_share_the_cores(spark, monkeypatch):
+    """Five boosters of ten megabytes were dealt over four tasks each, twenty small tasks at a time on 12 cores."""
+    assert [M.fit_partitions(n << 20, 12, 5) for n in (1, 9, 20, 40, 100, 192, 193)] == [1, 1, 2, 3, 7, 12, 24]
+    assert M.fit_partitions(100 << 20, 4, 8) == 8 and M.fit_partitions(12 << 20, 4, 8) == 1
+    monkeypatch.setattr(M, "FIT_TASK_BYTES", 10000)
+    read = []
+    classifier = M.GBTClassifier
+
+    class Seen(classifier):
+        def fit(self, x):
+            read.append((x.rdd.getNumPartitions(), x.count()))
+            return super().fit(x)
+    monkeypatch.setattr(M, "GBTClassifier", Seen)
+    df = spark.range(4000).select((F.col("id") % 50).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("y"))
+    M.fit_model(df, ["a"], "y", "classification", 3, trees=2)
+    assert read == [(1, 4000)] * 3  # 64 KB on 4 cores: four tasks a booster before
+    M.fit_model(df, ["a"], "y", "classification", 3, trees=2, parallelism=1)
+    assert read[3:] == [(4, 4000)] * 3
