@@ -49,6 +49,8 @@ HOT_ROWS = 1000
 SMALL_GROUP = 128
 # Bits of the filter that tells which texts need their full sets (sent to every task: 1 MB).
 FILTER_BITS = 1 << 23
+# Bits of it that one task puts together.
+FILTER_BLOCK = 1 << 20
 # Word hashes a worker remembers.
 CACHE = 500_000
 
@@ -139,15 +141,22 @@ def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where(F.when(whole, exact).otherwise(F.col("i") * SKETCH >= F.size("u") * SHARED)).select("a", "b")
 
 
+def _block_bits(table: pa.Table) -> pa.Table:
+    """Bits (block, at) of one block of the filter, as bytes."""
+    held = np.zeros(FILTER_BLOCK, dtype=bool)
+    held[table.column("at").to_numpy() % FILTER_BLOCK] = True
+    return pa.table({"block": table.column("block")[:1], "bits": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
+
+
 def _bit_filter(keys: DataFrame) -> bytes:
-    """Bits set for the text keys, at most FILTER_BITS / 64 rows read here whatever the input."""
-    at = F.pmod(F.col("tkey"), F.lit(FILTER_BITS))
-    words = (keys.select((at / 64).cast("long").alias("w"), (at % 64).cast("int").alias("o"))
-             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, o)")).alias("x")).collect())
-    out = np.zeros(FILTER_BITS // 64, dtype="<i8")
-    for r in words:
-        out[r["w"]] = r["x"]
-    return out.tobytes()
+    """Bits set for the text keys. Executors put the bytes together, so FILTER_BITS / FILTER_BLOCK rows are read here."""
+    at = F.pmod(F.col("tkey"), F.lit(FILTER_BITS)).alias("at")
+    blocks = (keys.select(at).distinct().withColumn("block", F.floor(F.col("at") / FILTER_BLOCK))
+              .groupBy("block").applyInArrow(_block_bits, "block long, bits binary").collect())
+    out = bytearray(FILTER_BITS // 8)
+    for r in blocks:
+        out[r["block"] * FILTER_BLOCK // 8:(r["block"] + 1) * FILTER_BLOCK // 8] = r["bits"]
+    return bytes(out)
 
 
 def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
